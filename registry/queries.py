@@ -75,11 +75,21 @@ def _faulty(plan) -> Query:
     return _over(faulty_hr_tables, plan)
 
 
-def _cleaned(plan) -> Query:
-    def tables(spark: SparkSession, sf_dir: str):
-        return cleaning.clean_all_tables(faulty_hr_tables(spark, sf_dir), AS_OF)
+_saved: dict[tuple[str, str], str] = {}
+
+
+def _cleaned_tables(spark: SparkSession, sf_dir: str):
+    """The cleaned zone: saved once per session, as the reports expect it."""
+    where = (spark.sparkContext.applicationId, sf_dir)
+    if where not in _saved:
+        path = scratch_path(spark, "cleaned")
+        save_tables(cleaning.clean_all_tables(faulty_hr_tables(spark, sf_dir), AS_OF), path)
+        _saved[where] = path
+    return read_parquet_tables(spark, _saved[where], record_id=True)
 
-    return _over(tables, plan)
+
+def _cleaned(plan) -> Query:
+    return _over(_cleaned_tables, plan)
 
 
 def _row_counts(tables) -> DataFrame:
@@ -96,10 +106,7 @@ def _row_counts(tables) -> DataFrame:
 
 
 def _saved_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "clean-tables")
-    cleaned = cleaning.clean_all_tables(faulty_hr_tables(spark, sf_dir), AS_OF)
-    save_tables({"salaries": cleaned["salaries"]}, path)
-    return comparable(read_parquet_tables(spark, path, ["salaries"], record_id=True)["salaries"])
+    return comparable(_cleaned_tables(spark, sf_dir)["salaries"])
 
 
 def _saved_report(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tenureframe.functions import as_date, between_dates
 from tenureframe.functions.dates import DateLike
 from tenureframe.operators.latest import latest_per_key
-from tenureframe.operators.skew import DEFAULT_POLICY, SkewPolicy, hot_slots, split_hot
+from tenureframe.operators.skew import hot_slots, split_hot
 
 
 def _ascending(columns: Sequence[str]) -> list[Column]:
@@ -73,17 +73,20 @@ def with_neighbour(
     order: Sequence[str],
     take: Mapping[str, str],
     direction: str = "previous",
-    policy: SkewPolicy | None = DEFAULT_POLICY,
+    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Add columns from the previous (or next) row of the same key.
 
     ``take`` maps new column to source column. ``order`` must identify a row
     within its key, its first column being the date on which hot keys are split.
+    ``hot`` gives the hot slots if the caller knows them, ``()`` for none.
     """
     step = {"previous": F.lag, "next": F.lead}[direction]
-    if policy is None:
+    if hot is None:
+        hot = hot_slots(df, keys)
+    if not hot:
         return _neighbour_by_key(df, keys, order, take, step)
-    cool_rows, hot_rows = split_hot(df, keys, hot_slots(df, keys, policy))
+    cool_rows, hot_rows = split_hot(df, keys, hot)
     return _neighbour_by_key(cool_rows, keys, order, take, step).unionByName(
         _neighbour_by_day(hot_rows, keys, order, take, step)
     )
@@ -98,14 +101,16 @@ def detect_changes(
     end: DateLike | None = None,
     only_different: bool = True,
     look_back: str = "full",
-    policy: SkewPolicy | None = DEFAULT_POLICY,
+    also_previous: Sequence[str] = (),
+    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Rows whose previous row of the same key has a value, added as ``prev_<value>``.
 
     Rows with an equal previous value go out when ``only_different``. With
     ``start`` and ``end`` the rows of that period (by ``order[0]``) are returned.
     ``look_back="full"`` finds a previous row before the period as well,
-    ``"period"`` only inside it.
+    ``"period"`` only inside it. ``also_previous`` names further columns whose
+    previous value is added.
 
     A look back needs just the last row before the period, so history is cut to
     one row per key inside the map tasks, and rows after the period are never
@@ -127,12 +132,13 @@ def detect_changes(
         earlier = df.filter((F.col(date) < as_date(start)) | F.col(date).isNull())
         return latest_per_key(earlier, keys, order).unionByName(in_period(df))
 
-    take = {previous: value}
-    if policy is None:
+    take = {f"prev_{c}": c for c in (value, *also_previous)}
+    if hot is None:
+        # Only rows inside the period can pile up on a key after the cut.
+        hot = hot_slots(in_period(history), keys)
+    if not hot:
         linked = _neighbour_by_key(needed(history), keys, order, take, F.lag)
     else:
-        # Only rows inside the period can pile up on a key after the cut.
-        hot = hot_slots(in_period(history), keys, policy)
         cool_rows, hot_rows = split_hot(history, keys, hot)
         linked = _neighbour_by_key(needed(cool_rows), keys, order, take, F.lag).unionByName(
             _neighbour_by_day(needed(hot_rows), keys, order, take, F.lag)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenureframe.functions import as_date
 from tenureframe.functions.dates import DateLike
-from tenureframe.operators.skew import DEFAULT_POLICY, SkewPolicy, hot_slots, split_hot
+from tenureframe.operators.skew import HOT_ROWS_PAIRED, hot_slots, split_hot
 
 
 def active_at(
@@ -30,7 +32,7 @@ def join_as_of_interval(
     closed: str = "both",
     start: str = "from_date",
     end: str = "to_date",
-    policy: SkewPolicy | None = DEFAULT_POLICY,
+    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Join each fact to the history rows of its key that cover the fact's date.
 
@@ -41,7 +43,7 @@ def join_as_of_interval(
     An ordinary key is matched on the key alone. A hot key is matched on key and
     month, its intervals repeated once per month up to the last fact: the key
     spreads over tasks, and a fact meets only the intervals of its own month.
-    ``policy=None`` leaves that out.
+    ``hot`` gives the hot slots if the caller knows them, ``()`` for none.
     """
     if closed not in ("both", "left"):
         raise ValueError(f"closed must be 'both' or 'left', not {closed!r}")
@@ -59,10 +61,10 @@ def join_as_of_interval(
             *[F.col(f"h.{c}") for c in kept],
         )
 
-    if policy is None:
+    if hot is None:
+        hot = hot_slots([facts, history], [key], min_rows=HOT_ROWS_PAIRED)
+    if not hot:
         return matched(facts, history, [key])
-
-    hot = hot_slots([facts, history], [key], policy)
     cool_facts, hot_facts = split_hot(facts, [key], hot)
     cool_history, hot_history = split_hot(history, [key], hot)
     last_fact = hot_facts.agg(F.max(date)).scalar()

@@ -1,38 +1,35 @@
 """Find the keys that hold too many rows, and treat only those differently.
 
-Keys are hashed into a fixed number of slots and rows are counted per slot, so
-detection costs one scan of the key columns and a shuffle of at most ``SLOTS``
-counts per map task. A slot is hot when it holds more than ``share`` of all
-rows; fewer than ``1 / share`` slots can, which bounds the broadcast. A cool key
-that shares a slot with a hot one takes the hot path too: results are the same
-on both paths, only the cost differs. When nothing is hot the hot branch has an
-empty join side and adaptive execution drops it.
+Keys are hashed into a fixed number of slots and rows are counted per slot: one
+scan of the key columns, at most ``SLOTS`` counts per map task to shuffle, and at
+most ``SLOTS`` counts to look at. A slot is hot when it holds more than a share
+of all rows. Operators plan the usual way when nothing is hot, and otherwise
+split their input into a cool and a hot part by slot. A cool key that shares a
+slot with a hot one takes the hot path too: both paths give the same result, only
+their cost differs.
+
+Counting is a Spark job of its own, run while the plan is built, so the input
+should be a stored table rather than the end of a long plan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenureframe.functions import row_count
 
 SLOTS = 4096
-_SLOT = "_slot"
 
+# A slot is hot above both: a share of all rows, and what one task takes easily.
+HOT_SHARE = 1 / 500
+HOT_ROWS = 100_000
 
-@dataclass(frozen=True)
-class SkewPolicy:
-    """A slot is hot above both limits: a share of all rows, and a row count."""
-
-    share: float = 1 / 500
-    min_rows: int = 100_000
-
-
-DEFAULT_POLICY = SkewPolicy()
+# The row limit where rows of one key meet in pairs.
+HOT_ROWS_PAIRED = 5_000
 
 
 def key_slot(keys: Sequence[str]) -> Column:
@@ -42,37 +39,30 @@ def key_slot(keys: Sequence[str]) -> Column:
 def hot_slots(
     frames: DataFrame | Sequence[DataFrame],
     keys: Sequence[str],
-    policy: SkewPolicy = DEFAULT_POLICY,
-) -> DataFrame:
-    """The hot slots of one table, or of several tables that share their keys."""
+    share: float = HOT_SHARE,
+    min_rows: int = HOT_ROWS,
+) -> list[int]:
+    """The hot slots of a table, or of several taken together; usually none."""
     if isinstance(frames, DataFrame):
         frames = [frames]
-    slots = reduce(DataFrame.unionAll, [f.select(key_slot(keys).alias(_SLOT)) for f in frames])
-    counts = slots.groupBy(_SLOT).agg(row_count().alias("_rows"))
-    # One window over at most SLOTS rows.
-    total = F.sum("_rows").over(Window.partitionBy(F.lit(0)))
-    return (
-        counts.withColumn("_limit", F.greatest(total * policy.share, F.lit(policy.min_rows)))
-        .filter(F.col("_rows") > F.col("_limit"))
-        .select(_SLOT)
-    )
+    slots = reduce(DataFrame.unionAll, [f.select(key_slot(keys).alias("slot")) for f in frames])
+    counts = slots.groupBy("slot").agg(row_count().alias("rows")).collect()
+    limit = max(share * sum(c["rows"] for c in counts), min_rows)
+    return sorted(c["slot"] for c in counts if c["rows"] > limit)
 
 
 def split_hot(
-    df: DataFrame, keys: Sequence[str], hot: DataFrame
+    df: DataFrame, keys: Sequence[str], hot: Sequence[int]
 ) -> tuple[DataFrame, DataFrame]:
     """The rows outside and inside the hot slots; together exactly ``df``."""
-    slotted = df.withColumn(_SLOT, key_slot(keys))
-    small = F.broadcast(hot)
-    cool_rows = slotted.join(small, _SLOT, "left_anti").drop(_SLOT)
-    hot_rows = slotted.join(small, _SLOT, "left_semi").drop(_SLOT)
-    return cool_rows, hot_rows
+    in_hot_slot = key_slot(keys).isin(*hot)
+    return df.filter(~in_hot_slot), df.filter(in_hot_slot)
 
 
 def collapse_hot(
     df: DataFrame,
     keys: Sequence[str],
-    hot: DataFrame,
+    hot: Sequence[int],
     by: Sequence[str],
     sums: Sequence[str] = (),
     count: str = "n",
@@ -83,8 +73,13 @@ def collapse_hot(
     result is only summed: partial aggregation shrinks a hot key inside every map
     task, and what is left is bounded by the distinct values of ``by``.
     """
+
+    def singles(rows: DataFrame) -> DataFrame:
+        return rows.select(*by, *sums, F.lit(1).cast("bigint").alias(count))
+
+    if not hot:
+        return singles(df)
     cool_rows, hot_rows = split_hot(df, keys, hot)
     totals = [F.sum(s).alias(s) for s in sums]
     collapsed = hot_rows.groupBy(*by).agg(*totals, row_count().alias(count))
-    singles = cool_rows.select(*by, *sums, F.lit(1).cast("bigint").alias(count))
-    return singles.unionByName(collapsed)
+    return singles(cool_rows).unionByName(collapsed)

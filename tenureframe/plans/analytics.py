@@ -8,7 +8,7 @@ count, so that a key with very many rows shrinks inside the map tasks.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,7 +24,6 @@ from tenureframe.functions import (
 )
 from tenureframe.functions.dates import DAYS_PER_YEAR, OPEN_END, DateLike
 from tenureframe.operators import (
-    SkewPolicy,
     active_at,
     collapse_hot,
     dedupe_by_key,
@@ -35,6 +34,7 @@ from tenureframe.operators import (
     pivot_values,
     share_within_group,
 )
+from tenureframe.operators.skew import HOT_ROWS_PAIRED
 from tenureframe.sources.schemas import RECORD_ID
 
 Tables = Mapping[str, DataFrame]
@@ -191,7 +191,7 @@ def most_senior(tables: Tables, as_of: DateLike | None = None, n: int = 10) -> D
 
 
 def salary_trend(
-    tables: Tables, closed: str = "both", policy: SkewPolicy = SkewPolicy()
+    tables: Tables, closed: str = "both", hot: Sequence[int] | None = None
 ) -> DataFrame:
     """Mean pay and staff per department, title and year of salary start.
 
@@ -217,16 +217,18 @@ def salary_trend(
         )
     )
     keys = ["emp_no"]
-    hot = hot_slots([salaries, titles, tables["dept_emp"]], keys, policy)
+    if hot is None:
+        sides = [salaries, titles, tables["dept_emp"]]
+        hot = hot_slots(sides, keys, min_rows=HOT_ROWS_PAIRED)
     salaries = collapse_hot(salaries, keys, hot, ["emp_no", "pay_date"], ["salary"], "n_pay")
     titles = collapse_hot(titles, keys, hot, titles.columns, count="n_title")
     stays = collapse_hot(stays, keys, hot, stays.columns, count="n_stay")
 
     titled = join_as_of_interval(
-        salaries, titles, "emp_no", "pay_date", closed, "title_from", "title_to", policy=None
+        salaries, titles, "emp_no", "pay_date", closed, "title_from", "title_to", hot=()
     )
     placed = join_as_of_interval(
-        titled, stays, "emp_no", "pay_date", closed, "dept_from", "dept_to", policy=None
+        titled, stays, "emp_no", "pay_date", closed, "dept_from", "dept_to", hot=()
     )
     pairs = F.col("n_title") * F.col("n_stay")
     group = ["dept_name", "title", "year_report"]

@@ -7,7 +7,7 @@ two decimals. The kinds are put together first and meet the employees once.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,13 +15,11 @@ from pyspark.sql import functions as F
 from tenureframe.functions import between_dates, row_count
 from tenureframe.functions.dates import DateLike
 from tenureframe.operators import (
-    SkewPolicy,
     detect_changes,
     first_last_in_period,
     latest_per_key,
 )
-from tenureframe.operators.skew import DEFAULT_POLICY
-from tenureframe.sources.schemas import history_order
+from tenureframe.sources.schemas import RECORD_ID, history_order
 
 Tables = Mapping[str, DataFrame]
 
@@ -81,11 +79,11 @@ def _log_rows(df: DataFrame, kind: str, **columns: Column) -> DataFrame:
 
 
 def _department_log(
-    tables: Tables, start: DateLike, end: DateLike, policy: SkewPolicy | None
+    tables: Tables, start: DateLike, end: DateLike, hot: Sequence[int] | None
 ) -> DataFrame:
     order = _order(tables, "dept_emp")
     moved = detect_changes(
-        tables["dept_emp"], ["emp_no"], "dept_no", order, start, end, policy=policy
+        tables["dept_emp"], ["emp_no"], "dept_no", order, start, end, hot=hot
     )
     named = moved.join(_department_names(tables, "dept_no", "to_name"), "dept_no").join(
         _department_names(tables, "prev_dept_no", "from_name"), "prev_dept_no"
@@ -146,10 +144,10 @@ def _with_names(log: DataFrame, tables: Tables) -> DataFrame:
 
 
 def department_changes(
-    tables: Tables, start: DateLike, end: DateLike, policy: SkewPolicy | None = DEFAULT_POLICY
+    tables: Tables, start: DateLike, end: DateLike, hot: Sequence[int] | None = None
 ) -> DataFrame:
     """Moves to another department, compared with the previous stay of all time."""
-    return _with_names(_department_log(tables, start, end, policy), tables)
+    return _with_names(_department_log(tables, start, end, hot), tables)
 
 
 def salary_changes(tables: Tables, start: DateLike, end: DateLike) -> DataFrame:
@@ -168,12 +166,12 @@ def title_changes(tables: Tables, start: DateLike, end: DateLike) -> DataFrame:
 
 
 def change_log(
-    tables: Tables, start: DateLike, end: DateLike, policy: SkewPolicy | None = DEFAULT_POLICY
+    tables: Tables, start: DateLike, end: DateLike, hot: Sequence[int] | None = None
 ) -> DataFrame:
     """All four kinds, by date and then employee number as text."""
     log = _union(
         [
-            _department_log(tables, start, end, policy),
+            _department_log(tables, start, end, hot),
             _salary_log(tables, start, end),
             _manager_log(tables, start, end),
             _title_log(tables, start, end),
@@ -228,58 +226,71 @@ def latest_change_report(tables: Tables, start: DateLike, end: DateLike) -> Data
     return _with_full_name(changes, tables)
 
 
+def _values_by_kind(tables: Tables) -> DataFrame:
+    """The three histories in one, so that one shuffle serves all of them.
+
+    ``value`` is what is compared and ``new_value`` what is shown; ``known`` is
+    false for a stay in a department that does not exist.
+    """
+    departments = tables["departments"].select(
+        "dept_no", F.col("dept_name").alias("shown"), F.lit(True).alias("known")
+    )
+    stays = tables["dept_emp"].join(departments, "dept_no", "left")
+    always = F.lit(True)
+    kinds = {
+        "dept_emp": (stays, F.col("shown"), F.coalesce("known", F.lit(False))),
+        "salaries": (tables["salaries"], _salary_text("salary"), always),
+        "titles": (tables["titles"], F.col("title"), always),
+    }
+    tie_break = "to_date" if "to_date" in _order(tables, "dept_emp") else RECORD_ID
+    return _union(
+        [
+            df.select(
+                "emp_no",
+                "from_date",
+                tie_break,
+                F.lit(_KINDS[table]).alias("change_type"),
+                _text(_VALUES[table]).alias("value"),
+                shown.alias("new_value"),
+                known.alias("known"),
+            )
+            for table, (df, shown, known) in kinds.items()
+        ]
+    )
+
+
 def value_change_report(
     tables: Tables,
     start: DateLike,
     end: DateLike,
     look_back: str = "full",
-    policy: SkewPolicy | None = DEFAULT_POLICY,
+    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Previous and new value of every row of the period that has a previous one.
 
     Equal values are kept. ``look_back="period"`` knows only rows of the period,
     so a previous value from before it is lost.
     """
-
-    def changed(table: str) -> DataFrame:
-        return detect_changes(
-            tables[table],
-            ["emp_no"],
-            _VALUES[table],
-            _order(tables, table),
-            start,
-            end,
-            only_different=False,
-            look_back=look_back,
-            policy=policy,
-        )
-
-    def rows(df: DataFrame, table: str, old: Column, new: Column) -> DataFrame:
-        return df.select(
-            "emp_no",
-            F.lit(_KINDS[table]).alias("change_type"),
-            old.alias("old_value"),
-            new.alias("new_value"),
-            F.col("from_date").alias("change_date"),
-        )
-
-    moves = (
-        changed("dept_emp")
-        .join(_department_names(tables, "dept_no", "to_name"), "dept_no")
-        .join(_department_names(tables, "prev_dept_no", "from_name"), "prev_dept_no", "left")
+    history = _values_by_kind(tables)
+    changes = detect_changes(
+        history,
+        ["emp_no", "change_type"],
+        "value",
+        history_order(history.columns, "value"),
+        start,
+        end,
+        only_different=False,
+        look_back=look_back,
+        also_previous=["new_value"],
+        hot=hot,
     )
-    changes = _union(
-        [
-            rows(moves, "dept_emp", F.col("from_name"), F.col("to_name")),
-            rows(
-                changed("salaries"),
-                "salaries",
-                _salary_text("prev_salary"),
-                _salary_text("salary"),
-            ),
-            rows(changed("titles"), "titles", F.col("prev_title"), F.col("title")),
-        ]
+    shown = changes.filter("known").select(
+        "emp_no",
+        "change_type",
+        F.col("prev_new_value").alias("old_value"),
+        "new_value",
+        F.col("from_date").alias("change_date"),
     )
-    return _with_full_name(changes, tables).orderBy(
+    return _with_full_name(shown, tables).orderBy(
         "change_date", "emp_no", "change_type", "new_value"
     )
