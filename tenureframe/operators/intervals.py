@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenureframe.functions import as_date
@@ -20,10 +20,6 @@ def active_at(
     return df.filter((F.col(start) <= day) & (F.col(end) >= day))
 
 
-def _month(day: Column) -> Column:
-    return F.year(day) * 12 + F.month(day)
-
-
 def join_as_of_interval(
     facts: DataFrame,
     history: DataFrame,
@@ -40,39 +36,44 @@ def join_as_of_interval(
     next begins matches both; ``"left"`` excludes the end. Apart from ``key`` the
     two sides must not share column names.
 
-    An ordinary key is matched on the key alone. A hot key is matched on key and
-    month, its intervals repeated once per month up to the last fact: the key
-    spreads over tasks, and a fact meets only the intervals of its own month.
-    ``hot`` gives the hot slots if the caller knows them, ``()`` for none.
+    An ordinary key is matched on the key, and its few intervals are compared with
+    the date. A hot key is matched on key and day, its intervals repeated once per
+    day between the first and the last fact: the key spreads over tasks, and only
+    pairs that belong to the result are formed. ``hot`` gives the hot slots if the
+    caller knows them, ``()`` for none.
     """
     if closed not in ("both", "left"):
         raise ValueError(f"closed must be 'both' or 'left', not {closed!r}")
-    upper = F.col(date) <= F.col(end) if closed == "both" else F.col(date) < F.col(end)
-    covers = (F.col(date) >= F.col(start)) & upper
+    if hot is None:
+        hot = hot_slots([facts, history], [key], min_rows=HOT_ROWS_PAIRED)
 
-    def matched(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-        sides = left.alias("f").join(
-            right.alias("h"),
-            [F.col(f"f.{c}") == F.col(f"h.{c}") for c in on] + [covers],
-        )
-        kept = [c for c in right.columns if c not in on]
-        return sides.select(
-            *[F.col(f"f.{c}") for c in left.columns if c == key or c not in on],
-            *[F.col(f"h.{c}") for c in kept],
+    def by_key(fact_rows: DataFrame, history_rows: DataFrame) -> DataFrame:
+        before_end = F.col(date) <= F.col(end) if closed == "both" else F.col(date) < F.col(end)
+        return _on(fact_rows, history_rows, key, (F.col(date) >= F.col(start)) & before_end)
+
+    def by_day(fact_rows: DataFrame, history_rows: DataFrame) -> DataFrame:
+        last_day = F.col(end) if closed == "both" else F.date_sub(end, 1)
+        first = F.greatest(F.col(start), fact_rows.agg(F.min(date)).scalar())
+        last = F.least(last_day, fact_rows.agg(F.max(date)).scalar())
+        daily = (
+            history_rows.filter(F.col(start).isNotNull() & F.col(end).isNotNull())
+            .withColumns({"_first": first, "_last": last})
+            .filter(F.col("_first") <= F.col("_last"))
+            .withColumn("_day", F.explode(F.sequence("_first", "_last")))
+            .drop("_first", "_last")
         )
+        return _on(fact_rows, daily, key, F.col(date) == F.col("_day")).drop("_day")
 
-    if hot is None:
-        hot = hot_slots([facts, history], [key], min_rows=HOT_ROWS_PAIRED)
     if not hot:
-        return matched(facts, history, [key])
+        return by_key(facts, history)
     cool_facts, hot_facts = split_hot(facts, [key], hot)
     cool_history, hot_history = split_hot(history, [key], hot)
-    last_fact = hot_facts.agg(F.max(date)).scalar()
-    last_day = F.least(F.col(end), last_fact)
-    monthly_facts = hot_facts.withColumn("_month", _month(F.col(date)))
-    monthly_history = hot_history.filter(
-        F.col(end).isNotNull() & (F.col(start) <= last_day)
-    ).withColumn("_month", F.explode(F.sequence(_month(F.col(start)), _month(last_day))))
-    return matched(cool_facts, cool_history, [key]).unionByName(
-        matched(monthly_facts, monthly_history, [key, "_month"])
+    return by_key(cool_facts, cool_history).unionByName(by_day(hot_facts, hot_history))
+
+
+def _on(left: DataFrame, right: DataFrame, key: str, condition) -> DataFrame:
+    """Inner join on ``key`` and ``condition``, the key kept once."""
+    joined = left.alias("l").join(
+        right.alias("r"), (F.col(f"l.{key}") == F.col(f"r.{key}")) & condition
     )
+    return joined.select("l.*", *[F.col(f"r.{c}") for c in right.columns if c != key])

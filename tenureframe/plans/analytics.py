@@ -225,10 +225,10 @@ def salary_trend(
     stays = collapse_hot(stays, keys, hot, stays.columns, count="n_stay")
 
     titled = join_as_of_interval(
-        salaries, titles, "emp_no", "pay_date", closed, "title_from", "title_to", hot=()
+        salaries, titles, "emp_no", "pay_date", closed, "title_from", "title_to", hot
     )
     placed = join_as_of_interval(
-        titled, stays, "emp_no", "pay_date", closed, "dept_from", "dept_to", hot=()
+        titled, stays, "emp_no", "pay_date", closed, "dept_from", "dept_to", hot
     )
     pairs = F.col("n_title") * F.col("n_stay")
     group = ["dept_name", "title", "year_report"]
