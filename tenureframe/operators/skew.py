@@ -55,8 +55,12 @@ def split_hot(
     df: DataFrame, keys: Sequence[str], hot: Sequence[int]
 ) -> tuple[DataFrame, DataFrame]:
     """The rows outside and inside the hot slots; together exactly ``df``."""
-    in_hot_slot = key_slot(keys).isin(*hot)
-    return df.filter(~in_hot_slot), df.filter(in_hot_slot)
+    slotted = df.withColumn("_slot", key_slot(keys))
+    # As text: one call instead of one per number.
+    numbers = ", ".join(map(str, hot))
+    cool_rows = slotted.filter(f"_slot NOT IN ({numbers})")
+    hot_rows = slotted.filter(f"_slot IN ({numbers})")
+    return cool_rows.drop("_slot"), hot_rows.drop("_slot")
 
 
 def collapse_hot(

@@ -10,12 +10,14 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 @pytest.fixture(scope="session")
 def spark():
     session = (
-        SparkSession.builder.master("local[4]")
+        SparkSession.builder.master("local[8]")
         .appName("tenureframe tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
+        # Short runs: skip the slow compiler tier of the JVM.
+        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -6,10 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tenureframe import operators as op
-from tenureframe.operators.skew import SLOTS, key_slot
+from tenureframe.operators.skew import key_slot
+from tests.oracle_compare import every_slot
 
 D = dt.date
-EVERY_SLOT = tuple(range(SLOTS))
 STAYS = "emp_no long, dept_no string, from_date date, to_date date, rec_id long"
 ORDER = ["from_date", "rec_id"]
 
@@ -37,11 +37,16 @@ def stays(spark):
     )
 
 
+@pytest.fixture(scope="module")
+def hot(stays):
+    return every_slot(["emp_no"], stays)
+
+
 @pytest.mark.parametrize("direction", ["previous", "next"])
-def test_neighbour_hot_path_equals_window(stays, direction):
+def test_neighbour_hot_path_equals_window(stays, hot, direction):
     take = {"other": "dept_no", "other_day": "from_date"}
     usual = op.with_neighbour(stays, ["emp_no"], ORDER, take, direction, hot=())
-    split = op.with_neighbour(stays, ["emp_no"], ORDER, take, direction, hot=EVERY_SLOT)
+    split = op.with_neighbour(stays, ["emp_no"], ORDER, take, direction, hot=hot)
     assert usual.columns == split.columns
     assert rows(usual) == rows(split)
 
@@ -53,9 +58,9 @@ def test_neighbour_mixes_hot_and_cool_keys(stays):
     assert rows(mixed) == rows(usual)
 
 
-@pytest.mark.parametrize("hot", [(), EVERY_SLOT])
+@pytest.mark.parametrize("split", [False, True])
 @pytest.mark.parametrize("only_different", [True, False])
-def test_detect_changes_sees_last_row_before_period(stays, hot, only_different):
+def test_detect_changes_sees_last_row_before_period(stays, hot, split, only_different):
     start, end = D(2000, 1, 20), D(2000, 2, 10)
     whole = op.with_neighbour(stays, ["emp_no"], ORDER, {"prev_dept_no": "dept_no"}, hot=())
     wanted = whole.filter(
@@ -64,7 +69,7 @@ def test_detect_changes_sees_last_row_before_period(stays, hot, only_different):
     if only_different:
         wanted = wanted.filter("dept_no <> prev_dept_no")
     found = op.detect_changes(
-        stays, ["emp_no"], "dept_no", ORDER, start, end, only_different, hot=hot
+        stays, ["emp_no"], "dept_no", ORDER, start, end, only_different, hot=hot if split else ()
     )
     assert rows(found) == rows(wanted)
     assert found.count() > 0
@@ -87,16 +92,16 @@ def test_detect_changes_arguments(stays):
 
 
 @pytest.mark.parametrize("closed", ["both", "left"])
-def test_interval_join_hot_path_equals_usual(stays, closed):
+def test_interval_join_hot_path_equals_usual(stays, hot, closed):
     facts = stays.select("emp_no", F.col("from_date").alias("day"), F.col("rec_id").alias("fact"))
     usual = op.join_as_of_interval(facts, stays, "emp_no", "day", closed, hot=())
-    daily = op.join_as_of_interval(facts, stays, "emp_no", "day", closed, hot=EVERY_SLOT)
+    daily = op.join_as_of_interval(facts, stays, "emp_no", "day", closed, hot=hot)
     assert usual.columns == daily.columns
     assert rows(usual) == rows(daily)
     assert usual.count() > 0
 
 
-def test_interval_boundary_matches_both_or_one(spark):
+def test_interval_boundary_matches_both_or_one(spark, hot):
     titles = spark.createDataFrame(
         [
             (1, "A", D(1990, 1, 1), D(1995, 1, 1)),
@@ -106,13 +111,13 @@ def test_interval_boundary_matches_both_or_one(spark):
     )
     pay = spark.createDataFrame([(1, D(1995, 1, 1))], "emp_no long, day date")
 
-    def held(closed, hot):
-        joined = op.join_as_of_interval(pay, titles, "emp_no", "day", closed, hot=hot)
+    def held(closed, slots):
+        joined = op.join_as_of_interval(pay, titles, "emp_no", "day", closed, hot=slots)
         return sorted(r["title"] for r in joined.collect())
 
-    for hot in ((), EVERY_SLOT):
-        assert held("both", hot) == ["A", "B"]
-        assert held("left", hot) == ["B"]
+    for slots in ((), hot):
+        assert held("both", slots) == ["A", "B"]
+        assert held("left", slots) == ["B"]
     with pytest.raises(ValueError):
         op.join_as_of_interval(pay, titles, "emp_no", "day", closed="right")
 
@@ -132,9 +137,9 @@ def test_split_is_whole_and_disjoint(stays):
     assert rows(cool_rows.unionByName(hot_rows)) == rows(stays)
 
 
-def test_collapse_keeps_sums(stays):
+def test_collapse_keeps_sums(stays, hot):
     by = ["emp_no", "from_date"]
-    collapsed = op.collapse_hot(stays, ["emp_no"], EVERY_SLOT, by, ["rec_id"])
+    collapsed = op.collapse_hot(stays, ["emp_no"], hot, by, ["rec_id"])
     single = op.collapse_hot(stays, ["emp_no"], (), by, ["rec_id"])
     assert collapsed.count() < single.count() == stays.count()
     totals = [df.agg(F.sum("rec_id"), F.sum("n")).first() for df in (collapsed, single)]

@@ -7,6 +7,7 @@ from tests.oracle_compare import TESTDATA, duck, spark_rows, sql_rows
 
 QUERIES = entry_points.queries()
 ORACLE = entry_points.oracle_sql()
+UNWANTED = ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin")
 SF_DIR = str(TESTDATA / "sf0.01")
 
 
@@ -21,11 +22,15 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, connection, name):
-    columns, rows = spark_rows(QUERIES[name](spark, SF_DIR))
+    df = QUERIES[name](spark, SF_DIR)
+    columns, rows = spark_rows(df)
     expected_columns, expected = sql_rows(connection, ORACLE[name])
     assert columns == expected_columns
     assert rows, "a query without rows proves nothing"
     assert rows == expected
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in UNWANTED:
+        assert node not in plan
 
 
 def test_entry(spark):
