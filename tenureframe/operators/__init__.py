@@ -8,11 +8,11 @@ from tenureframe.operators.changes import (
 from tenureframe.operators.groups import pivot_values, share_within_group
 from tenureframe.operators.intervals import active_at, join_as_of_interval
 from tenureframe.operators.latest import dedupe_by_key, latest_per_key, max_date_rows
-from tenureframe.operators.skew import collapse_hot, hot_slots, split_hot
+from tenureframe.operators.skew import collapse, hot_slots, split_hot
 
 __all__ = [
     "active_at",
-    "collapse_hot",
+    "collapse",
     "dedupe_by_key",
     "detect_changes",
     "first_last_in_period",

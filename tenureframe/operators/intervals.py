@@ -53,8 +53,10 @@ def join_as_of_interval(
 
     def by_day(fact_rows: DataFrame, history_rows: DataFrame) -> DataFrame:
         last_day = F.col(end) if closed == "both" else F.date_sub(end, 1)
-        first = F.greatest(F.col(start), fact_rows.agg(F.min(date)).scalar())
-        last = F.least(last_day, fact_rows.agg(F.max(date)).scalar())
+        range_ = F.struct(F.min(date).alias("lo"), F.max(date).alias("hi"))
+        fact_range = fact_rows.agg(range_).scalar()
+        first = F.greatest(F.col(start), fact_range["lo"])
+        last = F.least(last_day, fact_range["hi"])
         daily = (
             history_rows.filter(F.col(start).isNotNull() & F.col(end).isNotNull())
             .withColumns({"_first": first, "_last": last})

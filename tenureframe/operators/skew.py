@@ -63,27 +63,13 @@ def split_hot(
     return cool_rows.drop("_slot"), hot_rows.drop("_slot")
 
 
-def collapse_hot(
-    df: DataFrame,
-    keys: Sequence[str],
-    hot: Sequence[int],
-    by: Sequence[str],
-    sums: Sequence[str] = (),
-    count: str = "n",
+def collapse(
+    df: DataFrame, by: Sequence[str], sums: Sequence[str] = (), count: str = "n"
 ) -> DataFrame:
-    """Replace rows of hot keys by one row per ``by``, with sums and a count.
+    """One row per distinct ``by``, with sums and the number of rows it stands for.
 
-    Other rows keep their values and a count of 1. Use it before a join whose
-    result is only summed: partial aggregation shrinks a hot key inside every map
-    task, and what is left is bounded by the distinct values of ``by``.
+    Use it for hot keys before a join whose result is only summed: partial
+    aggregation shrinks a key inside every map task, and what is left is bounded
+    by the distinct values of ``by``.
     """
-
-    def singles(rows: DataFrame) -> DataFrame:
-        return rows.select(*by, *sums, F.lit(1).cast("bigint").alias(count))
-
-    if not hot:
-        return singles(df)
-    cool_rows, hot_rows = split_hot(df, keys, hot)
-    totals = [F.sum(s).alias(s) for s in sums]
-    collapsed = hot_rows.groupBy(*by).agg(*totals, row_count().alias(count))
-    return singles(cool_rows).unionByName(collapsed)
+    return df.groupBy(*by).agg(*[F.sum(s).alias(s) for s in sums], row_count().alias(count))

@@ -25,7 +25,7 @@ from tenureframe.functions import (
 from tenureframe.functions.dates import DAYS_PER_YEAR, OPEN_END, DateLike
 from tenureframe.operators import (
     active_at,
-    collapse_hot,
+    collapse,
     dedupe_by_key,
     hot_slots,
     join_as_of_interval,
@@ -33,6 +33,7 @@ from tenureframe.operators import (
     max_date_rows,
     pivot_values,
     share_within_group,
+    split_hot,
 )
 from tenureframe.operators.skew import HOT_ROWS_PAIRED
 from tenureframe.sources.schemas import RECORD_ID
@@ -190,19 +191,43 @@ def most_senior(tables: Tables, as_of: DateLike | None = None, n: int = 10) -> D
     )
 
 
+def _pay_per_employee(
+    salaries: DataFrame, titles: DataFrame, stays: DataFrame, closed: str, hot: Sequence[int]
+) -> DataFrame:
+    """Pay and rows per employee, department, title and year.
+
+    ``n_pay``, ``n_title`` and ``n_stay`` tell how many rows a row stands for.
+    """
+    titled = join_as_of_interval(
+        salaries, titles, "emp_no", "pay_date", closed, "title_from", "title_to", hot
+    )
+    placed = join_as_of_interval(
+        titled, stays, "emp_no", "pay_date", closed, "dept_from", "dept_to", hot
+    )
+    pairs = F.col("n_title") * F.col("n_stay")
+    return (
+        placed.withColumn("year_report", F.year("pay_date").cast("bigint"))
+        .groupBy("emp_no", "dept_name", "title", "year_report")
+        .agg(
+            F.sum(F.col("salary") * pairs.cast("decimal(18,0)")).alias("pay"),
+            F.sum(F.col("n_pay") * pairs).alias("rows"),
+        )
+    )
+
+
 def salary_trend(
     tables: Tables, closed: str = "both", hot: Sequence[int] | None = None
 ) -> DataFrame:
     """Mean pay and staff per department, title and year of salary start.
 
     Every salary meets each title and stay that covers its start, so an employee
-    with very many rows would meet them in pairs. Such employees are first reduced
-    to one row per distinct value and interval, with a count, in all three tables;
-    the products of the counts restore sums and row numbers.
+    with very many rows would meet them in pairs. Such employees go apart: their
+    rows are first reduced, in all three tables, to one per distinct value and
+    interval with a count, and the products of the counts restore sums and row
+    numbers.
     """
-    year = F.year("pay_date")
     salaries = tables["salaries"].select("emp_no", "salary", F.col("from_date").alias("pay_date"))
-    salaries = salaries.filter(year < 9999)
+    salaries = salaries.filter(F.year("pay_date") < 9999)
     titles = tables["titles"].select(
         "emp_no", "title", F.col("from_date").alias("title_from"), F.col("to_date").alias("title_to")
     )
@@ -220,26 +245,32 @@ def salary_trend(
     if hot is None:
         sides = [salaries, titles, tables["dept_emp"]]
         hot = hot_slots(sides, keys, min_rows=HOT_ROWS_PAIRED)
-    salaries = collapse_hot(salaries, keys, hot, ["emp_no", "pay_date"], ["salary"], "n_pay")
-    titles = collapse_hot(titles, keys, hot, titles.columns, count="n_title")
-    stays = collapse_hot(stays, keys, hot, stays.columns, count="n_stay")
+    one = F.lit(1).cast("bigint")
+
+    def singly(pay: DataFrame, held: DataFrame, stayed: DataFrame) -> DataFrame:
+        return _pay_per_employee(
+            pay.withColumn("n_pay", one),
+            held.withColumn("n_title", one),
+            stayed.withColumn("n_stay", one),
+            closed,
+            hot=(),
+        )
 
-    titled = join_as_of_interval(
-        salaries, titles, "emp_no", "pay_date", closed, "title_from", "title_to", hot
-    )
-    placed = join_as_of_interval(
-        titled, stays, "emp_no", "pay_date", closed, "dept_from", "dept_to", hot
-    )
-    pairs = F.col("n_title") * F.col("n_stay")
-    group = ["dept_name", "title", "year_report"]
-    per_employee = (
-        placed.withColumn("year_report", year.cast("bigint"))
-        .groupBy("emp_no", *group)
-        .agg(
-            F.sum(F.col("salary") * pairs.cast("decimal(18,0)")).alias("pay"),
-            F.sum(F.col("n_pay") * pairs).alias("rows"),
+    if hot:
+        cool_rows, hot_rows = zip(*[split_hot(df, keys, hot) for df in (salaries, titles, stays)])
+        pay, held, stayed = hot_rows
+        per_employee = singly(*cool_rows).unionByName(
+            _pay_per_employee(
+                collapse(pay, ["emp_no", "pay_date"], ["salary"], "n_pay"),
+                collapse(held, held.columns, count="n_title"),
+                collapse(stayed, stayed.columns, count="n_stay"),
+                closed,
+                hot,
+            )
         )
-    )
+    else:
+        per_employee = singly(salaries, titles, stays)
+    group = ["dept_name", "title", "year_report"]
     return (
         per_employee.groupBy(*group)
         .agg(
