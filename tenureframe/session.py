@@ -34,7 +34,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     gets one of its own.
     """
     context = spark.sparkContext
-    base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
