@@ -12,14 +12,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tenureframe.functions import between_dates, row_count
+from tenureframe.functions import row_count
 from tenureframe.functions.dates import DateLike
 from tenureframe.operators import (
     detect_changes,
     first_last_in_period,
+    hot_slots,
     latest_per_key,
 )
 from tenureframe.sources.schemas import RECORD_ID, history_order
+from tenureframe.sources.tables import period_rows
 
 Tables = Mapping[str, DataFrame]
 
@@ -112,7 +114,7 @@ def _salary_log(tables: Tables, start: DateLike, end: DateLike) -> DataFrame:
 
 
 def _manager_log(tables: Tables, start: DateLike, end: DateLike) -> DataFrame:
-    terms = tables["dept_manager"].filter(between_dates("from_date", start, end))
+    terms = period_rows(tables["dept_manager"], start, end)
     return _log_rows(
         terms.join(tables["departments"], "dept_no"),
         MANAGER_CHANGE,
@@ -122,7 +124,7 @@ def _manager_log(tables: Tables, start: DateLike, end: DateLike) -> DataFrame:
 
 
 def _title_log(tables: Tables, start: DateLike, end: DateLike) -> DataFrame:
-    started = tables["titles"].filter(between_dates("from_date", start, end))
+    started = period_rows(tables["titles"], start, end)
     return _log_rows(
         started, TITLE_CHANGE, change_date=F.col("from_date"), new_value=F.col("title")
     )
@@ -204,7 +206,7 @@ def latest_change_report(tables: Tables, start: DateLike, end: DateLike) -> Data
     """Per employee and kind, the newest row that starts in the period."""
 
     def newest(table: str) -> DataFrame:
-        inside = tables[table].filter(between_dates("from_date", start, end))
+        inside = period_rows(tables[table], start, end)
         return latest_per_key(inside, ["emp_no"], _order(tables, table))
 
     def rows(df: DataFrame, table: str, value: Column) -> DataFrame:
@@ -271,6 +273,14 @@ def value_change_report(
     Equal values are kept. ``look_back="period"`` knows only rows of the period,
     so a previous value from before it is lost.
     """
+    if hot is None:
+        inside = [
+            period_rows(tables[table], start, end).select(
+                "emp_no", F.lit(kind).alias("change_type")
+            )
+            for table, kind in _KINDS.items()
+        ]
+        hot = hot_slots(inside, ["emp_no", "change_type"])
     history = _values_by_kind(tables)
     changes = detect_changes(
         history,

@@ -100,6 +100,7 @@ def hr_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
     for name in HISTORY_TABLES:
         tables[name] = scan("history", table_schema(name, record_id=True))
+    # The data model: every hundredth record is a manager's term.
     tables["dept_manager"] = tables["dept_manager"].filter(F.col("rec_id") % 100 == 0)
     return tables
 
