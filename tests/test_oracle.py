@@ -5,8 +5,8 @@ import pytest
 import __spark_entry__ as entry_points
 from tests.oracle_compare import TESTDATA, duck, spark_rows, sql_rows
 
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+QUERIES = entry_points.QUERIES
+ORACLE = entry_points.ORACLE
 UNWANTED = ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin")
 SF_DIR = str(TESTDATA / "sf0.01")
 
