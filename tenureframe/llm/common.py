@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +14,17 @@ from pyspark.sql import functions as F
 from tenureframe.session import scratch_path
 
 
+def prepare_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *paths]))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepare_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -47,3 +59,10 @@ def per_batch(
                 yield convert(batch)
 
     return run
+
+
+def forget(memory: dict, remember: int) -> None:
+    """Halve an overfull memory. The oldest entries stay: what is common comes early."""
+    if len(memory) > remember:
+        for name in list(memory)[remember // 2 :]:
+            del memory[name]
