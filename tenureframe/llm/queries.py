@@ -13,8 +13,10 @@ from tenureframe.llm.exact_dedup import exact_groups
 from tenureframe.llm.language import held_out, learn_profiles, predict_language
 from tenureframe.llm.packing import packed_pieces
 from tenureframe.llm.pieces import piece_digests
+from tenureframe.llm.repeats import remove_repeats
 from tenureframe.llm.secrets import scan_secrets
 from tenureframe.llm.sharding import shard_documents
+from tenureframe.llm.simhash import near_components
 from tenureframe.llm.url_filter import RULES, judge_urls, rules_table
 from tenureframe.llm.winnowing import compare_with_next
 
@@ -51,6 +53,10 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests.withColumnRenamed("id", "doc_id")
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(read_table(spark, sf_dir, "pages"), rules_table(spark, RULES))
 
@@ -59,6 +65,15 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(_documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_components(_documents(spark, sf_dir))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        "component_id",
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_documents(spark, sf_dir))
 
@@ -91,8 +106,10 @@ LLM_QUERIES: dict[str, Query] = {
         op1_packing,
         op2_winnowing,
         op3_sentencepiece,
+        op4_repeats,
         op5_url_filter,
         op6_secret_scan,
+        op7_simhash,
         op8_exact_dedup,
         op9_language,
         op10_sharding,
