@@ -32,7 +32,7 @@ def text_or_empty(text: str) -> Column:
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """Write to the shared folder and read back.
 
     Later steps then start from a scan: a lost executor costs a re-read, and what
@@ -40,7 +40,7 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

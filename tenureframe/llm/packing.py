@@ -147,7 +147,7 @@ def encode_documents(
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text")
     )
-    return staged(rows.mapInArrow(run, _STORED), "token-ids")
+    return staged(rows.mapInArrow(run, _STORED), "token-ids", compression="zstd")
 
 
 def with_offsets(encoded: DataFrame) -> DataFrame:
@@ -241,7 +241,7 @@ def packed_sequences(pieces: DataFrame, length: int = LENGTH) -> DataFrame:
                     ["sequence_id", "offset", "length", "ids", "doc_ids"],
                 )
 
-    runs = staged(pieces.mapInArrow(run, schema), "packed-runs")
+    runs = pieces.mapInArrow(run, schema)
     whole = runs.filter(F.col("length") == length).drop("offset")
     # At most ``length`` records meet here, with ``length`` ids together.
     ordered = F.array_sort(F.collect_list(F.struct("offset", "ids", "doc_ids")))

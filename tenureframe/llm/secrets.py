@@ -209,3 +209,30 @@ def scan_secrets(
     )
     found = rows.mapInArrow(per_batch(convert), _SPANS)
     return found if with_text else found.drop("redacted")
+
+
+def redact_documents(
+    docs: DataFrame,
+    text_col: str = "text",
+    length_col: str = "n_chars",
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """The documents with their secrets replaced in the text and its length brought up
+    to date; all other columns, and texts without secrets, stay as they are."""
+
+    def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = batch.column(text_col).to_pylist()
+        spans = [find_spans(text, threshold)[1] if text else [] for text in texts]
+        if not any(spans):
+            return batch
+        new = [redact(text, found) if found else text for text, found in zip(texts, spans)]
+        columns = dict(zip(batch.schema.names, batch.columns))
+        columns[text_col] = pa.array(new, batch.schema.field(text_col).type)
+        if length_col in columns:
+            kind = batch.schema.field(length_col).type
+            old = columns[length_col].to_pylist()
+            lengths = [len(n) if found else o for n, found, o in zip(new, spans, old)]
+            columns[length_col] = pa.array(lengths, kind)
+        return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+    return docs.mapInArrow(per_batch(convert), docs.schema)
