@@ -250,18 +250,20 @@ ORDER BY seniority DESC, e.emp_no, actual_title, actual_dept
 LIMIT 10"""
 
 
-def _trend(upper: str) -> str:
-    return _hr(f"""
+def _trend(upper: str, prefix: str = "") -> str:
+    # avg() in doubles, from an exact sum: NULL pay is in neither part.
+    mean = "CAST(sum(salary) AS DOUBLE) / nullif(count(salary), 0)"
+    return f"""
 SELECT dept_name AS departamento, title, year(s.from_date) AS year_report,
-       {_round("CAST(sum(salary) AS DOUBLE) / count(*)")} AS avg_salary,
+       {_round(mean)} AS avg_salary,
        count(DISTINCT s.emp_no) AS cantidad_empleados
-FROM salaries s
-JOIN titles t ON t.emp_no = s.emp_no AND s.from_date >= t.from_date
+FROM {prefix}salaries s
+JOIN {prefix}titles t ON t.emp_no = s.emp_no AND s.from_date >= t.from_date
              AND s.from_date {upper} t.to_date
-JOIN dept_emp p ON p.emp_no = s.emp_no AND s.from_date >= p.from_date
+JOIN {prefix}dept_emp p ON p.emp_no = s.emp_no AND s.from_date >= p.from_date
              AND s.from_date {upper} p.to_date
-JOIN departments d ON d.dept_no = p.dept_no
-GROUP BY dept_name, title, year(s.from_date)""")
+JOIN {prefix}departments d ON d.dept_no = p.dept_no
+GROUP BY dept_name, title, year(s.from_date)"""
 
 
 TITLE_TENURE = _hr(f"""
@@ -269,7 +271,7 @@ SELECT e.emp_no, e.first_name, e.last_name, coalesce(titles_held, 0) AS total_ti
        CAST(CAST(mean_days / 365 AS DECIMAL(18,6)) AS DOUBLE) AS avg_years_per_position
 FROM employees e
 LEFT JOIN (SELECT emp_no, count(DISTINCT title) AS titles_held,
-                  sum({_closed()} - from_date) / CAST(count(*) AS DOUBLE) AS mean_days
+                  avg({_closed()} - from_date) AS mean_days
            FROM titles GROUP BY emp_no) h ON h.emp_no = e.emp_no""")
 
 
@@ -459,6 +461,10 @@ ORACLE: dict[str, str] = {
     "dq_interval_check": _faulty(
         f"SELECT *, violations = 0 AS passed FROM ({_all(INTERVAL_RULES)})"
     ),
+    "dq_interval_sample": _faulty(
+        f"SELECT emp_no, dept_no, {_text('from_date', 'to_date')}, rec_id FROM raw_dept_emp "
+        "WHERE to_date < from_date ORDER BY raw_dept_emp.from_date, rec_id LIMIT 5"
+    ),
     "dq_suite": _faulty(
         _all([*NULL_RULES, *INTERVAL_RULES, DOMAIN_RULE, BIRTH_RULE, SALARY_RULE])
     ),
@@ -466,14 +472,21 @@ ORACLE: dict[str, str] = {
     "gender_disparity": DISPARITY,
     "manager_retention_rank": RETENTION,
     "most_senior": SENIOR,
-    "salary_trend": _trend("<="),
-    "salary_trend_left": _trend("<"),
+    "salary_trend": _hr(_trend("<=")),
+    "salary_trend_left": _hr(_trend("<")),
+    "salary_trend_faulty": _faulty(_trend("<=", "raw_")),
     "title_tenure": TITLE_TENURE,
     "annual_cost": _hr(_cost()),
     "annual_cost_cleaned": _clean(_cost("clean_")),
     "employee_report": _hr(_report()),
     "employee_report_cleaned": _clean(_report("clean_")),
     "dept_changers": CHANGERS,
+    "dept_moves": _hr("""
+SELECT s.emp_no, s.dept_no, CAST(s.from_date AS VARCHAR) AS from_date, n AS total_cambios,
+       first_name, last_name
+FROM dept_emp s JOIN employees e ON e.emp_no = s.emp_no
+JOIN (SELECT emp_no, count(*) AS n FROM dept_emp GROUP BY emp_no HAVING count(*) >= 2) c
+  ON c.emp_no = s.emp_no"""),
     "change_log_dept": _hr(MOVES),
     "change_log_salary": _hr(RAISES),
     "change_log_manager": _hr(MANAGERS),
@@ -503,6 +516,13 @@ ORACLE: dict[str, str] = {
     ),
     "interval_join": _interval("<="),
     "interval_join_left": _interval("<"),
+    "interval_join_distinct": _hr("""
+SELECT s.emp_no, CAST(s.from_date AS VARCHAR) AS pay_date, title,
+       CAST(t.from_date AS VARCHAR) AS from_date, CAST(t.to_date AS VARCHAR) AS to_date,
+       count(*) AS n
+FROM salaries s JOIN titles t ON t.emp_no = s.emp_no AND s.from_date >= t.from_date
+                             AND s.from_date <= t.to_date
+GROUP BY s.emp_no, s.from_date, title, t.from_date, t.to_date"""),
     "detect_changes": _hr(
         f"SELECT {TITLE_COLUMNS}, prev_title FROM (SELECT *, lag(title) OVER "
         "(PARTITION BY emp_no ORDER BY from_date, rec_id) AS prev_title FROM titles) "

@@ -128,14 +128,14 @@ def _csv_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "runs")
     path = jobs.run_latest_changes(tables, *PERIOD, base, RUN_TIME)
     assert path == run_stamped_path(base, RUN_TIME)
-    schema = change_reports.latest_change_report(tables, *PERIOD).schema
+    schema = change_reports.LATEST_SCHEMA
     return comparable(jobs.read_report(spark, path, schema))
 
 
 def _csv_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = hr_tables(spark, sf_dir)
     path = jobs.run_monthly_changes(tables, RUN_DATE, scratch_path(spark, "months"))
-    schema = change_reports.value_change_report(tables, *MONTH).schema
+    schema = change_reports.VALUE_SCHEMA
     return comparable(jobs.read_report(spark, path, schema))
 
 
@@ -159,6 +159,12 @@ def _title_at_pay(closed: str):
     return plan
 
 
+def _distinct_titles_at_pay(t) -> DataFrame:
+    pay = t["salaries"].select("emp_no", F.col("from_date").alias("pay_date"))
+    held = t["titles"].select("emp_no", "title", "from_date", "to_date")
+    return op.join_distinct(pay, held, "emp_no", "pay_date")
+
+
 def _open_stays(t) -> DataFrame:
     return analytics.open_stays_by_gender(t)
 
@@ -261,6 +267,9 @@ QUERIES: dict[str, Query] = {
         )
     ),
     "dq_interval_check": _faulty(_interval_checks),
+    "dq_interval_sample": _faulty(
+        lambda t: quality.sample_reversed_intervals(t["dept_emp"], order=["rec_id"])
+    ),
     "dq_suite": _faulty(quality.check_all_tables),
     # state, cost, tenure
     "dept_rotation": _hr(analytics.department_turnover),
@@ -269,12 +278,14 @@ QUERIES: dict[str, Query] = {
     "most_senior": _hr(lambda t: analytics.most_senior(t, AS_OF)),
     "salary_trend": _hr(analytics.salary_trend),
     "salary_trend_left": _hr(lambda t: analytics.salary_trend(t, closed="left")),
+    "salary_trend_faulty": _faulty(analytics.salary_trend),
     "title_tenure": _hr(_title_tenure),
     "annual_cost": _hr(lambda t: analytics.annual_cost(t, AS_OF)),
     "annual_cost_cleaned": _cleaned(lambda t: analytics.annual_cost(t, AS_OF)),
     "employee_report": _hr(lambda t: analytics.employee_report(t, AS_OF)),
     "employee_report_cleaned": _cleaned(lambda t: analytics.employee_report(t, AS_OF)),
     "dept_changers": _cleaned(analytics.department_changers),
+    "dept_moves": _hr(analytics.department_moves),
     # changes
     "change_log_dept": _hr(lambda t: change_reports.department_changes(t, *PERIOD)),
     "change_log_salary": _hr(lambda t: change_reports.salary_changes(t, *PERIOD)),
@@ -296,6 +307,7 @@ QUERIES: dict[str, Query] = {
     "active_at": _hr(lambda t: op.active_at(t["dept_emp"], MID_DAY)),
     "interval_join": _hr(_title_at_pay("both")),
     "interval_join_left": _hr(_title_at_pay("left")),
+    "interval_join_distinct": _hr(_distinct_titles_at_pay),
     "detect_changes": _hr(
         lambda t: op.detect_changes(t["titles"], ["emp_no"], "title", _ORDER)
     ),

@@ -6,9 +6,9 @@ from tenureframe.operators.changes import (
     with_neighbour,
 )
 from tenureframe.operators.groups import pivot_values, share_within_group
-from tenureframe.operators.intervals import active_at, join_as_of_interval
+from tenureframe.operators.intervals import active_at, join_as_of_interval, join_distinct
 from tenureframe.operators.latest import dedupe_by_key, latest_per_key, max_date_rows
-from tenureframe.operators.skew import collapse, hot_slots, split_hot
+from tenureframe.operators.skew import collapse, range_number
 
 __all__ = [
     "active_at",
@@ -16,12 +16,12 @@ __all__ = [
     "dedupe_by_key",
     "detect_changes",
     "first_last_in_period",
-    "hot_slots",
     "join_as_of_interval",
+    "join_distinct",
     "latest_per_key",
     "max_date_rows",
     "pivot_values",
+    "range_number",
     "share_within_group",
-    "split_hot",
     "with_neighbour",
 ]

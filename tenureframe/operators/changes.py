@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,52 +11,64 @@ from pyspark.sql import functions as F
 from tenureframe.functions import as_date, between_dates
 from tenureframe.functions.dates import DateLike
 from tenureframe.operators.latest import latest_per_key
-from tenureframe.operators.skew import hot_slots, split_hot
+from tenureframe.operators.skew import range_number
 
 
 def _ascending(columns: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_first() for c in columns]
 
 
-def _neighbour_by_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], take: Mapping[str, str], step
-) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(*_ascending(order))
-    return df.withColumns({out: step(F.col(src)).over(window) for out, src in take.items()})
+def _same(columns: Sequence[str]) -> Column:
+    return reduce(
+        Column.__and__, [F.col(f"r.{c}").eqNullSafe(F.col(f"c.{c}")) for c in columns]
+    )
 
 
-def _neighbour_by_day(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], take: Mapping[str, str], step
+def with_neighbour(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    take: Mapping[str, str],
+    direction: str = "previous",
+    ranges_from: DataFrame | None = None,
 ) -> DataFrame:
-    """The same for keys too long for one task: within each day, then across days.
+    """Add columns from the previous (or next) row of the same key.
 
-    Only the row at the edge of a day looks beyond it. Each day is reduced to its
-    edge row by partial aggregation, so the window across days sees one row per
-    key and day.
+    ``take`` maps new column to source column. ``order`` must identify a row within
+    its key; its first column is a date.
+
+    A key's rows are cut into buckets by date and by range of the next order column,
+    and each bucket is sorted on its own, so no task needs all rows of a key. Only the
+    row at the edge of a bucket looks beyond it: buckets are reduced to their edge
+    rows by partial aggregation, and one window per key runs over those.
+    ``ranges_from`` is the table to take the ranges from, if ``df`` is costly.
     """
+    backwards = {"previous": True, "next": False}[direction]
+    step = F.lag if backwards else F.lead
     day, finer = order[0], list(order[1:]) or [order[0]]
-    backwards = step is F.lag
+    number = range_number(df if ranges_from is None else ranges_from, finer[0])
+    rows = df.withColumn("_range", number if len(order) > 1 else F.lit(0))
+    bucket = [*keys, day, "_range"]
+
     within = _ascending(finer)
     outward = within if backwards else [F.col(c).desc_nulls_last() for c in finer]
-    in_day = Window.partitionBy(*keys, day)
-    rows = df.withColumns(
+    in_bucket = Window.partitionBy(*bucket)
+    linked = rows.withColumns(
         {
-            **{out: step(F.col(src)).over(in_day.orderBy(*within)) for out, src in take.items()},
-            "_edge": F.row_number().over(in_day.orderBy(*outward)) == 1,
+            **{out: step(F.col(src)).over(in_bucket.orderBy(*within)) for out, src in take.items()},
+            "_edge": F.row_number().over(in_bucket.orderBy(*outward)) == 1,
         }
     )
-
     pick = F.max_by if backwards else F.min_by
-    last_of_day = pick(F.struct(*take.values()), F.struct(*order))
-    across = Window.partitionBy(*keys).orderBy(*_ascending([day]))
+    nearest = pick(F.struct(*dict.fromkeys(take.values())), F.struct(*order))
+    across = Window.partitionBy(*keys).orderBy(*_ascending([day, "_range"]))
     carried = (
-        df.groupBy(*keys, day)
-        .agg(last_of_day.alias("_own"))
+        rows.groupBy(*bucket)
+        .agg(nearest.alias("_own"))
         .withColumn("_carried", step(F.col("_own")).over(across))
         .drop("_own")
     )
-    same_day = [F.col(f"r.{c}").eqNullSafe(F.col(f"c.{c}")) for c in [*keys, day]]
-    joined = rows.alias("r").join(carried.alias("c"), same_day, "left")
+    joined = linked.alias("r").join(carried.alias("c"), _same(bucket), "left")
     return joined.select(
         *[F.col(f"r.{c}") for c in df.columns],
         *[
@@ -67,31 +80,6 @@ def _neighbour_by_day(
     )
 
 
-def with_neighbour(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    take: Mapping[str, str],
-    direction: str = "previous",
-    hot: Sequence[int] | None = None,
-) -> DataFrame:
-    """Add columns from the previous (or next) row of the same key.
-
-    ``take`` maps new column to source column. ``order`` must identify a row
-    within its key, its first column being the date on which hot keys are split.
-    ``hot`` gives the hot slots if the caller knows them, ``()`` for none.
-    """
-    step = {"previous": F.lag, "next": F.lead}[direction]
-    if hot is None:
-        hot = hot_slots(df, keys)
-    if not hot:
-        return _neighbour_by_key(df, keys, order, take, step)
-    cool_rows, hot_rows = split_hot(df, keys, hot)
-    return _neighbour_by_key(cool_rows, keys, order, take, step).unionByName(
-        _neighbour_by_day(hot_rows, keys, order, take, step)
-    )
-
-
 def detect_changes(
     history: DataFrame,
     keys: Sequence[str],
@@ -102,7 +90,6 @@ def detect_changes(
     only_different: bool = True,
     look_back: str = "full",
     also_previous: Sequence[str] = (),
-    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Rows whose previous row of the same key has a value, added as ``prev_<value>``.
 
@@ -112,9 +99,9 @@ def detect_changes(
     ``"period"`` only inside it. ``also_previous`` names further columns whose
     previous value is added.
 
-    A look back needs just the last row before the period, so history is cut to
-    one row per key inside the map tasks, and rows after the period are never
-    read.
+    A look back needs just the last row before the period, and only of keys with a row
+    in the period: earlier history is cut to those inside the map tasks, and rows
+    after the period are never read.
     """
     if look_back not in ("full", "period"):
         raise ValueError(f"look_back must be 'full' or 'period', not {look_back!r}")
@@ -126,23 +113,14 @@ def detect_changes(
     def in_period(df: DataFrame) -> DataFrame:
         return df.filter(between_dates(date, start, end)) if bounded else df
 
-    def needed(df: DataFrame) -> DataFrame:
-        if not bounded or look_back == "period":
-            return in_period(df)
-        earlier = df.filter((F.col(date) < as_date(start)) | F.col(date).isNull())
-        return latest_per_key(earlier, keys, order).unionByName(in_period(df))
-
+    needed = in_period(history)
+    if bounded and look_back == "full":
+        earlier = history.filter((F.col(date) < as_date(start)) | F.col(date).isNull())
+        present = needed.select(*keys).distinct()
+        wanted = earlier.alias("r").join(present.alias("c"), _same(keys), "left_semi")
+        needed = latest_per_key(wanted, keys, order).unionByName(needed)
     take = {f"prev_{c}": c for c in (value, *also_previous)}
-    if hot is None:
-        # Only rows inside the period can pile up on a key after the cut.
-        hot = hot_slots(in_period(history), keys)
-    if not hot:
-        linked = _neighbour_by_key(needed(history), keys, order, take, F.lag)
-    else:
-        cool_rows, hot_rows = split_hot(history, keys, hot)
-        linked = _neighbour_by_key(needed(cool_rows), keys, order, take, F.lag).unionByName(
-            _neighbour_by_day(needed(hot_rows), keys, order, take, F.lag)
-        )
+    linked = with_neighbour(needed, keys, order, take, ranges_from=in_period(history))
     changed = in_period(linked).filter(F.col(previous).isNotNull())
     if only_different:
         changed = changed.filter(F.col(value) != F.col(previous))

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from tenureframe.functions import as_date
 from tenureframe.functions.dates import DateLike
-from tenureframe.operators.skew import HOT_ROWS_PAIRED, hot_slots, split_hot
+from tenureframe.operators.skew import collapse
 
 
 def active_at(
@@ -20,6 +19,17 @@ def active_at(
     return df.filter((F.col(start) <= day) & (F.col(end) >= day))
 
 
+def _check_types(facts: DataFrame, history: DataFrame, key: str, *dates: tuple) -> None:
+    """Keys must be of one kind, dates must be dates: else equal values would not meet."""
+    left, right = facts.schema[key].dataType, history.schema[key].dataType
+    if left != right and not all(isinstance(t, NumericType) for t in (left, right)):
+        raise TypeError(f"{key} is {left.simpleString()} on one side, {right.simpleString()} on the other")
+    for df, column in dates:
+        kind = df.schema[column].dataType
+        if not isinstance(kind, (DateType, TimestampType, TimestampNTZType)):
+            raise TypeError(f"{column} must be a date or timestamp, not {kind.simpleString()}")
+
+
 def join_as_of_interval(
     facts: DataFrame,
     history: DataFrame,
@@ -28,54 +38,59 @@ def join_as_of_interval(
     closed: str = "both",
     start: str = "from_date",
     end: str = "to_date",
-    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Join each fact to the history rows of its key that cover the fact's date.
 
     ``closed="both"`` includes both ends, so a date on which one row ends and the
     next begins matches both; ``"left"`` excludes the end. Apart from ``key`` the
-    two sides must not share column names.
+    two sides must not share column names. The result has a row per matching pair;
+    where only counts or sums are needed, ``join_distinct`` is far smaller.
 
-    An ordinary key is matched on the key, and its few intervals are compared with
-    the date. A hot key is matched on key and day, its intervals repeated once per
-    day between the first and the last fact: the key spreads over tasks, and only
-    pairs that belong to the result are formed. ``hot`` gives the hot slots if the
-    caller knows them, ``()`` for none.
+    Rows meet on key and day, so a key spreads over its days, and hardly a pair is
+    formed that is not in the result. An interval is repeated for those days only on
+    which its key has facts; a key's days are at most those of the calendar, however
+    many facts it has.
     """
     if closed not in ("both", "left"):
         raise ValueError(f"closed must be 'both' or 'left', not {closed!r}")
-    if hot is None:
-        hot = hot_slots([facts, history], [key], min_rows=HOT_ROWS_PAIRED)
-
-    def by_key(fact_rows: DataFrame, history_rows: DataFrame) -> DataFrame:
-        before_end = F.col(date) <= F.col(end) if closed == "both" else F.col(date) < F.col(end)
-        return _on(fact_rows, history_rows, key, (F.col(date) >= F.col(start)) & before_end)
-
-    def by_day(fact_rows: DataFrame, history_rows: DataFrame) -> DataFrame:
-        last_day = F.col(end) if closed == "both" else F.date_sub(end, 1)
-        range_ = F.struct(F.min(date).alias("lo"), F.max(date).alias("hi"))
-        fact_range = fact_rows.agg(range_).scalar()
-        first = F.greatest(F.col(start), fact_range["lo"])
-        last = F.least(last_day, fact_range["hi"])
-        daily = (
-            history_rows.filter(F.col(start).isNotNull() & F.col(end).isNotNull())
-            .withColumns({"_first": first, "_last": last})
-            .filter(F.col("_first") <= F.col("_last"))
-            .withColumn("_day", F.explode(F.sequence("_first", "_last")))
-            .drop("_first", "_last")
-        )
-        return _on(fact_rows, daily, key, F.col(date) == F.col("_day")).drop("_day")
+    _check_types(facts, history, key, (facts, date), (history, start), (history, end))
+    day = F.to_date(F.col(date))
+    days = facts.groupBy(key).agg(F.collect_set(day).alias("_days"))
+    first, last = F.to_date(F.col(start)), F.to_date(F.col(end))
+    covered = F.filter("_days", lambda d: (d >= first) & (d <= last))
+    daily = (
+        history.filter(F.col(start).isNotNull() & F.col(end).isNotNull())
+        .join(days, key)
+        .withColumn("_day", F.explode(covered))
+        .drop("_days")
+    )
+    before_end = F.col(date) <= F.col(end) if closed == "both" else F.col(date) < F.col(end)
+    joined = facts.alias("l").join(
+        daily.alias("r"),
+        (F.col(f"l.{key}") == F.col(f"r.{key}"))
+        & (F.to_date(F.col(f"l.{date}")) == F.col("r._day"))
+        & (F.col(date) >= F.col(start))
+        & before_end,
+    )
+    return joined.select("l.*", *[F.col(f"r.{c}") for c in history.columns if c != key])
 
-    if not hot:
-        return by_key(facts, history)
-    cool_facts, hot_facts = split_hot(facts, [key], hot)
-    cool_history, hot_history = split_hot(history, [key], hot)
-    return by_key(cool_facts, cool_history).unionByName(by_day(hot_facts, hot_history))
 
+def join_distinct(
+    facts: DataFrame,
+    history: DataFrame,
+    key: str,
+    date: str,
+    closed: str = "both",
+    start: str = "from_date",
+    end: str = "to_date",
+    count: str = "n",
+) -> DataFrame:
+    """The same join over distinct rows, with the number of pairs each result stands for.
 
-def _on(left: DataFrame, right: DataFrame, key: str, condition) -> DataFrame:
-    """Inner join on ``key`` and ``condition``, the key kept once."""
-    joined = left.alias("l").join(
-        right.alias("r"), (F.col(f"l.{key}") == F.col(f"r.{key}")) & condition
-    )
-    return joined.select("l.*", *[F.col(f"r.{c}") for c in right.columns if c != key])
+    Both sides shrink inside the map tasks, so a key with very many equal rows gives
+    its distinct combinations instead of all its pairs.
+    """
+    left = collapse(facts, facts.columns, count="_facts")
+    right = collapse(history, history.columns, count="_rows")
+    joined = join_as_of_interval(left, right, key, date, closed, start, end)
+    return joined.withColumn(count, F.col("_facts") * F.col("_rows")).drop("_facts", "_rows")

@@ -1,15 +1,7 @@
-"""Find the keys that hold too many rows, and treat only those differently.
+"""Shrink and spread keys that may hold very many rows.
 
-Keys are hashed into a fixed number of slots and rows are counted per slot: one
-scan of the key columns, at most ``SLOTS`` counts per map task to shuffle, and at
-most ``SLOTS`` counts to look at. A slot is hot when it holds more than a share
-of all rows. Operators plan the usual way when nothing is hot, and otherwise
-split their input into a cool and a hot part by slot. A cool key that shares a
-slot with a hot one takes the hot path too: both paths give the same result, only
-their cost differs.
-
-Counting is a Spark job of its own, run while the plan is built, so the input
-should be a stored table rather than the end of a long plan.
+Nothing here looks at the data while a plan is built, and nothing switches on its
+size: the same plan runs at every size.
 """
 
 from __future__ import annotations
@@ -19,48 +11,28 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from tenureframe.functions import row_count
 
-SLOTS = 4096
-
-# A slot is hot above both: a share of all rows, and what one task takes easily.
-HOT_SHARE = 1 / 500
-HOT_ROWS = 100_000
-
-# The row limit where rows of one key meet in pairs.
-HOT_ROWS_PAIRED = 5_000
-
+# Into how many ranges the rows of one key and day are cut.
+RANGES = 32
 
-def key_slot(keys: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(SLOTS))
 
+def range_number(source: DataFrame, column: str, ranges: int = RANGES) -> Column:
+    """In which of ``ranges`` ranges of ``column`` a value lies; never falls as it rises.
 
-def hot_slots(
-    frames: DataFrame | Sequence[DataFrame],
-    keys: Sequence[str],
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_ROWS,
-) -> list[int]:
-    """The hot slots of a table, or of several taken together; usually none."""
-    if isinstance(frames, DataFrame):
-        frames = [frames]
-    slots = reduce(DataFrame.unionAll, [f.select(key_slot(keys).alias("slot")) for f in frames])
-    counts = slots.groupBy("slot").agg(row_count().alias("rows")).collect()
-    limit = max(share * sum(c["rows"] for c in counts), min_rows)
-    return sorted(c["slot"] for c in counts if c["rows"] > limit)
-
-
-def split_hot(
-    df: DataFrame, keys: Sequence[str], hot: Sequence[int]
-) -> tuple[DataFrame, DataFrame]:
-    """The rows outside and inside the hot slots; together exactly ``df``."""
-    slotted = df.withColumn("_slot", key_slot(keys))
-    # As text: one call instead of one per number.
-    numbers = ", ".join(map(str, hot))
-    cool_rows = slotted.filter(f"_slot NOT IN ({numbers})")
-    hot_rows = slotted.filter(f"_slot IN ({numbers})")
-    return cool_rows.drop("_slot"), hot_rows.drop("_slot")
+    The cuts are approximate quantiles over ``source``, a part of the query itself.
+    Whatever they are, results do not depend on them. NULL lies in the first range,
+    and so does everything if the column is neither a number nor a date.
+    """
+    kind = source.schema[column].dataType
+    if not isinstance(kind, (NumericType, DateType, TimestampType, TimestampNTZType)):
+        return F.lit(0)
+    shares = [i / ranges for i in range(1, ranges)]
+    cuts = source.agg(F.percentile_approx(column, shares, 20 * ranges)).scalar()
+    above = [(F.get(cuts, F.lit(i)) < F.col(column)).cast("int") for i in range(ranges - 1)]
+    return F.coalesce(reduce(Column.__add__, above), F.lit(0))
 
 
 def collapse(
@@ -68,8 +40,8 @@ def collapse(
 ) -> DataFrame:
     """One row per distinct ``by``, with sums and the number of rows it stands for.
 
-    Use it for hot keys before a join whose result is only summed: partial
-    aggregation shrinks a key inside every map task, and what is left is bounded
-    by the distinct values of ``by``.
+    Use it before a join whose result is only summed: partial aggregation shrinks a
+    key inside every map task, and what is left is bounded by the distinct values of
+    ``by``.
     """
     return df.groupBy(*by).agg(*[F.sum(s).alias(s) for s in sums], row_count().alias(count))

@@ -8,7 +8,7 @@ count, so that a key with very many rows shrinks inside the map tasks.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,19 +27,18 @@ from tenureframe.operators import (
     active_at,
     collapse,
     dedupe_by_key,
-    hot_slots,
     join_as_of_interval,
     latest_per_key,
     max_date_rows,
     pivot_values,
     share_within_group,
-    split_hot,
 )
-from tenureframe.operators.skew import HOT_ROWS_PAIRED
 from tenureframe.sources.schemas import RECORD_ID
 
 Tables = Mapping[str, DataFrame]
 
+# The names of the output columns and the labels in this module.
+
 
 def _latest_by_end(history: DataFrame, value: str) -> DataFrame:
     """The row of each employee with the latest end, then latest start."""
@@ -165,116 +164,103 @@ def manager_retention_rank(tables: Tables, as_of: DateLike | None = None) -> Dat
 def most_senior(tables: Tables, as_of: DateLike | None = None, n: int = 10) -> DataFrame:
     """The longest serving employees with an open stay.
 
-    Title and department are those of the latest start; ties give several rows.
+    Title and department are those of the latest start; ties give several rows. Every
+    chosen employee gives at least one row, so the first ``n`` employees are enough,
+    and of each of them the first ``n`` distinct titles and departments, with counts.
     """
-    titles = max_date_rows(tables["titles"].select("emp_no", "title", "from_date"), ["emp_no"])
-    stays = max_date_rows(tables["dept_emp"].select("emp_no", "dept_no", "from_date"), ["emp_no"])
-    employed = tables["dept_emp"].filter(is_open("to_date")).select("emp_no").distinct()
+    stays = tables["dept_emp"].select("emp_no", "dept_no", "from_date")
+    placed = max_date_rows(stays, ["emp_no"]).join(tables["departments"], "dept_no")
+    titled = tables["titles"].filter(F.col("from_date").isNotNull())
+    employed = tables["dept_emp"].filter(is_open("to_date"))
     years = F.datediff(as_date(as_of), F.col("hire_date")) / float(DAYS_PER_YEAR)
+    first = tables["employees"].withColumn("seniority", round_half_up(years))
+    for needed in (employed, titled, placed):
+        first = first.join(needed.select("emp_no").distinct(), "emp_no", "left_semi")
+    order = [F.desc("seniority"), "emp_no"]
+    first = first.orderBy(*order).limit(n)
+
+    def distinct(latest: DataFrame, value: str, count: str) -> DataFrame:
+        counted = collapse(latest, ["emp_no", value], count=count)
+        place = F.row_number().over(Window.partitionBy("emp_no").orderBy(value))
+        return counted.withColumn("_place", place).filter(F.col("_place") <= n).drop("_place")
+
+    def of_first(history: DataFrame) -> DataFrame:
+        return history.join(first.select("emp_no").distinct(), "emp_no", "left_semi")
+
+    titles = max_date_rows(of_first(titled.select("emp_no", "title", "from_date")), ["emp_no"])
+    times = F.least(F.col("n_titles") * F.col("n_stays"), F.lit(n))
     return (
-        tables["employees"]
-        .join(employed, "emp_no", "left_semi")
-        .join(titles.drop("from_date"), "emp_no")
-        .join(stays.drop("from_date"), "emp_no")
-        .join(tables["departments"], "dept_no")
+        first.join(distinct(titles, "title", "n_titles"), "emp_no")
+        .join(distinct(of_first(placed), "dept_name", "n_stays"), "emp_no")
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), times)))
         .select(
             "emp_no",
             "first_name",
             "last_name",
             "hire_date",
-            round_half_up(years).alias("seniority"),
+            "seniority",
             F.col("title").alias("actual_title"),
             F.col("dept_name").alias("actual_dept"),
         )
-        .orderBy(F.desc("seniority"), "emp_no", "actual_title", "actual_dept")
+        .orderBy(*order, "actual_title", "actual_dept")
         .limit(n)
     )
 
 
-def _pay_per_employee(
-    salaries: DataFrame, titles: DataFrame, stays: DataFrame, closed: str, hot: Sequence[int]
-) -> DataFrame:
-    """Pay and rows per employee, department, title and year.
-
-    ``n_pay``, ``n_title`` and ``n_stay`` tell how many rows a row stands for.
-    """
-    titled = join_as_of_interval(
-        salaries, titles, "emp_no", "pay_date", closed, "title_from", "title_to", hot
-    )
-    placed = join_as_of_interval(
-        titled, stays, "emp_no", "pay_date", closed, "dept_from", "dept_to", hot
-    )
-    pairs = F.col("n_title") * F.col("n_stay")
-    return (
-        placed.withColumn("year_report", F.year("pay_date").cast("bigint"))
-        .groupBy("emp_no", "dept_name", "title", "year_report")
-        .agg(
-            F.sum(F.col("salary") * pairs.cast("decimal(18,0)")).alias("pay"),
-            F.sum(F.col("n_pay") * pairs).alias("rows"),
-        )
-    )
-
-
-def salary_trend(
-    tables: Tables, closed: str = "both", hot: Sequence[int] | None = None
-) -> DataFrame:
+def salary_trend(tables: Tables, closed: str = "both") -> DataFrame:
     """Mean pay and staff per department, title and year of salary start.
 
-    Every salary meets each title and stay that covers its start, so an employee
-    with very many rows would meet them in pairs. Such employees go apart: their
-    rows are first reduced, in all three tables, to one per distinct value and
-    interval with a count, and the products of the counts restore sums and row
-    numbers.
+    Every salary meets each title and stay that covers its start. All three tables are
+    first reduced to one row per distinct value and interval with a count, and the
+    products of the counts restore sums and row numbers, so an employee with very many
+    rows meets in distinct combinations only. Missing pay counts as staff, but neither
+    in the sum nor in the number of salaries.
     """
-    salaries = tables["salaries"].select("emp_no", "salary", F.col("from_date").alias("pay_date"))
-    salaries = salaries.filter(F.year("pay_date") < 9999)
-    titles = tables["titles"].select(
-        "emp_no", "title", F.col("from_date").alias("title_from"), F.col("to_date").alias("title_to")
+    salaries = (
+        tables["salaries"]
+        .filter(F.year("from_date") < 9999)
+        .groupBy("emp_no", F.col("from_date").alias("pay_date"))
+        .agg(F.sum("salary").alias("salary"), F.count("salary").alias("n_pay"))
     )
-    stays = (
-        tables["dept_emp"]
-        .join(tables["departments"], "dept_no")
-        .select(
+
+    def intervals(table: str, value: str, name: str) -> DataFrame:
+        rows = tables[table].select(
             "emp_no",
-            "dept_name",
-            F.col("from_date").alias("dept_from"),
-            F.col("to_date").alias("dept_to"),
+            value,
+            F.col("from_date").alias(f"{name}_from"),
+            F.col("to_date").alias(f"{name}_to"),
         )
-    )
-    keys = ["emp_no"]
-    if hot is None:
-        sides = [salaries, titles, tables["dept_emp"]]
-        hot = hot_slots(sides, keys, min_rows=HOT_ROWS_PAIRED)
-    one = F.lit(1).cast("bigint")
-
-    def singly(pay: DataFrame, held: DataFrame, stayed: DataFrame) -> DataFrame:
-        return _pay_per_employee(
-            pay.withColumn("n_pay", one),
-            held.withColumn("n_title", one),
-            stayed.withColumn("n_stay", one),
+        return collapse(rows, rows.columns, count=f"n_{name}")
+
+    joined = salaries
+    for table, value, name in (("titles", "title", "title"), ("dept_emp", "dept_no", "stay")):
+        joined = join_as_of_interval(
+            joined,
+            intervals(table, value, name),
+            "emp_no",
+            "pay_date",
             closed,
-            hot=(),
+            f"{name}_from",
+            f"{name}_to",
         )
-
-    if hot:
-        cool_rows, hot_rows = zip(*[split_hot(df, keys, hot) for df in (salaries, titles, stays)])
-        pay, held, stayed = hot_rows
-        per_employee = singly(*cool_rows).unionByName(
-            _pay_per_employee(
-                collapse(pay, ["emp_no", "pay_date"], ["salary"], "n_pay"),
-                collapse(held, held.columns, count="n_title"),
-                collapse(stayed, stayed.columns, count="n_stay"),
-                closed,
-                hot,
-            )
+    pairs = F.col("n_title") * F.col("n_stay")
+    per_employee = (
+        joined.withColumn("year_report", F.year("pay_date").cast("bigint"))
+        .groupBy("emp_no", "dept_no", "title", "year_report")
+        .agg(
+            F.sum(F.col("salary") * pairs.cast("decimal(18,0)")).alias("pay"),
+            F.sum(F.col("n_pay") * pairs).alias("salaries"),
         )
-    else:
-        per_employee = singly(salaries, titles, stays)
+    )
+    # Names come last; departments that share one are put together per employee.
     group = ["dept_name", "title", "year_report"]
     return (
-        per_employee.groupBy(*group)
+        per_employee.join(tables["departments"], "dept_no")
+        .groupBy("emp_no", *group)
+        .agg(F.sum("pay").alias("pay"), F.sum("salaries").alias("salaries"))
+        .groupBy(*group)
         .agg(
-            round_half_up(ratio(F.sum("pay"), F.sum("rows"))).alias("avg_salary"),
+            round_half_up(ratio(F.sum("pay"), F.sum("salaries"))).alias("avg_salary"),
             row_count().alias("cantidad_empleados"),
         )
         .withColumnRenamed("dept_name", "departamento")
@@ -357,26 +343,42 @@ def employee_report(tables: Tables, as_of: DateLike | None = None) -> DataFrame:
     )
 
 
-def department_changers(tables: Tables, min_rows: int = 2) -> DataFrame:
-    """Employees with several stays, their departments and dates in order.
+def department_moves(tables: Tables, min_rows: int = 2) -> DataFrame:
+    """A row per stay of employees with several, with their number of stays.
 
-    Made for cleaned stays, one per employee and department: an employee's arrays
-    are then no longer than the list of departments.
+    The form for raw history: no employee's stays are brought together.
     """
-    stay = F.struct("from_date", "dept_no")
-    moves = (
+    counted = (
         tables["dept_emp"]
         .groupBy("emp_no")
-        .agg(F.array_sort(F.collect_list(stay)).alias("stays"))
-        .filter(F.size("stays") >= min_rows)
+        .agg(row_count().alias("total_cambios"))
+        .filter(F.col("total_cambios") >= min_rows)
     )
     return (
-        moves.join(tables["employees"].select("emp_no", "first_name", "last_name"), "emp_no")
+        tables["dept_emp"]
+        .select("emp_no", "dept_no", "from_date")
+        .join(counted, "emp_no")
+        .join(tables["employees"].select("emp_no", "first_name", "last_name"), "emp_no")
+    )
+
+
+def department_changers(tables: Tables, min_rows: int = 2) -> DataFrame:
+    """Employees with several stays, their departments and dates in order.
+
+    Made for cleaned stays, one per employee and department: an employee's arrays
+    are then no longer than the list of departments. Use ``department_moves`` on raw
+    history.
+    """
+    stays = F.array_sort(F.collect_list(F.struct("from_date", "dept_no")))
+    return (
+        department_moves(tables, min_rows)
+        .groupBy("emp_no", "first_name", "last_name", "total_cambios")
+        .agg(stays.alias("stays"))
         .select(
             "emp_no",
             "first_name",
             "last_name",
-            F.size("stays").cast("bigint").alias("total_cambios"),
+            "total_cambios",
             F.col("stays.dept_no").alias("departamentos"),
             F.col("stays.from_date").alias("fechas_cambio"),
         )

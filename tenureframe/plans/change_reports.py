@@ -7,7 +7,7 @@ two decimals. The kinds are put together first and meet the employees once.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +17,6 @@ from tenureframe.functions.dates import DateLike
 from tenureframe.operators import (
     detect_changes,
     first_last_in_period,
-    hot_slots,
     latest_per_key,
 )
 from tenureframe.sources.schemas import RECORD_ID, history_order
@@ -32,6 +31,15 @@ MANAGER_CHANGE = "manager_change"
 TITLE_CHANGE = "title_change"
 NOT_APPLICABLE = "N/A"
 
+# The columns of the reports, as they are written to CSV.
+LATEST_SCHEMA = (
+    "emp_no bigint, full_name string, change_type string, new_value string, change_date date"
+)
+VALUE_SCHEMA = (
+    "emp_no bigint, full_name string, change_type string, old_value string, new_value string, "
+    "change_date date"
+)
+
 _VALUES = {"dept_emp": "dept_no", "salaries": "salary", "titles": "title"}
 _KINDS = {
     "dept_emp": DEPARTMENT_CHANGE,
@@ -80,13 +88,9 @@ def _log_rows(df: DataFrame, kind: str, **columns: Column) -> DataFrame:
     )
 
 
-def _department_log(
-    tables: Tables, start: DateLike, end: DateLike, hot: Sequence[int] | None
-) -> DataFrame:
+def _department_log(tables: Tables, start: DateLike, end: DateLike) -> DataFrame:
     order = _order(tables, "dept_emp")
-    moved = detect_changes(
-        tables["dept_emp"], ["emp_no"], "dept_no", order, start, end, hot=hot
-    )
+    moved = detect_changes(tables["dept_emp"], ["emp_no"], "dept_no", order, start, end)
     named = moved.join(_department_names(tables, "dept_no", "to_name"), "dept_no").join(
         _department_names(tables, "prev_dept_no", "from_name"), "prev_dept_no"
     )
@@ -145,11 +149,9 @@ def _with_names(log: DataFrame, tables: Tables) -> DataFrame:
     )
 
 
-def department_changes(
-    tables: Tables, start: DateLike, end: DateLike, hot: Sequence[int] | None = None
-) -> DataFrame:
+def department_changes(tables: Tables, start: DateLike, end: DateLike) -> DataFrame:
     """Moves to another department, compared with the previous stay of all time."""
-    return _with_names(_department_log(tables, start, end, hot), tables)
+    return _with_names(_department_log(tables, start, end), tables)
 
 
 def salary_changes(tables: Tables, start: DateLike, end: DateLike) -> DataFrame:
@@ -167,13 +169,11 @@ def title_changes(tables: Tables, start: DateLike, end: DateLike) -> DataFrame:
     return _with_names(_title_log(tables, start, end), tables)
 
 
-def change_log(
-    tables: Tables, start: DateLike, end: DateLike, hot: Sequence[int] | None = None
-) -> DataFrame:
+def change_log(tables: Tables, start: DateLike, end: DateLike) -> DataFrame:
     """All four kinds, by date and then employee number as text."""
     log = _union(
         [
-            _department_log(tables, start, end, hot),
+            _department_log(tables, start, end),
             _salary_log(tables, start, end),
             _manager_log(tables, start, end),
             _title_log(tables, start, end),
@@ -229,58 +229,33 @@ def latest_change_report(tables: Tables, start: DateLike, end: DateLike) -> Data
 
 
 def _values_by_kind(tables: Tables) -> DataFrame:
-    """The three histories in one, so that one shuffle serves all of them.
-
-    ``value`` is what is compared and ``new_value`` what is shown; ``known`` is
-    false for a stay in a department that does not exist.
-    """
-    departments = tables["departments"].select(
-        "dept_no", F.col("dept_name").alias("shown"), F.lit(True).alias("known")
-    )
-    stays = tables["dept_emp"].join(departments, "dept_no", "left")
-    always = F.lit(True)
-    kinds = {
-        "dept_emp": (stays, F.col("shown"), F.coalesce("known", F.lit(False))),
-        "salaries": (tables["salaries"], _salary_text("salary"), always),
-        "titles": (tables["titles"], F.col("title"), always),
-    }
+    """The three histories in one, so that one shuffle serves all of them."""
     tie_break = "to_date" if "to_date" in _order(tables, "dept_emp") else RECORD_ID
     return _union(
         [
-            df.select(
+            tables[table].select(
                 "emp_no",
                 "from_date",
                 tie_break,
-                F.lit(_KINDS[table]).alias("change_type"),
+                F.lit(kind).alias("change_type"),
                 _text(_VALUES[table]).alias("value"),
-                shown.alias("new_value"),
-                known.alias("known"),
             )
-            for table, (df, shown, known) in kinds.items()
+            for table, kind in _KINDS.items()
         ]
     )
 
 
 def value_change_report(
-    tables: Tables,
-    start: DateLike,
-    end: DateLike,
-    look_back: str = "full",
-    hot: Sequence[int] | None = None,
+    tables: Tables, start: DateLike, end: DateLike, look_back: str = "full"
 ) -> DataFrame:
     """Previous and new value of every row of the period that has a previous one.
 
     Equal values are kept. ``look_back="period"`` knows only rows of the period,
-    so a previous value from before it is lost.
+    so a previous value from before it is lost. A stay in a department that does not
+    exist is left out; as a previous value it is NULL.
+
+    Values are compared as codes; names are looked up for the rows of the result.
     """
-    if hot is None:
-        inside = [
-            period_rows(tables[table], start, end).select(
-                "emp_no", F.lit(kind).alias("change_type")
-            )
-            for table, kind in _KINDS.items()
-        ]
-        hot = hot_slots(inside, ["emp_no", "change_type"])
     history = _values_by_kind(tables)
     changes = detect_changes(
         history,
@@ -291,16 +266,29 @@ def value_change_report(
         end,
         only_different=False,
         look_back=look_back,
-        also_previous=["new_value"],
-        hot=hot,
     )
-    shown = changes.filter("known").select(
+    moves = (
+        changes.filter(F.col("change_type") == DEPARTMENT_CHANGE)
+        .join(_department_names(tables, "value", "new_value"), "value")
+        .join(_department_names(tables, "prev_value", "old_value"), "prev_value", "left")
+    )
+    salary = F.col("change_type") == SALARY_CHANGE
+
+    def shown(value: str) -> Column:
+        text = F.col(value).try_cast("decimal(10,2)").cast("string")
+        return F.when(salary, text).otherwise(F.col(value))
+
+    others = changes.filter(F.col("change_type") != DEPARTMENT_CHANGE).withColumns(
+        {"old_value": shown("prev_value"), "new_value": shown("value")}
+    )
+    columns = [
         "emp_no",
         "change_type",
-        F.col("prev_new_value").alias("old_value"),
+        "old_value",
         "new_value",
         F.col("from_date").alias("change_date"),
-    )
-    return _with_full_name(shown, tables).orderBy(
+    ]
+    both = moves.select(*columns).unionByName(others.select(*columns))
+    return _with_full_name(both, tables).orderBy(
         "change_date", "emp_no", "change_type", "new_value"
     )

@@ -16,8 +16,9 @@ from tenureframe.plans.change_reports import (
 )
 from tenureframe.plans.cleaning import clean_all_tables
 from tenureframe.plans.quality import check_all_tables
+from tenureframe.session import scratch_path
 from tenureframe.sinks import period_path, run_stamped_path, save_tables, write_csv_report
-from tenureframe.sinks.files import CSV_OPTIONS
+from tenureframe.sinks.files import CSV_READ
 from tenureframe.sources import read_parquet_tables
 
 Tables = Mapping[str, DataFrame]
@@ -44,16 +45,20 @@ def run_etl(
 
 
 def read_report(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    return spark.read.schema(schema).options(**CSV_READ).csv(path)
 
 
 def run_change_log(
     spark: SparkSession, clean_path: str, start: DateLike, end: DateLike, path: str
 ) -> DataFrame:
-    """Write the change log as CSV; the summary is counted from what was written."""
+    """Write the change log as CSV. The log is computed once, into the scratch folder;
+    file and summary both come from there."""
     log = change_log(read_parquet_tables(spark, clean_path), start, end)
-    write_csv_report(log, path)
-    return change_summary(read_report(spark, path, log.schema))
+    stage = scratch_path(spark, "change-log")
+    log.write.parquet(stage)
+    staged = spark.read.schema(log.schema).parquet(stage)
+    write_csv_report(staged.orderBy("change_date", "emp_no"), path)
+    return change_summary(staged)
 
 
 def run_latest_changes(

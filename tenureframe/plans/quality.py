@@ -100,15 +100,20 @@ def check_range(df: DataFrame, table: str, column: str, low, high) -> DataFrame:
 
 
 def profile_out_of_range(df: DataFrame, column: str, low, high) -> DataFrame:
-    """Count, mean, deviation, extremes and quartiles of the values outside."""
-    value = F.col(column).cast("double")
-    return df.filter(_outside(column, low, high)).agg(
+    """Count, mean, deviation, extremes and exact quartiles of the values outside.
+
+    Quartiles are values that occur. They come from a count per distinct value, kept
+    in the map tasks and merged, so memory grows with distinct values, not with rows.
+    """
+    value = F.col("value")
+    outside = df.filter(_outside(column, low, high)).select(F.col(column).cast("double").alias("value"))
+    return outside.agg(
         F.count(value).alias("count"),
         F.avg(value).alias("mean"),
         F.stddev_samp(value).alias("stddev"),
         F.min(value).alias("min"),
         *[
-            F.percentile_approx(value, p, 10_000).alias(name)
+            F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY value)").alias(name)
             for name, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))
         ],
         F.max(value).alias("max"),
@@ -138,6 +143,31 @@ def check_intervals(
     return counted.withColumn("passed", F.col("violations") == 0)
 
 
+def sample_reversed_intervals(
+    df: DataFrame, start: str = "from_date", end: str = "to_date", order: Sequence[str] = ()
+) -> DataFrame:
+    """The first few rows that end before they start."""
+    return df.filter(_reversed(start, end)).orderBy(start, *order).limit(SAMPLE_ROWS)
+
+
+def offenders(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """What the checks count, shown: invalid values, the profile of pay, sample rows."""
+    shown = {
+        "employees: gender outside the domain": check_domain(tables["employees"]),
+        "employees: birth date outside the range": sample_out_of_date_range(
+            tables["employees"], "birth_date", *BIRTH_DATE_RANGE, order=["emp_no"]
+        ),
+        "salaries: profile of pay outside the range": profile_out_of_range(
+            tables["salaries"], "salary", *SALARY_RANGE
+        ),
+    }
+    for name, df in tables.items():
+        if {"from_date", "to_date"} <= set(df.columns):
+            rest = [c for c in df.columns if c not in ("from_date", "to_date")]
+            shown[f"{name}: ends before it starts"] = sample_reversed_intervals(df, order=rest)
+    return shown
+
+
 def check_table(df: DataFrame, table: str) -> DataFrame:
     return _count_violations(df, table, table_rules(df, table))
 

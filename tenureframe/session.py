@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -27,6 +29,19 @@ def spark_session(app_name: str, settings: dict[str, str] | None = None) -> Spar
     return builder.getOrCreate()
 
 
+_local_folders: dict[str, str] = {}
+_given: dict[str, list[str]] = {}
+
+
+def _local_folder(application: str) -> str:
+    """A temporary folder of a local session, removed when Python ends."""
+    if application not in _local_folders:
+        folder = tempfile.mkdtemp(prefix="tenureframe-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _local_folders[application] = folder
+    return _local_folders[application]
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the folder that all executors share.
 
@@ -38,6 +53,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not base:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tenureframe-"))
-        base = context.getCheckpointDir()
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        base = _local_folder(context.applicationId)
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _given.setdefault(context.applicationId, []).append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove what this session wrote under paths from ``scratch_path``."""
+    context = spark.sparkContext
+    for path in _given.pop(context.applicationId, []):
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)

@@ -7,8 +7,31 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
+from tenureframe.sources.schemas import RECORD_ID
+
 # The CSV form and the object names of the reports.
 CSV_OPTIONS = {"header": "true", "sep": ",", "dateFormat": "yyyy-MM-dd"}
+
+# Text comes back as it was: blanks stay, quotes are doubled and nothing else is
+# escaped, an empty text is quoted and a missing one is not. On reading, a missing
+# value is told from an empty one by a mark that no text should be.
+_TEXT_KEPT = {
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+CSV_WRITE = CSV_OPTIONS | _TEXT_KEPT | {
+    "nullValue": "",
+    "emptyValue": '""',
+    # A file with line breaks inside values is read by one task.
+    "maxRecordsPerFile": "1000000",
+}
+CSV_READ = CSV_OPTIONS | _TEXT_KEPT | {
+    "nullValue": "\u0000",
+    "emptyValue": "",
+    "multiLine": "true",
+}
 REPORT_FOLDER = "reports"
 REPORT_STEM = "employee_changes"
 
@@ -16,8 +39,17 @@ REPORT_STEM = "employee_changes"
 def save_tables(
     tables: Mapping[str, DataFrame], path: str, file_format: str = "parquet"
 ) -> None:
-    """One folder per table."""
+    """One folder per table.
+
+    Histories are sorted by date across files, so a read of a period skips the others;
+    the further column keeps a day with very many rows divisible.
+    """
     for name, df in tables.items():
+        if "from_date" in df.columns:
+            finer = [c for c in (RECORD_ID, "emp_no") if c in df.columns][:1]
+            df = df.repartitionByRange("from_date", *finer).sortWithinPartitions(
+                "from_date", *finer
+            )
         df.write.mode("overwrite").format(file_format).save(f"{path.rstrip('/')}/{name}")
 
 
@@ -26,7 +58,7 @@ def write_parquet_report(df: DataFrame, path: str) -> None:
 
 
 def write_csv_report(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    df.write.mode("overwrite").options(**CSV_WRITE).csv(path)
 
 
 def run_stamped_path(base: str, run_time: dt.datetime) -> str:

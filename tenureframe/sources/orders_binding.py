@@ -73,7 +73,9 @@ def _write_tables(spark: SparkSession, sf_dir: str) -> str:
     base = scratch_path(spark, "hr-tables")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    _history(orders).write.parquet(f"{base}/history")
+    # In order of date, so that a period is read without the rest.
+    history = _history(orders).repartitionByRange("from_date", "rec_id")
+    history.sortWithinPartitions("from_date", "rec_id").write.parquet(f"{base}/history")
     history = spark.read.parquet(f"{base}/history")
     _employees(customer, history).write.parquet(f"{base}/employees")
     _departments(orders).write.parquet(f"{base}/departments")

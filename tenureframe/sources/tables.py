@@ -87,7 +87,7 @@ def read_jdbc_tables(
     spark: SparkSession,
     connection: JdbcConnection,
     tables: Iterable[str] = TABLES,
-    partitions: int = 1,
+    partitions: int = 16,
 ) -> dict[str, DataFrame]:
     """Every configured table, each in ``partitions`` parallel reads."""
     return {

@@ -4,8 +4,6 @@ from pathlib import Path
 
 import duckdb
 
-from tenureframe.operators.skew import key_slot
-
 TESTDATA = Path("/root/testdata")
 
 
@@ -32,11 +30,3 @@ def sql_rows(connection, sql):
     result = connection.execute(sql)
     names = [column[0] for column in result.description]
     return sorted(names), _sorted_rows(names, result.fetchall())
-
-
-def every_slot(keys, *frames):
-    """The slots of all keys, to send every row down the hot path."""
-    slots = set()
-    for df in frames:
-        slots |= {row[0] for row in df.select(key_slot(keys)).distinct().collect()}
-    return sorted(slots)

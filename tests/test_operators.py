@@ -1,13 +1,12 @@
-"""Generic operators on small fixtures, and the hot path against the usual one."""
+"""Generic operators on small fixtures, against plain windows and joins."""
 
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tenureframe import operators as op
-from tenureframe.operators.skew import key_slot
-from tests.oracle_compare import every_slot
 
 D = dt.date
 STAYS = "emp_no long, dept_no string, from_date date, to_date date, rec_id long"
@@ -37,40 +36,65 @@ def stays(spark):
     )
 
 
-@pytest.fixture(scope="module")
-def hot(stays):
-    return every_slot(["emp_no"], stays)
+def plain_neighbour(df, take, direction="previous"):
+    step = {"previous": F.lag, "next": F.lead}[direction]
+    window = Window.partitionBy("emp_no").orderBy(*[F.col(c).asc_nulls_first() for c in ORDER])
+    return df.withColumns({out: step(src).over(window) for out, src in take.items()})
 
 
 @pytest.mark.parametrize("direction", ["previous", "next"])
-def test_neighbour_hot_path_equals_window(stays, hot, direction):
+def test_neighbour_equals_plain_window(stays, direction):
     take = {"other": "dept_no", "other_day": "from_date"}
-    usual = op.with_neighbour(stays, ["emp_no"], ORDER, take, direction, hot=())
-    split = op.with_neighbour(stays, ["emp_no"], ORDER, take, direction, hot=hot)
-    assert usual.columns == split.columns
-    assert rows(usual) == rows(split)
+    found = op.with_neighbour(stays, ["emp_no"], ORDER, take, direction)
+    expected = plain_neighbour(stays, take, direction)
+    assert found.columns == expected.columns
+    assert rows(found) == rows(expected)
+
+
+def test_neighbour_orders_by_text_and_by_one_column(spark):
+    data = [(1, D(2000, 1, d), f"v{d}") for d in range(1, 20)]
+    df = spark.createDataFrame(data, "emp_no long, from_date date, value string")
+    for order in (["from_date", "value"], ["from_date"]):
+        found = op.with_neighbour(df, ["emp_no"], order, {"p": "value"}).collect()
+        assert {r["value"]: r["p"] for r in found} == {
+            f"v{d}": f"v{d - 1}" if d > 1 else None for d in range(1, 20)
+        }
+
+
+def test_one_day_of_one_key_is_split(spark):
+    """Rows of a key that share a day lie in many buckets, each sorted on its own."""
+    df = spark.range(5000).select(
+        F.lit(1).cast("long").alias("emp_no"),
+        F.lit("2000-01-01").cast("date").alias("from_date"),
+        F.col("id").alias("rec_id"),
+    )
+    sizes = df.groupBy(op.range_number(df, "rec_id").alias("r")).count().collect()
+    assert len(sizes) == 32 and max(r["count"] for r in sizes) < 400
+    linked = op.with_neighbour(df, ["emp_no"], ORDER, {"p": "rec_id"})
+    assert linked.filter("p = rec_id - 1").count() == 4999
 
 
-def test_neighbour_mixes_hot_and_cool_keys(stays):
-    slots = [r[0] for r in stays.filter("emp_no = 1").select(key_slot(["emp_no"])).distinct().collect()]
-    mixed = op.with_neighbour(stays, ["emp_no"], ORDER, {"p": "dept_no"}, hot=slots)
-    usual = op.with_neighbour(stays, ["emp_no"], ORDER, {"p": "dept_no"}, hot=())
-    assert rows(mixed) == rows(usual)
+def test_planning_runs_no_job(spark, stays):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "no job may run here")
+    facts = stays.select("emp_no", F.col("from_date").alias("day"))
+    op.with_neighbour(stays, ["emp_no"], ORDER, {"p": "dept_no"})
+    op.detect_changes(stays, ["emp_no"], "dept_no", ORDER, D(2000, 1, 1), D(2000, 2, 1))
+    op.join_as_of_interval(facts, stays, "emp_no", "day")
+    assert tracker.getJobIdsForGroup("planning") == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
-@pytest.mark.parametrize("split", [False, True])
 @pytest.mark.parametrize("only_different", [True, False])
-def test_detect_changes_sees_last_row_before_period(stays, hot, split, only_different):
+def test_detect_changes_sees_last_row_before_period(stays, only_different):
     start, end = D(2000, 1, 20), D(2000, 2, 10)
-    whole = op.with_neighbour(stays, ["emp_no"], ORDER, {"prev_dept_no": "dept_no"}, hot=())
+    whole = plain_neighbour(stays, {"prev_dept_no": "dept_no"})
     wanted = whole.filter(
         F.col("from_date").between(start, end) & F.col("prev_dept_no").isNotNull()
     )
     if only_different:
         wanted = wanted.filter("dept_no <> prev_dept_no")
-    found = op.detect_changes(
-        stays, ["emp_no"], "dept_no", ORDER, start, end, only_different, hot=hot if split else ()
-    )
+    found = op.detect_changes(stays, ["emp_no"], "dept_no", ORDER, start, end, only_different)
     assert rows(found) == rows(wanted)
     assert found.count() > 0
 
@@ -91,17 +115,26 @@ def test_detect_changes_arguments(stays):
         op.detect_changes(stays, ["emp_no"], "dept_no", ORDER, look_back="none")
 
 
+def plain_interval_join(facts, history, closed):
+    before = F.col("day") <= F.col("to_date") if closed == "both" else F.col("day") < F.col("to_date")
+    joined = facts.alias("l").join(
+        history.alias("r"),
+        (F.col("l.emp_no") == F.col("r.emp_no")) & (F.col("day") >= F.col("from_date")) & before,
+    )
+    return joined.select("l.*", *[f"r.{c}" for c in history.columns if c != "emp_no"])
+
+
 @pytest.mark.parametrize("closed", ["both", "left"])
-def test_interval_join_hot_path_equals_usual(stays, hot, closed):
+def test_interval_join_equals_plain_join(stays, closed):
     facts = stays.select("emp_no", F.col("from_date").alias("day"), F.col("rec_id").alias("fact"))
-    usual = op.join_as_of_interval(facts, stays, "emp_no", "day", closed, hot=())
-    daily = op.join_as_of_interval(facts, stays, "emp_no", "day", closed, hot=hot)
-    assert usual.columns == daily.columns
-    assert rows(usual) == rows(daily)
-    assert usual.count() > 0
+    found = op.join_as_of_interval(facts, stays, "emp_no", "day", closed)
+    expected = plain_interval_join(facts, stays, closed)
+    assert found.columns == expected.columns
+    assert rows(found) == rows(expected)
+    assert found.count() > 0
 
 
-def test_interval_boundary_matches_both_or_one(spark, hot):
+def test_interval_boundary_matches_both_or_one(spark):
     titles = spark.createDataFrame(
         [
             (1, "A", D(1990, 1, 1), D(1995, 1, 1)),
@@ -111,30 +144,69 @@ def test_interval_boundary_matches_both_or_one(spark, hot):
     )
     pay = spark.createDataFrame([(1, D(1995, 1, 1))], "emp_no long, day date")
 
-    def held(closed, slots):
-        joined = op.join_as_of_interval(pay, titles, "emp_no", "day", closed, hot=slots)
+    def held(closed):
+        joined = op.join_as_of_interval(pay, titles, "emp_no", "day", closed)
         return sorted(r["title"] for r in joined.collect())
 
-    for slots in ((), hot):
-        assert held("both", slots) == ["A", "B"]
-        assert held("left", slots) == ["B"]
+    assert held("both") == ["A", "B"]
+    assert held("left") == ["B"]
     with pytest.raises(ValueError):
         op.join_as_of_interval(pay, titles, "emp_no", "day", closed="right")
+    with pytest.raises(TypeError):
+        text_key = pay.withColumn("emp_no", F.col("emp_no").cast("string"))
+        op.join_as_of_interval(text_key, titles, "emp_no", "day")
+    with pytest.raises(TypeError):
+        op.join_as_of_interval(pay.withColumn("day", F.lit("1995-01-01")), titles, "emp_no", "day")
+
+
+# Three histories per employee cover every fact, so each fact has three matches.
+def _three_each(spark, employees, last="1999-12-31"):
+    return spark.range(employees * 3).select(
+        (F.col("id") % employees).alias("emp_no"),
+        F.concat(F.lit("t"), F.floor(F.col("id") / employees)).alias("title"),
+        F.lit("1990-01-01").cast("date").alias("from_date"),
+        F.lit(last).cast("date").alias("to_date"),
+    )
+
+
+@pytest.mark.parametrize("facts", [4000, 6000])
+@pytest.mark.parametrize("kind", ["int", "long"])
+def test_interval_join_over_key_types_and_sizes(spark, facts, kind):
+    pay = spark.range(facts).select(
+        (F.col("id") % 10).cast(kind).alias("emp_no"),
+        F.date_add(F.lit("1995-01-01").cast("date"), (F.col("id") % 50).cast("int")).alias("day"),
+    )
+    assert op.join_as_of_interval(pay, _three_each(spark, 10), "emp_no", "day").count() == 3 * facts
 
 
-def test_hot_slots_need_share_and_rows(stays):
-    crowded = stays.filter("emp_no = 1").select(key_slot(["emp_no"])).first()[0]
-    assert op.hot_slots(stays, ["emp_no"]) == []
-    assert op.hot_slots(stays, ["emp_no"], share=0.1, min_rows=100) == [crowded]
-    assert op.hot_slots([stays, stays], ["emp_no"], share=0.1, min_rows=399) == [crowded]
-    assert op.hot_slots(stays, ["emp_no"], share=0.99, min_rows=1) == []
+@pytest.mark.parametrize("facts", [4000, 6000])
+def test_interval_join_over_times_of_day(spark, facts):
+    hours = F.make_interval(hours=(F.col("id") % 5 * 4).cast("int"))
+    pay = spark.range(facts).select(
+        (F.col("id") % 10).alias("emp_no"),
+        (F.lit("1995-01-01").cast("timestamp") + hours).alias("day"),
+    )
+    assert op.join_as_of_interval(pay, _three_each(spark, 10), "emp_no", "day").count() == 3 * facts
 
 
-def test_split_is_whole_and_disjoint(stays):
-    hot = op.hot_slots(stays, ["emp_no"], share=0.1, min_rows=100)
-    cool_rows, hot_rows = op.split_hot(stays, ["emp_no"], hot)
-    assert {r["emp_no"] for r in hot_rows.collect()} == {1}
-    assert rows(cool_rows.unionByName(hot_rows)) == rows(stays)
+def test_open_intervals_without_facts_or_with_a_late_one(spark):
+    history = _three_each(spark, 2000, last="9999-01-01")
+    pay = spark.createDataFrame(
+        [(1, D(1995, 1, 1)), (1, D(9999, 1, 1))], "emp_no long, day date"
+    )
+    assert op.join_as_of_interval(pay, history, "emp_no", "day").count() == 6
+    none = op.join_as_of_interval(pay.filter("emp_no = 7"), history, "emp_no", "day")
+    assert none.count() == 0
+
+
+def test_join_distinct_counts_pairs(stays):
+    facts = stays.select("emp_no", F.col("from_date").alias("day"))
+    history = stays.select("emp_no", F.lit("x").alias("title"), "from_date", "to_date")
+    pairs = op.join_as_of_interval(facts, history, "emp_no", "day")
+    counted = op.join_distinct(facts, history, "emp_no", "day")
+    expected = pairs.groupBy(*pairs.columns).agg(F.count("*").alias("n"))
+    assert rows(counted.select(*expected.columns)) == rows(expected)
+    assert counted.count() < pairs.count()
 
 
 def test_collapse_keeps_sums(stays):

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from registry.queries import AS_OF, MONTH, PERIOD
 from tenureframe import operators as op
 from tenureframe.plans import analytics, change_reports, cleaning, jobs
 from tenureframe.session import scratch_path
-from tenureframe.sinks import period_path, run_stamped_path, write_csv_report
+from tenureframe.sinks import period_path, run_stamped_path, save_tables, write_csv_report
 from tenureframe.sources import (
     TABLES,
     JdbcConnection,
@@ -21,7 +22,6 @@ from tenureframe.sources import (
     table_schema,
 )
 from tenureframe.sources.orders_binding import faulty_hr_tables, hr_tables
-from tests.oracle_compare import every_slot
 
 SF_DIR = "/root/testdata/sf0.001"
 D = dt.date
@@ -83,13 +83,45 @@ def test_period_reaches_the_scan(tables):
     assert "GreaterThanOrEqual(from_date,1997-02-01)" in scan
     lag = plan_of(
         op.detect_changes(
-            tables["titles"], ["emp_no"], "title", ["from_date", "rec_id"], *MONTH, hot=()
+            tables["titles"], ["emp_no"], "title", ["from_date", "rec_id"], *MONTH
         )
     )
     assert "LessThan(from_date,1997-02-01)" in lag
     assert "LessThanOrEqual(from_date,1997-0" in lag
 
 
+def test_departments_meet_rows_of_the_period_only(tables):
+    """Names are joined above the windows, so no history is dealt by department."""
+    plan = plan_of(change_reports.value_change_report(tables, *MONTH)).splitlines()
+    first_window = next(i for i, line in enumerate(plan) if "Window [" in line)
+    scans = [i for i, line in enumerate(plan) if "dept_no" in line and "dept_name" in line]
+    assert scans
+    for at in scans:
+        above = [line for line in plan[:at] if "Join" in line]
+        assert above and not any("Window [" in line for line in plan[:first_window])
+
+
+def test_histories_are_stored_by_date(spark, tables, tmp_path):
+    """A month lies in few of the files of a saved history."""
+    # Small partitions would be merged into one file.
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")
+    try:
+        save_tables({"titles": tables["titles"].repartition(8)}, str(tmp_path))
+    finally:
+        spark.conf.unset(merging)
+    ranges = []
+    for file in (tmp_path / "titles").glob("part-*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        at = meta.schema.names.index("from_date")
+        stats = [meta.row_group(i).column(at).statistics for i in range(meta.num_row_groups)]
+        ranges.append((min(s.min for s in stats), max(s.max for s in stats)))
+    assert len(ranges) > 1
+    ranges.sort()
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+    assert sum(lo <= MONTH[1] and hi >= MONTH[0] for lo, hi in ranges) < len(ranges)
+
+
 def test_scans_read_only_what_reports_need(tables):
     plan = plan_of(analytics.department_turnover(tables))
     assert "ReadSchema: struct<emp_no:bigint,dept_no:string,to_date:date>" in plan
@@ -124,18 +156,6 @@ def test_adaptive_execution_splits_a_hot_employee(spark, tables):
                 spark.conf.set(name, value)
 
 
-def test_hot_paths_agree_on_whole_tables(tables):
-    every = every_slot(["emp_no"], tables["employees"])
-    kinds = change_reports._values_by_kind(tables)
-    every_kind = every_slot(["emp_no", "change_type"], kinds)
-    assert rows(change_reports.value_change_report(tables, *PERIOD, hot=every_kind)) == rows(
-        change_reports.value_change_report(tables, *PERIOD, hot=())
-    )
-    assert rows(analytics.salary_trend(tables, hot=every)) == rows(
-        analytics.salary_trend(tables, hot=())
-    )
-
-
 class RecordingReader:
     """Stands in for a session: keeps the options instead of opening a database."""
 
@@ -164,7 +184,7 @@ CONNECTION = JdbcConnection("jdbc:example:hr", "example.Driver", "reader", "secr
 
 def test_jdbc_options():
     session = RecordingReader()
-    read = read_jdbc_tables(session, CONNECTION)
+    read = read_jdbc_tables(session, CONNECTION, partitions=1)
     assert tuple(read) == TABLES
     assert [o["dbtable"] for o in session.reads] == list(TABLES)
     assert session.reads[0]["user"] == "reader" and session.reads[0]["url"] == "jdbc:example:hr"
@@ -248,6 +268,36 @@ def test_csv_keeps_commas_quotes_and_missing_values(spark):
     assert rows(jobs.read_report(spark, path, df.schema)) == rows(df)
 
 
+def test_csv_keeps_text(spark, tmp_path):
+    texts = [" a ", "", None, "line\nbreak", "cr\r\nlf", 'quo"te', "back\\slash", "a,b", '"', "\\", "é"]
+    df = spark.createDataFrame(list(enumerate(texts)), "n long, text string")
+    write_csv_report(df.repartition(3), str(tmp_path / "csv"))
+    back = jobs.read_report(spark, str(tmp_path / "csv"), df.schema)
+    assert {r["n"]: r["text"] for r in back.collect()} == dict(enumerate(texts))
+
+
+def test_summary_counts_the_log_not_the_file(spark, tmp_path):
+    """A line break in a title does not change the counts."""
+    tables = hr_tables(spark, SF_DIR)
+    clean = cleaning.clean_all_tables(faulty_hr_tables(spark, SF_DIR), AS_OF)
+    clean["titles"] = tables["titles"].withColumn("title", F.lit("two\nlines")).drop("rec_id")
+    save_tables(clean, str(tmp_path / "clean"))
+    summary = jobs.run_change_log(spark, str(tmp_path / "clean"), *PERIOD, str(tmp_path / "log"))
+    saved = read_parquet_tables(spark, str(tmp_path / "clean"))
+    log = change_reports.change_log(saved, *PERIOD)
+    assert rows(summary) == rows(change_reports.change_summary(log))
+    assert jobs.read_report(spark, str(tmp_path / "log"), log.schema).count() == log.count()
+
+
+def test_declared_report_schemas(tables):
+    for report, schema in (
+        (change_reports.latest_change_report, change_reports.LATEST_SCHEMA),
+        (change_reports.value_change_report, change_reports.VALUE_SCHEMA),
+    ):
+        found = ", ".join(f"{n} {t}" for n, t in report(tables, *MONTH).dtypes)
+        assert found == schema
+
+
 def test_scratch_path_is_shared_and_new(spark):
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")

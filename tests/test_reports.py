@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tenureframe.plans import analytics, change_reports, cleaning
-from tests.oracle_compare import every_slot
 
 D = dt.date
 OPEN = D(9999, 1, 1)
@@ -89,18 +88,6 @@ def tables(spark):
     return company(spark)
 
 
-@pytest.fixture(scope="module")
-def hot(tables):
-    """Every employee is hot, alone and per kind of change."""
-    kinds = [
-        tables["employees"].withColumn("change_type", F.lit(f"{kind}_change"))
-        for kind in ("department", "salary", "title")
-    ]
-    return every_slot(["emp_no"], tables["employees"]) + every_slot(
-        ["emp_no", "change_type"], *kinds
-    )
-
-
 def test_turnover_leaves_out_departments_without_leavers(spark, tables):
     assert rows(analytics.department_turnover(tables)) == [
         ("d1", "Sales", 2, 3, 66.67),
@@ -158,14 +145,6 @@ def test_most_senior_needs_an_open_stay_and_keeps_ties(spark, tables):
     assert analytics.most_senior(tied, AS_OF, n=3).count() == 3
 
 
-@pytest.mark.parametrize("closed", ["both", "left"])
-def test_salary_trend_hot_path_equals_usual(tables, hot, closed):
-    usual = rows(analytics.salary_trend(tables, closed, hot=()))
-    collapsed = rows(analytics.salary_trend(tables, closed, hot=hot))
-    assert usual == collapsed
-    assert usual
-
-
 def test_salary_trend_counts_boundary_dates_twice(tables):
     both = {tuple(r)[:3]: tuple(r)[3:] for r in analytics.salary_trend(tables, "both").collect()}
     left = {tuple(r)[:3]: tuple(r)[3:] for r in analytics.salary_trend(tables, "left").collect()}
@@ -174,6 +153,59 @@ def test_salary_trend_counts_boundary_dates_twice(tables):
     assert left["Research", "Senior", 1995] == (200.0, 1)
 
 
+def test_missing_pay_is_staff_but_not_in_the_mean(spark):
+    """Pay of 100 and NULL has the mean 100, as avg() gives; NULL alone has none."""
+    tables = company(
+        spark,
+        salaries=(
+            [
+                (1, 100, D(1996, 7, 1), OPEN),
+                (2, None, D(1996, 7, 1), OPEN),
+                (4, None, D(1997, 7, 1), OPEN),
+            ],
+            "emp_no long, salary int, from_date date, to_date date",
+        ),
+        titles=(
+            [(e, "Staff", D(1990, 1, 1), OPEN) for e in (1, 2, 4)],
+            "emp_no long, title string, from_date date, to_date date",
+        ),
+    )
+    found = {(r[0], r[2]): (r[3], r[4]) for r in analytics.salary_trend(tables).collect()}
+    assert found["Sales", 1996] == (100.0, 2)
+    assert found["Sales", 1997] == (None, 1)
+
+
+def test_most_senior_with_very_many_ties(spark):
+    """1,000 titles and 1,000 stays on one day: ten rows, without a million pairs."""
+    names = [f"n{i:04d}" for i in range(1000)]
+    tied = company(
+        spark,
+        titles=(
+            [(1, n, D(1995, 1, 1), OPEN) for n in names],
+            "emp_no long, title string, from_date date, to_date date",
+        ),
+        departments=([(n, n.upper()) for n in names], "dept_no string, dept_name string"),
+        dept_emp=([(1, n, D(1995, 1, 1), OPEN) for n in names], STAY),
+    )
+    found = analytics.most_senior(tied, AS_OF).collect()
+    assert [(r["actual_title"], r["actual_dept"]) for r in found] == [
+        ("n0000", f"N{i:04d}") for i in range(10)
+    ]
+    twice = company(
+        spark,
+        titles=(
+            [(1, "Staff", D(1995, 1, 1), OPEN)] * 2,
+            "emp_no long, title string, from_date date, to_date date",
+        ),
+    )
+    assert analytics.most_senior(twice, AS_OF).count() == 2
+
+
+def test_department_moves_have_a_row_per_stay(tables):
+    found = rows(analytics.department_moves(tables).select("emp_no", "dept_no", "total_cambios"))
+    assert found == [(1, "d1", 3), (1, "d1", 3), (1, "d2", 3), (2, "d1", 2), (2, "d1", 2)]
+
+
 def test_employee_without_title_is_kept(tables):
     found = {r["emp_no"]: r for r in analytics.title_tenure(tables, AS_OF).collect()}
     assert found[4]["total_titles"] == 0 and found[4]["avg_years_per_position"] is None
@@ -238,9 +270,8 @@ def test_both_period_edges_count(tables):
     assert change_reports.title_changes(tables, *YEAR).count() == 1
 
 
-@pytest.mark.parametrize("split", [False, True])
-def test_change_log_is_the_sum_of_its_kinds(tables, hot, split):
-    log = change_reports.change_log(tables, *YEAR, hot=hot if split else ())
+def test_change_log_is_the_sum_of_its_kinds(tables):
+    log = change_reports.change_log(tables, *YEAR)
     parts = [
         change_reports.department_changes(tables, *YEAR),
         change_reports.salary_changes(tables, *YEAR),
@@ -262,14 +293,12 @@ def test_latest_change_report(tables):
     assert (4, "department_change") not in found
 
 
-@pytest.mark.parametrize("split", [False, True])
-def test_value_report_keeps_equal_values(tables, hot, split):
-    hot = hot if split else ()
-    found = rows(change_reports.value_change_report(tables, *YEAR, hot=hot))
+def test_value_report_keeps_equal_values(tables):
+    found = rows(change_reports.value_change_report(tables, *YEAR))
     assert (2, "Bob Two", "department_change", "Sales", "Sales", D(1996, 1, 1)) in found
     assert (2, "Bob Two", "salary_change", "100.00", "100.00", D(1996, 6, 1)) in found
     assert (1, "Ada One", "salary_change", "200.00", "300.00", D(1996, 1, 1)) in found
-    inside = rows(change_reports.value_change_report(tables, *YEAR, look_back="period", hot=hot))
+    inside = rows(change_reports.value_change_report(tables, *YEAR, look_back="period"))
     assert set(inside) < set(found)
 
 
