@@ -2,7 +2,7 @@
 
 A profile is the list of the most frequent letter n-grams, most frequent first.
 Each language's profile is learned from a bounded number of labelled documents
-(``sample_docs`` per language, chosen by a hash of the id, whole texts). A document
+(``sample_docs`` per language, those with the lowest hashes of their ids, whole texts). A document
 gets the language whose profile has the smallest out-of-place distance to its own:
 the sum over its n-grams of how far their ranks differ, and of ``profile_size``
 for each n-gram that the language's profile lacks. The score is one minus the
@@ -88,18 +88,24 @@ def learn_profiles(
     profile_size: int = PROFILE_SIZE,
 ) -> dict[str, np.ndarray]:
     """Each language's n-grams, most frequent first."""
-    chosen = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    sample = (
-        docs.select(
-            F.col(id_col).alias("id"),
-            F.col(text_col).cast("string").alias("text"),
-            F.col(label_col).cast("string").alias("label"),
-        )
-        .filter("id IS NOT NULL AND text IS NOT NULL AND label IS NOT NULL")
-        .withColumn("place", F.row_number().over(chosen))
-        .filter(F.col("place") <= sample_docs)
-        .select("label", "text")
+    labelled = docs.select(
+        F.xxhash64(id_col).alias("place"),
+        F.col(text_col).cast("string").alias("text"),
+        F.col(label_col).cast("string").alias("label"),
+    ).filter(F.col(id_col).isNotNull() & F.col("text").isNotNull() & F.col("label").isNotNull())
+    # The last place taken, found without the texts; then texts are read where they are.
+    order = Window.partitionBy("label").orderBy("place")
+    last_places = (
+        labelled.select("label", "place", F.row_number().over(order).alias("nth"))
+        .filter(F.col("nth") <= sample_docs)
+        .groupBy("label")
+        .agg(F.max("place").alias("last"))
+        .collect()
     )
+    if not last_places:
+        return {}
+    last = F.create_map(*[F.lit(x) for row in last_places for x in (row["label"], row["last"])])
+    sample = labelled.filter(F.col("place") <= last[F.col("label")]).select("label", "text")
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         labels, all_grams, all_counts = [], [], []
