@@ -9,8 +9,8 @@ no longer whole: it is dealt by row into pieces, each an item of its own.
 
 The driver sees one row per item: at most ``cells`` plus the pieces of groups
 above the share, of which there can be no more than
-``3 * shards / split_share * PIECES``. Rows get their place within the item from a
-window over the item, and the item's first place within the shard from the driver.
+``3 * shards / split_share * PIECES``. Rows are numbered within one of ``RUNS`` parts of
+their item by a window, and the part's first place in the shard comes from the driver.
 
 Defined results: a NULL text has no bytes and no tokens and groups with other NULL
 and empty texts; repeated rows get places of their own; an empty table gives an
@@ -28,7 +28,9 @@ from tenureframe.llm.common import staged, text_or_empty
 
 MEASURES = ("bytes", "tokens", "rows")
 PIECES = 64
-_ITEMS = "item long, shard int, first long"
+# Parts in which the rows of an item are numbered.
+RUNS = 8
+_ITEMS = "item long, run long, shard int, first long"
 
 
 def place(
@@ -92,19 +94,23 @@ def shard_documents(
         item = F.when(number > 0, cells + (number - 1) * PIECES + piece).otherwise(cell)
     rows = rows.withColumn("item", item.cast("long"))
 
-    items = rows.groupBy("item").agg(*sums).orderBy("item").collect()
+    rows = rows.withColumn("run", F.pmod(F.xxhash64("row", F.lit(RUNS)), F.lit(RUNS)))
+    runs = [F.count_if(F.col("run") == n).alias(f"run{n}") for n in range(RUNS)]
+    items = rows.groupBy("item").agg(*sums, *runs).orderBy("item").collect()
     vectors = np.array([[r[m] for m in MEASURES] for r in items], float).reshape(-1, 3)
     placed = place(vectors, shards, weights)
     first, table = [0] * shards, []
     for row, shard in zip(items, placed.tolist()):
-        table.append((row["item"], shard, first[shard]))
-        first[shard] += row["rows"]
+        for run in range(RUNS):
+            if row[f"run{run}"]:
+                table.append((row["item"], run, shard, first[shard]))
+                first[shard] += row[f"run{run}"]
     # Bounded by the parameters, see above.
     where = F.broadcast(spark.createDataFrame(table, _ITEMS))
-    within = F.row_number().over(Window.partitionBy("item").orderBy("id", "row"))
+    within = F.row_number().over(Window.partitionBy("item", "run").orderBy("id", "row"))
     return (
         rows.withColumn("within", within - 1)
-        .join(where, "item")
+        .join(where, ["item", "run"])
         .select(
             F.col("id").alias(id_col),
             F.col("bytes").alias("size"),
