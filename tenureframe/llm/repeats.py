@@ -19,7 +19,9 @@ those are repeats.
 Copies within a portion of a task's texts are found before the shuffle, so that a
 stretch found in very many documents leaves one row per portion. Rows of one anchor
 stream through one task sorted; a suffix array takes stretches of whole anchors up
-to about ``CHUNK`` bytes.
+to about ``CHUNK`` bytes. An anchor with more than ``CROWD`` different stretches is
+split further: its windows travel singly, dealt by their whole content, and a group
+of equal windows larger than a suffix array is taken in runs that keep the earliest.
 
 Defined results: a NULL text is empty; nothing goes from a text shorter than
 ``length``; a NULL id comes first; rows that share an id are ordered by a checksum
@@ -38,6 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tenureframe.functions import row_count
 from tenureframe.llm.common import staged, text_or_empty
 
 LENGTH = 100
@@ -47,6 +50,8 @@ NO_ID = -(2**63)
 # Bytes of text whose stretches are compared before the shuffle; bytes of a suffix array.
 PORTION = 8_000_000
 CHUNK = 4_000_000
+# Different stretches up to which an anchor's are compared together.
+CROWD = 10_000
 # Ends a stretch inside a suffix array; UTF-8 does not use this byte.
 STOP = 0xFF
 
@@ -113,6 +118,11 @@ def stretches(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
     return hashes[at[starts]].view(np.int64), starts, counts
 
 
+def _anywhere(docs: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    mixed = (docs.view(np.uint64) * np.uint64(BASE)) ^ starts.astype(np.uint64)
+    return (mixed * np.uint64(0xBF58476D1CE4E5B9)).view(np.int64)
+
+
 def _portion_rows(docs: list[tuple[int, int, bytes]], length: int) -> pa.RecordBatch | None:
     """Stretches of some documents; a copy of an earlier one among them is marked."""
     seen: set[bytes] = set()
@@ -136,8 +146,8 @@ def _portion_rows(docs: list[tuple[int, int, bytes]], length: int) -> pa.RecordB
     marks = np.array(repeated)
     return _batch(
         {
-            # A marked row has nothing left to meet; it goes anywhere.
-            "anchor": np.where(marks, pairs[:, 0], rows[:, 0]),
+            # A marked row has nothing left to meet; it goes anywhere, spread by its place.
+            "anchor": np.where(marks, _anywhere(rows[:, 1].copy(), rows[:, 3]), rows[:, 0]),
             "digest1": pairs[:, 0],
             "digest2": pairs[:, 1],
             "doc": rows[:, 1],
@@ -337,18 +347,20 @@ def _sort_stretches(length: int):
     """Repeats among the stretches of whole anchors, taken in chunks."""
     names = ("anchor", "doc", "tag", "start")
 
-    def chunk(rows: np.ndarray, strings: list[bytes]) -> pa.RecordBatch:
-        new = _differs(rows)
-        rows, strings = rows[new], [s for s, keep in zip(strings, new) if keep]
+    def chunk(rows: np.ndarray, strings: list[bytes]) -> tuple[pa.RecordBatch, np.ndarray]:
+        """Repeated windows, and the places of strings that also have others."""
+        places = np.flatnonzero(_differs(rows))
+        rows, strings = rows[places], [strings[i] for i in places]
         string, first, n = repeated_windows(strings, length)
-        return _batch(
-            {
-                "doc": rows[string, 1],
-                "tag": rows[string, 2],
-                "start": rows[string, 3] + first,
-                "n": n,
-            }
-        )
+        found = {
+            "doc": rows[string, 1],
+            "tag": rows[string, 2],
+            "start": rows[string, 3] + first,
+            "n": n,
+        }
+        windows = np.fromiter(map(len, strings), np.int64, len(strings)) - (length - 1)
+        repeated = np.bincount(string, n, len(strings)).astype(np.int64)
+        return _batch(found), places[repeated < windows]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, strings, size = np.empty((0, 4), np.int64), [], 0
@@ -362,11 +374,16 @@ def _sort_stretches(length: int):
             # The last anchor may go on in the next batch.
             cut = int(np.searchsorted(rows[:, 0], rows[-1, 0], side="left"))
             if cut:
-                yield chunk(rows[:cut], strings[:cut])
+                yield chunk(rows[:cut], strings[:cut])[0]
                 rows, strings = rows[cut:], strings[cut:]
-                size = sum(map(len, strings))
+            else:
+                # One anchor fills the array: what stays has a window not seen earlier.
+                found, stay = chunk(rows, strings)
+                yield found
+                rows, strings = rows[stay], [strings[i] for i in stay]
+            size = sum(map(len, strings))
         if strings:
-            yield chunk(rows, strings)
+            yield chunk(rows, strings)[0]
 
     return run
 
@@ -375,7 +392,8 @@ def _sort_stretches(length: int):
 
 
 def _cut_stretches(length: int):
-    """The bytes of the wanted stretches of each document."""
+    """The bytes of the wanted stretches of each document; of crowded anchors, each
+    window by itself under a hash of its bytes."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("doc", "tag", "text", "wanted")
@@ -384,8 +402,14 @@ def _cut_stretches(length: int):
             for doc, tag, text, wanted in zip(*(batch.column(c).to_pylist() for c in names)):
                 data = text.encode("utf-8", "surrogatepass")
                 for w in wanted:
-                    end = w["start"] + w["n"] + length - 1
-                    rows.append((w["anchor"], doc, tag, w["start"], data[w["start"] : end]))
+                    start, end = w["start"], w["start"] + w["n"]
+                    if w["crowded"]:
+                        for at in range(start, end):
+                            window = data[at : at + length]
+                            key = xxhash.xxh3_64_intdigest(window) - 2**63
+                            rows.append((key, doc, tag, at, window))
+                    else:
+                        rows.append((w["anchor"], doc, tag, start, data[start : end + length - 1]))
             if rows:
                 columns = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays(
@@ -445,7 +469,7 @@ def _summarise(length: int):
     return run
 
 
-def repeated_ranges(texts: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_ranges(texts: DataFrame, length: int = LENGTH, crowd: int = CROWD) -> DataFrame:
     """Runs of repeated windows of ``texts`` (``doc``, ``tag``, ``text``)."""
     order = ["anchor", "digest1", "digest2", "doc", "tag", "start"]
     found = staged(
@@ -455,10 +479,15 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH) -> DataFrame:
         .mapInArrow(_meet_stretches, _FOUND),
         "stretches",
     )
+    different = found.filter("NOT repeated")
+    crowded = (
+        different.groupBy("anchor").agg(row_count().alias("rows")).filter(F.col("rows") > crowd)
+    )
     wanted = (
-        found.filter("NOT repeated")
+        different.join(crowded, "anchor", "left")
+        .withColumn("crowded", F.col("rows").isNotNull())
         .groupBy("doc", "tag")
-        .agg(F.collect_list(F.struct("anchor", "start", "n")).alias("wanted"))
+        .agg(F.collect_list(F.struct("anchor", "start", "n", "crowded")).alias("wanted"))
     )
     by_suffix = (
         texts.join(wanted, ["doc", "tag"])
@@ -472,7 +501,11 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    length: int = LENGTH,
+    crowd: int = CROWD,
 ) -> DataFrame:
     """One row per document: ``id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``."""
     text = text_or_empty(text_col)
@@ -482,7 +515,7 @@ def remove_repeats(
         text.alias("text"),
     )
     ranges = (
-        repeated_ranges(texts, length)
+        repeated_ranges(texts, length, crowd)
         .groupBy("doc", "tag")
         .agg(F.collect_list(F.struct("start", "n")).alias("ranges"))
     )
