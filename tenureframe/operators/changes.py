@@ -47,7 +47,7 @@ def with_neighbour(
     step = F.lag if backwards else F.lead
     day, finer = order[0], list(order[1:]) or [order[0]]
     number = range_number(df if ranges_from is None else ranges_from, finer[0])
-    rows = df.withColumn("_range", number if len(order) > 1 else F.lit(0))
+    rows = df.withColumn("_range", number if len(order) > 1 else F.lit(0).cast("long"))
     bucket = [*keys, day, "_range"]
 
     within = _ascending(finer)

@@ -7,11 +7,10 @@ size: the same plan runs at every size.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, NumericType, TimestampType
 
 from tenureframe.functions import row_count
 
@@ -20,19 +19,26 @@ RANGES = 32
 
 
 def range_number(source: DataFrame, column: str, ranges: int = RANGES) -> Column:
-    """In which of ``ranges`` ranges of ``column`` a value lies; never falls as it rises.
+    """In which range of ``column`` a value lies; never falls as the value rises.
 
-    The cuts are approximate quantiles over ``source``, a part of the query itself.
-    Whatever they are, results do not depend on them. NULL lies in the first range,
-    and so does everything if the column is neither a number nor a date.
+    Ranges are even steps between the approximate first and last hundredth of
+    ``source``, a part of the query itself, with one more on either side. Results do not
+    depend on them. NULL lies in the first range, and so does everything if the column
+    is neither a number nor a date, or hardly varies.
     """
     kind = source.schema[column].dataType
-    if not isinstance(kind, (NumericType, DateType, TimestampType, TimestampNTZType)):
-        return F.lit(0)
-    shares = [i / ranges for i in range(1, ranges)]
-    cuts = source.agg(F.percentile_approx(column, shares, 20 * ranges)).scalar()
-    above = [(F.get(cuts, F.lit(i)) < F.col(column)).cast("int") for i in range(ranges - 1)]
-    return F.coalesce(reduce(Column.__add__, above), F.lit(0))
+    if isinstance(kind, DateType):
+        number = F.unix_date(column)
+    elif isinstance(kind, TimestampType):
+        number = F.unix_micros(column)
+    elif isinstance(kind, NumericType):
+        number = F.col(column)
+    else:
+        return F.lit(0).cast("long")
+    number = number.cast("double")
+    ends = source.agg(F.percentile_approx(number, [0.01, 0.99], 1000)).scalar()
+    step = F.width_bucket(number, F.get(ends, F.lit(0)), F.get(ends, F.lit(1)), F.lit(ranges))
+    return F.coalesce(step, F.lit(0).cast("long"))
 
 
 def collapse(

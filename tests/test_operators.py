@@ -69,7 +69,7 @@ def test_one_day_of_one_key_is_split(spark):
         F.col("id").alias("rec_id"),
     )
     sizes = df.groupBy(op.range_number(df, "rec_id").alias("r")).count().collect()
-    assert len(sizes) == 32 and max(r["count"] for r in sizes) < 400
+    assert len(sizes) >= 32 and max(r["count"] for r in sizes) < 400
     linked = op.with_neighbour(df, ["emp_no"], ORDER, {"p": "rec_id"})
     assert linked.filter("p = rec_id - 1").count() == 4999
 
