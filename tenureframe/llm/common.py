@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -14,8 +14,14 @@ from pyspark.sql import functions as F
 from tenureframe.session import scratch_path
 
 
+# Bytes of an Arrow batch: texts are long, and every worker holds some batches.
+ARROW_BATCH_BYTES = 4 * 2**20
+
+
 def prepare_workers(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver has it."""
+    """Let Python workers import this package from where the driver has it, and keep
+    their batches small."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH_BYTES)
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
@@ -61,8 +67,31 @@ def per_batch(
     return run
 
 
+# Names above this length are not remembered from one batch to the next.
+LONG_NAME = 64
+
+
 def forget(memory: dict, remember: int) -> None:
     """Halve an overfull memory. The oldest entries stay: what is common comes early."""
     if len(memory) > remember:
         for name in list(memory)[remember // 2 :]:
             del memory[name]
+
+
+def forget_long(memory: dict, names: Iterable[str]) -> None:
+    """Drop long names, so that a memory is bounded in bytes as well."""
+    for name in names:
+        if len(name) > LONG_NAME:
+            memory.pop(name, None)
+
+
+def portions(texts: list[str], characters: int = 4_000_000) -> Iterator[list[str]]:
+    """The texts of an Arrow batch in runs of about so many characters."""
+    start, size = 0, 0
+    for i, text in enumerate(texts, 1):
+        size += len(text)
+        if size >= characters:
+            yield texts[start:i]
+            start, size = i, 0
+    if start < len(texts):
+        yield texts[start:]

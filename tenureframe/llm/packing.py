@@ -28,16 +28,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenureframe.llm.common import forget, staged, text_or_empty
+from tenureframe.llm.common import forget, forget_long, portions, staged, text_or_empty
 
 LENGTH = 2048
 END_ID = 1
 
 # What the vocabulary's pattern takes for white space.
-SPACE = "\t-\r \x85\xa0  -     　"
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _UNIT = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-# White space other than single blanks and line ends between words.
-_UNUSUAL = re.compile("[\t\x0b-\r\x85\xa0  -     　]|[ \n][ \n]")
+# White space other than blanks and line ends.
+_OTHER = re.compile("[\t\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 # Marks that may follow a letter; an apostrophe is left out, as it may take letters along.
 MARKS = ".,;:!?"
@@ -52,7 +52,7 @@ _PIECES = (
 class UnitEncoder:
     """Ids of whole texts as little-endian bytes, with a memory of ``remember`` units."""
 
-    def __init__(self, path: str, remember: int = 600_000):
+    def __init__(self, path: str, remember: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -60,76 +60,118 @@ class UnitEncoder:
         # The strings of special tokens are ordinary text in a document.
         self.tokenizer.encode_special_tokens = True
         self.remember = remember
-        small = self.tokenizer.get_vocab_size() <= 1 << 16
-        self.dtype = np.dtype("<u2" if small else "<u4")
+        size = self.tokenizer.get_vocab_size()
+        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        # A byte-level vocabulary writes each byte as one character.
+        self.id_bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)])
         # By unit, and by word for the usual unit of a blank or line end and a word.
         self.units: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {}
 
     def _fresh(self, units: list[str]) -> Iterator[bytes]:
         for encoding in self.tokenizer.encode_batch_fast(units, add_special_tokens=False):
             yield np.array(encoding.ids, self.dtype).tobytes()
 
-    def _learn(self, known: dict[str, bytes], names: list[str], unit_of) -> None:
-        """A letter and a punctuation mark are never in one id, so a unit's last marks
+    def _fresh_words(self, units: list[str]) -> Iterator[bytes]:
+        """Units that begin with white space and do not end with it, encoded as one text
+        and told apart by the number of their bytes."""
+        if not units:
+            return
+        (encoding,) = self.tokenizer.encode_batch_fast(["".join(units)], add_special_tokens=False)
+        ids = np.array(encoding.ids, self.dtype)
+        ends = np.cumsum(self.id_bytes[ids])
+        wanted = np.cumsum([len(unit.encode()) for unit in units])
+        cuts = np.searchsorted(ends, wanted)
+        if (ends[cuts] != wanted).any():
+            raise ValueError("an id crosses two units")
+        data, width, start = ids.tobytes(), self.dtype.itemsize, 0
+        for end in ((cuts + 1) * width).tolist():
+            yield data[start:end]
+            start = end
+
+    def _learn_words(self, names: set[str]) -> None:
+        """A letter and a punctuation mark are never in one id, so a word's last marks
         go apart, and a word that is known without them is not encoded again."""
+        known = self.words
         forget(known, self.remember)
         cut = {}
         for name in names:
+            if name in known:
+                continue
             stem = name.rstrip(MARKS)
             cut[name] = (stem, name[len(stem) :]) if stem[-1:].isalpha() else (name, "")
         stems = list(dict.fromkeys(stem for stem, _ in cut.values() if stem not in known))
-        known.update(zip(stems, self._fresh([unit_of(stem) for stem in stems])))
-        marks = list(dict.fromkeys(m for _, m in cut.values() if m and m not in self.marks))
-        self.marks.update(zip(marks, self._fresh(marks)))
+        usual = [stem for stem in stems if stem not in ("", "\n")]
+        known.update(zip(usual, self._fresh_words([_unit_of(stem) for stem in usual])))
+        rest = [stem for stem in stems if stem in ("", "\n")]
+        known.update(zip(rest, self._fresh([_unit_of(stem) for stem in rest])))
+        self._learn_units({mark for _, mark in cut.values() if mark})
         for name, (stem, mark) in cut.items():
             if mark:
-                known[name] = known[stem] + self.marks[mark]
-        forget(self.marks, self.remember)
-
-    def _look_up(self, known: dict[str, bytes], names: list[str], unit_of) -> bytes:
-        ids = list(map(known.get, names))
-        if None in ids:
-            found = dict(zip(names, ids))
-            new = [name for name, x in found.items() if x is None]
-            self._learn(known, new, unit_of)
-            ids = [x if x is not None else known[name] for name, x in zip(names, ids)]
-        return b"".join(ids)
-
-    def encode(self, text: str) -> bytes:
-        if _UNUSUAL.search(text):
-            return self._look_up(self.units, _UNIT.findall(text), lambda unit: unit)
-        first, *words = text.replace("\n", " \n").split(" ")
-        head = self._look_up(self.units, [first], lambda unit: unit) if first else b""
-        return head + self._look_up(
-            self.words, words, lambda word: word if word[:1] == "\n" else " " + word
-        )
-
-
-_encoders: dict[str, UnitEncoder] = {}
-
-
-def _encoder(path: str) -> UnitEncoder:
-    if path not in _encoders:
-        _encoders[path] = UnitEncoder(path)
-    return _encoders[path]
+                known[name] = known[stem] + self.units[mark]
+        forget_long(known, (stem for stem, _ in cut.values() if stem not in names))
+
+    def _learn_units(self, units: set[str]) -> None:
+        new = [unit for unit in units if unit not in self.units]
+        self.units.update(zip(new, self._fresh(new)))
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Every text's ids; what is new in any of them is encoded first, together."""
+        forget(self.units, self.remember)
+        cut = []
+        for text in texts:
+            spaced = text.replace("\n", " \n")
+            if "  " in spaced or "\n " in spaced or _OTHER.search(text):
+                cut.append((_UNIT.findall(text), []))
+            else:
+                first, *words = spaced.split(" ")
+                cut.append(([first] if first else [], words))
+        words = set().union(*(words for _, words in cut))
+        units = set().union(*(units for units, _ in cut))
+        self._learn_words(words)
+        self._learn_units(units)
+        unit_ids, word_ids = self.units.__getitem__, self.words.__getitem__
+        found = [b"".join(map(unit_ids, a)) + b"".join(map(word_ids, b)) for a, b in cut]
+        forget_long(self.words, words)
+        forget_long(self.units, units)
+        return found
+
+
+def _unit_of(word: str) -> str:
+    return word if word[:1] == "\n" else " " + word
+
+
+# Units that a task remembers, by default; about 200 bytes each.
+REMEMBER = 800_000
+_encoders: dict[tuple[str, int], UnitEncoder] = {}
+
+
+def _encoder(path: str, remember: int = REMEMBER) -> UnitEncoder:
+    if (path, remember) not in _encoders:
+        _encoders[path, remember] = UnitEncoder(path, remember)
+    return _encoders[path, remember]
 
 
 def _id_type(path: str) -> str:
-    return _encoder(path).dtype.str
+    return _encoder(path, 1).dtype.str
 
 
 def encode_documents(
-    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID
+    docs: DataFrame,
+    path: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    end_id: int = END_ID,
+    remember: int = REMEMBER,
 ) -> DataFrame:
     """First pass: the ids of every document and the ids before it in its partition."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, before = _encoder(path), TaskContext.get().partitionId(), 0
+        encoder, part, before = _encoder(path, remember), TaskContext.get().partitionId(), 0
         end = np.array([end_id], encoder.dtype).tobytes()
         for batch in batches:
-            ids = [encoder.encode(text) + end for text in batch.column("text").to_pylist()]
+            texts = portions(batch.column("text").to_pylist())
+            ids = [found + end for some in texts for found in encoder.encode_all(some)]
             sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // encoder.dtype.itemsize
             starts = before + np.cumsum(sizes) - sizes
             before += int(sizes.sum())
@@ -200,9 +242,10 @@ def packed_pieces(
     text_col: str = "text",
     length: int = LENGTH,
     end_id: int = END_ID,
+    remember: int = REMEMBER,
 ) -> DataFrame:
     """All pieces of all documents with their ids and their place in the sequences."""
-    encoded = encode_documents(docs, path, id_col, text_col, end_id)
+    encoded = encode_documents(docs, path, id_col, text_col, end_id, remember)
     return cut(with_offsets(encoded), _id_type(path), length)
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tenureframe.llm.common import forget, per_batch, text_or_empty
+from tenureframe.llm.common import LONG_NAME, forget, forget_long, per_batch, portions, text_or_empty
 
 BLANK = "▁"
 _CROSSING = re.compile(f"[^{BLANK}]{BLANK}|\n")
@@ -38,7 +38,7 @@ _DIGESTS = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 class PieceEncoder:
     """Encodes and decodes whole texts with a memory of ``remember`` units."""
 
-    def __init__(self, path: str, remember: int = 600_000):
+    def __init__(self, path: str, remember: int = 400_000):
         import sentencepiece
 
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -82,7 +82,9 @@ class PieceEncoder:
     def _part_ids(self, part: str) -> list[int]:
         ids = self.parts.get(part)
         if ids is None:
-            ids = self.parts[part] = self.merge(part)
+            ids = self.merge(part)
+            if len(part) <= LONG_NAME:
+                self.parts[part] = ids
         return ids
 
     def merge(self, unit: str) -> list[int]:
@@ -169,10 +171,11 @@ class PieceEncoder:
         names = set().union(*cut)
         if not all(map(self.known.__contains__, names)):
             self.learn(names)
-        return (
-            [",".join(map(self.known.__getitem__, units)) for units in cut],
-            ["".join(map(self.shown.__getitem__, units))[1:] for units in cut],
-        )
+        ids = [",".join(map(self.known.__getitem__, units)) for units in cut]
+        texts = ["".join(map(self.shown.__getitem__, units))[1:] for units in cut]
+        forget_long(self.known, names)
+        forget_long(self.shown, names)
+        return ids, texts
 
 
 _encoders: dict[str, PieceEncoder] = {}
@@ -184,21 +187,6 @@ def _encoder(path: str) -> PieceEncoder:
     return _encoders[path]
 
 
-# Texts are taken from an Arrow batch in portions of about so many characters.
-PORTION = 4_000_000
-
-
-def _portions(texts: list[str]):
-    start, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= PORTION:
-            yield texts[start : i + 1]
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield texts[start:]
-
-
 def _over_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(
         F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text")
@@ -212,7 +200,7 @@ def encode_pieces(
 
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, decoded = [], []
-        for texts in _portions(batch.column("text").to_pylist()):
+        for texts in portions(batch.column("text").to_pylist()):
             found, back = _encoder(path).encode_batch(texts)
             ids += [[int(i) for i in x.split(",")] if x else [] for x in found]
             decoded += back
@@ -231,7 +219,7 @@ def piece_digests(
 
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts, of_ids, of_texts = [], [], []
-        for texts in _portions(batch.column("text").to_pylist()):
+        for texts in portions(batch.column("text").to_pylist()):
             for ids, text in zip(*_encoder(path).encode_batch(texts)):
                 counts.append(ids.count(",") + 1 if ids else 0)
                 of_ids.append(sha256(ids.encode()).hexdigest())
