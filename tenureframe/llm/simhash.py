@@ -9,7 +9,7 @@ tallied, pairs below the guaranteed number go, and the others are verified bit b
 bit.
 
 Equal fingerprints are one entry, so copies form no pairs. Entries of a list are
-linked to the smallest they reach, so a list gives fewer links than entries,
+linked to one that they reach, so a list gives fewer links than entries,
 and lists with more than ``list_size`` entries are dealt into cells of two blocks
 each, which together hold every pair. Components of the links are found in rounds.
 
@@ -41,17 +41,31 @@ LIST_SIZE = 2000
 BYTES = 8
 
 
-def fingerprint(text: str, words_per_shingle: int = SHINGLE_WORDS) -> int:
-    """Unsigned fingerprint; only A to Z are lower-cased, words end at ASCII white space."""
+def shingle_hashes(text: str, words_per_shingle: int = SHINGLE_WORDS) -> np.ndarray:
+    """Hashes of a text's word runs; only A to Z are lower-cased, words end at ASCII
+    white space."""
     words = text.encode("utf-8", "replace").lower().split()
     if not words:
-        return 0
+        return np.empty(0, "<u8")
     if len(words) < words_per_shingle:
         shingles: Iterable[bytes] = [b" ".join(words)]
     else:
         shingles = map(b" ".join, zip(*(words[i:] for i in range(words_per_shingle))))
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(shingle, SEED) for shingle in shingles], "<u8")
+    return np.array([digest(shingle, SEED) for shingle in shingles], "<u8")
+
+
+def rehashed(hashes: np.ndarray, nth: int) -> np.ndarray:
+    """Hashes for the ``nth`` fingerprint of a text; the first takes them as they are."""
+    if nth:
+        hashes = (hashes ^ np.uint64(nth)) * np.uint64(0x9E3779B97F4A7C15)
+        hashes = (hashes ^ (hashes >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        hashes ^= hashes >> np.uint64(27)
+    return hashes
+
+
+def fingerprint(hashes: np.ndarray) -> int:
+    """Unsigned fingerprint: a bit is set where it is in over half of the hashes."""
     bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, BYTES), axis=1, bitorder="little")
     most = 2 * bits.sum(axis=0, dtype=np.int64) > len(hashes)
     return int(np.packbits(most, bitorder="little").view("<u8")[0])
@@ -62,18 +76,25 @@ def fingerprints(
     id_col: str = "doc_id",
     text_col: str = "text",
     words_per_shingle: int = SHINGLE_WORDS,
+    count: int = 1,
 ) -> DataFrame:
-    """One row per document: ``id`` and its ``fp`` as a signed integer."""
+    """One row per document: ``id``, its first fingerprint ``fp`` and all ``fps``, as
+    signed integers."""
 
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [fingerprint(t, words_per_shingle) for t in batch.column("text").to_pylist()]
-        fp = pa.array(np.array(found, np.uint64).view(np.int64))
-        return pa.RecordBatch.from_arrays([batch.column("id"), fp], ["id", "fp"])
+        found = np.empty((batch.num_rows, count), np.uint64)
+        for row, text in enumerate(batch.column("text").to_pylist()):
+            hashes = shingle_hashes(text, words_per_shingle)
+            found[row] = [fingerprint(rehashed(hashes, nth)) for nth in range(count)]
+        signed = found.view(np.int64)
+        fps = pa.array(signed.tolist(), pa.list_(pa.int64()))
+        first = pa.array(signed[:, 0].copy())
+        return pa.RecordBatch.from_arrays([batch.column("id"), first, fps], ["id", "fp", "fps"])
 
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text")
     )
-    return rows.mapInArrow(per_batch(convert), "id long, fp long")
+    return rows.mapInArrow(per_batch(convert), "id long, fp long, fps array<long>")
 
 
 def byte_sets(max_bits: int = MAX_BITS) -> list[tuple[int, ...]]:
@@ -95,65 +116,78 @@ def _mask(positions: tuple[int, ...]) -> int:
     return mask - 2**64 if mask >= 2**63 else mask
 
 
-def linked(fps: np.ndarray, max_bits: int = MAX_BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Each entry of a list that reaches a smaller one, and the smallest it reaches."""
-    left = np.unique(fps.astype(np.uint64))
-    nodes, roots = [], []
+def linked(
+    values: np.ndarray, nodes: np.ndarray, max_bits: int = MAX_BITS
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links between the nodes of a list whose values are near: each to one of the
+    nodes it reaches. Nodes of equal values are linked to the smallest of them."""
+    order = np.lexsort((nodes, values))
+    values, nodes = values[order], nodes[order]
+    first = np.ones(len(values), bool)
+    first[1:] = values[1:] != values[:-1]
+    holder = nodes[first][np.cumsum(first) - 1]
+    ends, roots = [nodes[holder != nodes]], [holder[holder != nodes]]
+    left, names = values[first], nodes[first]
     while len(left) > 1:
-        root, left = left[0], left[1:]
-        waiting = [root]
+        root, waiting = names[0], [left[0]]
+        left, names = left[1:], names[1:]
         while waiting and len(left):
             apart = left ^ waiting.pop()
             shared = (apart.view(np.uint8).reshape(-1, BYTES) == 0).sum(axis=1)
             near = shared >= BYTES - max_bits
             near[near] = np.bitwise_count(apart[near]) <= max_bits
             if near.any():
-                found = left[near]
-                nodes.append(found)
-                roots.append(np.full(len(found), root))
-                waiting.extend(found)
-                left = left[~near]
-    if not nodes:
-        return np.empty(0, np.uint64), np.empty(0, np.uint64)
-    return np.concatenate(nodes), np.concatenate(roots)
+                ends.append(names[near])
+                roots.append(np.full(int(near.sum()), root))
+                waiting.extend(left[near])
+                left, names = left[~near], names[~near]
+    return np.concatenate(ends), np.concatenate(roots)
 
 
 def _link_lists(max_bits: int):
     """Links within each list; rows come sorted, a list may go on in the next batch."""
 
-    def links(lists: list[np.ndarray]) -> pa.RecordBatch:
-        found = [linked(fps, max_bits) for fps in lists]
-        u, v = (np.concatenate([pair[i] for pair in found]).view(np.int64) for i in (0, 1))
+    def links(rows: np.ndarray, cuts: np.ndarray) -> pa.RecordBatch:
+        found = [
+            linked(part[:, 4].copy().view(np.uint64), part[:, 5], max_bits)
+            for part in np.split(rows, cuts)
+        ]
+        u, v = (np.concatenate([pair[i] for pair in found]) for i in (0, 1))
         return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("positions", "shared", "first", "second", "fp")
-        held = None
+        names = ("positions", "shared", "first", "second", "value", "fp")
+        held = np.empty((0, len(names)), np.int64)
         for batch in batches:
             rows = np.stack([batch.column(n).to_numpy().astype(np.int64) for n in names], axis=1)
-            if held is not None:
-                rows = np.concatenate((held, rows))
-            new = np.flatnonzero((rows[1:, :4] != rows[:-1, :4]).any(axis=1)) + 1
+            held = np.concatenate((held, rows))
+            new = np.flatnonzero((held[1:, :4] != held[:-1, :4]).any(axis=1)) + 1
             if len(new):
-                yield links([x.view(np.uint64) for x in np.split(rows[: new[-1], 4].copy(), new[:-1])])
-                rows = rows[new[-1] :]
-            held = rows
-        if held is not None and len(held):
-            yield links([held[:, 4].copy().view(np.uint64)])
+                yield links(held[: new[-1]], new[:-1])
+                held = held[new[-1] :]
+        if len(held):
+            yield links(held, np.empty(0, np.int64))
 
     return run
 
 
 def near_links(nodes: DataFrame, max_bits: int = MAX_BITS, list_size: int = LIST_SIZE) -> DataFrame:
-    """Links (``u``, ``v``) that connect all distinct fingerprints within ``max_bits``."""
+    """Links (``u``, ``v``) that connect all nodes ``fp`` of which some of the ``fps``, in
+    the same place, are within ``max_bits``."""
     masks = [F.lit(_mask(s)) for s in byte_sets(max_bits)]
-    shared = F.array(*[F.col("fp").bitwiseAND(mask) for mask in masks])
-    entries = nodes.select("fp", F.posexplode(shared).alias("positions", "shared"))
+    # A node becomes many entries: small inputs must not be merged into few tasks.
+    tasks = 4 * int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = nodes.repartition(tasks, "fp")
+    each = spread.select("fp", F.posexplode("fps").alias("nth", "value"))
+    shared = F.array(*[F.col("value").bitwiseAND(mask) for mask in masks])
+    entries = each.select("fp", "nth", "value", F.posexplode(shared).alias("set", "shared")).select(
+        "fp", "value", (F.col("nth") * len(masks) + F.col("set")).alias("positions"), "shared"
+    )
     key = ["positions", "shared"]
     # Lists of one entry have no pairs; blocks are counted for the long ones.
     sizes = entries.groupBy(*key).agg(row_count().alias("n")).filter("n > 1")
     blocks = F.ceil(F.col("n") / list_size).cast("int")
-    own = F.pmod(F.xxhash64("fp", F.lit(SEED)), F.col("blocks")).cast("int")
+    own = F.pmod(F.xxhash64("value", F.lit(SEED)), F.col("blocks")).cast("int")
 
     def cell(other: Column) -> Column:
         return F.struct(
@@ -164,12 +198,12 @@ def near_links(nodes: DataFrame, max_bits: int = MAX_BITS, list_size: int = LIST
     cells = (
         entries.join(sizes.withColumn("blocks", blocks), key)
         .withColumn("own", own)
-        .select(*key, "fp", F.inline(F.transform(others, cell)))
+        .select(*key, "value", "fp", F.inline(F.transform(others, cell)))
     )
     group = [*key, "first", "second"]
     return (
         cells.repartition(*group)
-        .sortWithinPartitions(*group, "fp")
+        .sortWithinPartitions(*group, "value", "fp")
         .mapInArrow(_link_lists(max_bits), "u long, v long")
         .distinct()
     )
@@ -182,11 +216,21 @@ def near_components(
     words_per_shingle: int = SHINGLE_WORDS,
     max_bits: int = MAX_BITS,
     list_size: int = LIST_SIZE,
+    count: int = 1,
 ) -> DataFrame:
-    """One row per document: ``id``, ``fp`` and ``component_id``, its smallest id."""
-    rows = staged(fingerprints(docs, id_col, text_col, words_per_shingle), "fingerprints")
+    """One row per document: ``id``, ``fp`` and ``component_id``, its smallest id.
+
+    With a higher ``count`` of fingerprints from independent hashes, texts are linked if
+    any of theirs are near: texts of a given likeness are then found more surely.
+    """
+    made = fingerprints(docs, id_col, text_col, words_per_shingle, count)
+    rows = staged(made, "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("id").alias("least"))
-    links = near_links(nodes.select("fp"), max_bits, list_size)
+    # One fingerprint: a node has it itself. Several: each distinct set has an entry.
+    entries = nodes.select("fp", F.array("fp").alias("fps"))
+    if count > 1:
+        entries = rows.select("fp", "fps").distinct()
+    links = near_links(entries, max_bits, list_size)
     roots = connected_components(links).withColumnRenamed("node", "fp")
     rooted = nodes.join(roots, "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
