@@ -206,7 +206,7 @@ def with_offsets(encoded: DataFrame) -> DataFrame:
     )
 
 
-def cut(placed: DataFrame, dtype: str, length: int = LENGTH) -> DataFrame:
+def _cutter(dtype: str, length: int):
     """Second pass: one row per document and window, ids as unsigned 32-bit integers."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,7 +232,7 @@ def cut(placed: DataFrame, dtype: str, length: int = LENGTH) -> DataFrame:
                     names,
                 )
 
-    return placed.mapInArrow(run, _PIECES)
+    return run
 
 
 def packed_pieces(
@@ -246,19 +246,30 @@ def packed_pieces(
 ) -> DataFrame:
     """All pieces of all documents with their ids and their place in the sequences."""
     encoded = encode_documents(docs, path, id_col, text_col, end_id, remember)
-    return cut(with_offsets(encoded), _id_type(path), length)
+    return with_offsets(encoded).mapInArrow(_cutter(_id_type(path), length), _PIECES)
 
 
-def packed_sequences(pieces: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Sequences (``sequence_id``, ``ids``, ``doc_ids``, ``length``) from their pieces.
+def packed_sequences(
+    docs: DataFrame,
+    path: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    length: int = LENGTH,
+    end_id: int = END_ID,
+    remember: int = REMEMBER,
+) -> DataFrame:
+    """Sequences (``sequence_id``, ``ids``, ``doc_ids``, ``length``) of all documents.
 
-    Runs of pieces that fill a window leave as they are; boundary records, the runs
-    that do not, are put together by sequence.
+    Documents are cut and their pieces joined in one task. Runs of pieces that fill a
+    window leave as they are; boundary records, the runs that do not, are put together
+    by sequence.
     """
     schema = "sequence_id long, offset long, length long, ids binary, doc_ids array<long>"
+    encoded = encode_documents(docs, path, id_col, text_col, end_id, remember)
+    cut = _cutter(_id_type(path), length)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in cut(batches):
             runs: list[list] = []
             columns = ("sequence_id", "offset", "length", "ids", "id")
             for sequence, offset, size, ids, id_ in zip(
@@ -284,7 +295,7 @@ def packed_sequences(pieces: DataFrame, length: int = LENGTH) -> DataFrame:
                     ["sequence_id", "offset", "length", "ids", "doc_ids"],
                 )
 
-    runs = pieces.mapInArrow(run, schema)
+    runs = with_offsets(encoded).mapInArrow(run, schema)
     whole = runs.filter(F.col("length") == length).drop("offset")
     # At most ``length`` records meet here, with ``length`` ids together.
     ordered = F.array_sort(F.collect_list(F.struct("offset", "ids", "doc_ids")))

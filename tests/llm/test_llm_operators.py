@@ -83,10 +83,11 @@ def test_packing_covers_every_id_once(spark, small_dir, small_docs):
 def test_packing_odd_rows_and_sequences(odd, none):
     found = packing.packed_pieces(odd, BYTES, length=64)
     check_pieces(found.collect(), TEXTS, 64)
-    sequences = sorted(packing.packed_sequences(found, 64).collect(), key=lambda r: r["sequence_id"])
+    sequences = packing.packed_sequences(odd, BYTES, length=64).collect()
+    sequences = sorted(sequences, key=lambda r: r["sequence_id"])
     assert [r["sequence_id"] for r in sequences] == list(range(len(sequences)))
     assert all(r["length"] == 64 == len(r["ids"]) // 4 for r in sequences[:-1])
-    assert packing.packed_sequences(packing.packed_pieces(none, BYTES)).count() == 0
+    assert packing.packed_sequences(none, BYTES).count() == packing.packed_pieces(none, BYTES).count() == 0
 
 
 # 2 winnowing
