@@ -11,6 +11,8 @@ sequences together.
 Encoding is done per unit, the white space before a word with the word: the
 splitting pattern of byte-level vocabularies never looks back, so a unit encodes
 alone as it does in its text. Each task keeps the ids of a bounded number of units.
+A text is first cut at the strings of special tokens, which become their ids as the
+tokenizer has it; the stretches between are encoded like texts of their own.
 
 Defined results: a NULL or empty text is its end id alone; repeated rows are packed
 each; an empty table gives an empty result; further columns are ignored.
@@ -57,7 +59,7 @@ class UnitEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # The strings of special tokens are ordinary text in a document.
+        # Units hold ordinary text only: special tokens are cut out before.
         self.tokenizer.encode_special_tokens = True
         self.remember = remember
         size = self.tokenizer.get_vocab_size()
@@ -67,6 +69,13 @@ class UnitEncoder:
         # By unit, and by word for the usual unit of a blank or line end and a word.
         self.units: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.special: dict[str, bytes] = {}
+        for id_, token in self.tokenizer.get_added_tokens_decoder().items():
+            if token.lstrip or token.rstrip or token.single_word:
+                raise ValueError(f"{token.content} takes text around it along")
+            self.special[token.content] = np.array([id_], self.dtype).tobytes()
+        longest_first = sorted(self.special, key=len, reverse=True)
+        self.at_special = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")")
 
     def _fresh(self, units: list[str]) -> Iterator[bytes]:
         for encoding in self.tokenizer.encode_batch_fast(units, add_special_tokens=False):
@@ -115,8 +124,19 @@ class UnitEncoder:
         new = [unit for unit in units if unit not in self.units]
         self.units.update(zip(new, self._fresh(new)))
 
+    def encode_whole(self, texts: list[str]) -> list[bytes]:
+        """Every text's ids, with those of the special tokens whose strings are in it."""
+        if not any(string in text for string in self.special for text in texts):
+            return self.encode_all(texts)
+        cut = [self.at_special.split(text) for text in texts]
+        ids = iter(self.encode_all([stretch for parts in cut for stretch in parts[::2]]))
+        return [
+            b"".join(self.special[part] if i % 2 else next(ids) for i, part in enumerate(parts))
+            for parts in cut
+        ]
+
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Every text's ids; what is new in any of them is encoded first, together."""
+        """Every text's ids as ordinary text; what is new in any of them is encoded first, together."""
         forget(self.units, self.remember)
         cut = []
         for text in texts:
@@ -171,7 +191,7 @@ def encode_documents(
         end = np.array([end_id], encoder.dtype).tobytes()
         for batch in batches:
             texts = portions(batch.column("text").to_pylist())
-            ids = [found + end for some in texts for found in encoder.encode_all(some)]
+            ids = [found + end for some in texts for found in encoder.encode_whole(some)]
             sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // encoder.dtype.itemsize
             starts = before + np.cumsum(sizes) - sizes
             before += int(sizes.sum())
