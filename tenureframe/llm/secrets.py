@@ -1,8 +1,14 @@
 """Secret scans with assignment-aware lexing.
 
 Three patterns give the base spans. Beyond them, lines with an assignment are lexed
-as source or configuration: a name (dotted, quoted or in camel case), an operator,
-and a literal or another name. Literals assigned to a name are remembered in the
+as source or configuration: a name (dotted, quoted or in camel case), perhaps its type,
+before it or after a colon, an operator, and a literal or another name. Which of two
+words before an operator is the type is not known, so both count as names. Quoted
+literals may have a prefix, or three quotes and then several lines. A value without
+quotes ends at white space or a comma, bracket or quote; where it is all that a line
+assigns, at white space only. Without a digit it is a literal only if it is no name of
+source code: on lines ``KEY=VALUE`` without blanks, if it has other signs than a name,
+or in a text with ``[section]`` lines. Literals assigned to a name are remembered in the
 text and propagated when the name is assigned on, through any number of steps. Each
 literal is scored by how sensitive the names are that it reaches and by how much it
 looks like a secret; literals at or above ``threshold`` become spans of the kind
@@ -18,6 +24,7 @@ an empty table gives an empty result; further columns are ignored.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from hashlib import sha256
 from math import log2
 
@@ -63,12 +70,35 @@ SENSITIVE = {
 }
 THRESHOLD = 1.4
 
+_WORD = r"[A-Za-z_][A-Za-z0-9_]*(?:(?:\.|::)[A-Za-z_][A-Za-z0-9_]*){0,9}"
+_TYPE = (
+    r"[&*]{0,2}(?:'[a-z_]+[ \t]+)?(?:(?:mut|const|dyn)[ \t]+)?[&*]?"
+    rf"(?P<type>{_WORD})(?:[<\[][A-Za-z0-9_ .,:|&<>\[\]]{{0,80}}[>\]])?(?:\[\])?"
+    rf"(?:[ \t]*\|[ \t]*{_WORD}){{0,9}}[*?!]?"
+)
 _PAIR = re.compile(
-    r"""(?P<open>["'])?(?P<name>[A-Za-z_][A-Za-z0-9_.-]*)(?(open)(?P=open))\]?"""
-    r"""[ \t]*(?::=|=>|=|:)[ \t]*"""
-    r"""(?:"(?P<double>(?:[^"\\\n]|\\.)*)"|'(?P<single>(?:[^'\\\n]|\\.)*)'"""
-    r"""|(?P<bare>[A-Za-z0-9_$][A-Za-z0-9_.$/+=-]*))"""
+    r"""(?P<open>["'])?(?P<name>[A-Za-z_][A-Za-z0-9_.-]*)(?(open)(?P=open))"""
+    r"""(?:\]|\[[0-9]{0,9}\])?"""
+    # A type is followed by an assignment, a plain name by a colon as well.
+    rf"""(?:(?:[?!]?[ \t]*:[ \t]*|[ \t]+){_TYPE}[ \t]*(?::=|=(?![=>]))[ \t]*"""
+    r"""|[ \t]*(?::=|=>|=|:)[ \t]*)"""
+    r"""(?:(?:[bBfFrRuU]{1,2}(?=["']))?"""
+    r"""(?:(?P<three>\"\"\"|''')|"(?P<double>(?:[^"\\\n]|\\.)*)"|'(?P<single>(?:[^'\\\n]|\\.)*)')"""
+    r"""|(?P<bare>[A-Za-z0-9_$][A-Za-z0-9_.$/+=!@#%^~?*-]*))"""
+)
+# A line that is a whole assignment of a value without quotes.
+_SETTING = re.compile(
+    r"""[ \t]*(?:(?:export|set|ENV|-)[ \t]+)?(?P<open>["'])?(?P<name>[A-Za-z_][A-Za-z0-9_.-]*)"""
+    r"""(?(open)(?P=open))(?P<operator>=|[ \t]*(?:=|:)[ \t]+|[ \t]+=|:)"""
+    r"""(?P<bare>[^\s"'`=:(\[{<][^\s]*)[ \t\r]*(?:[ \t](?:[#;]|//)[^\n]*)?(?=\n|\Z)"""
+)
+_SECTION = re.compile(r"^[ \t]*\[[A-Za-z][^\]\n]*\][ \t\r]*$", re.M)
+# Values that are expressions: with a literal in quotes, or a call or an item.
+_EXPRESSION = re.compile(
+    r"""[^\n]*(["'])[^\n]*\1[^\n]*|[bBfFrRuU]{1,2}["'][^\n]*"""
+    r"""|[A-Za-z_][A-Za-z0-9_.]*[(\[{][^\n]*[)\]}][;,]?"""
 )
+_REFERENCE = re.compile(r"\$\{?[A-Za-z_][A-Za-z0-9_]*\}?|%[A-Za-z_][A-Za-z0-9_]*%")
 _PART = re.compile("[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 _IDENTIFIER = re.compile("[A-Za-z_][A-Za-z0-9_.]*")
 _LINE = re.compile("[^\n]*[:=][^\n]*")
@@ -112,30 +142,73 @@ def literal_weight(value: str) -> float:
     return min(1.0, entropy / 4.5) * 0.6 + min(classes, 3) / 3 * 0.4
 
 
+# How a value stands: in quotes, without, or as all that a line assigns, there with
+# blanks beside the operator or without.
+QUOTED, BARE, SPACED, SETTING = range(4)
+
+
+def _assignments(text: str) -> Iterator[tuple[list[str], tuple[int, int], int]]:
+    """Names, place of the value and how it stands, of every assignment in the text."""
+    done = 0
+    for line in _LINE.finditer(text):
+        if line.start() < done:
+            continue
+        setting = _SETTING.match(text, line.start(), line.end())
+        at = line.start()
+        if setting and not _EXPRESSION.fullmatch(setting["bare"]):
+            kind = SETTING if setting["operator"] == "=" else SPACED
+            yield [setting["name"]], setting.span("bare"), kind
+            # A value may hold assignments of its own, as addresses do.
+            at = setting.start("bare")
+        while pair := _PAIR.search(text, at, line.end()):
+            at = pair.end()
+            names = [pair["name"], *filter(None, [pair["type"]])]
+            if pair["three"]:
+                end = text.find(pair["three"], at)
+                end = line.end() if end < 0 else end
+                inside = text[at:end]
+                start = at + len(inside) - len(inside.lstrip())
+                yield names, (start, max(start, at + len(inside.rstrip()))), QUOTED
+                at = done = max(at, end + 3)
+                if at > line.end():
+                    break
+                continue
+            group = next(g for g in ("double", "single", "bare") if pair[g] is not None)
+            yield names, pair.span(group), BARE if group == "bare" else QUOTED
+
+
 def literal_spans(text: str, threshold: float = THRESHOLD) -> list[Span]:
     """Literals whose own score plus that of the most sensitive name they reach is high."""
-    pairs = [
-        pair
-        for line in _LINE.finditer(text)
-        for pair in _PAIR.finditer(text, line.start(), line.end())
-    ]
+    pairs = list(_assignments(text))
     if not pairs:
         return []
+    sections: bool | None = None
     # Each name's literal: where it stands, and the highest weight of names it reached.
     held: dict[str, tuple[int, int]] = {}
     reached: dict[tuple[int, int], float] = {}
-    for pair in pairs:
-        name = pair["name"]
-        group = next(g for g in ("double", "single", "bare") if pair[g] is not None)
-        span = pair.span(group)
-        if group == "bare" and _IDENTIFIER.fullmatch(pair[group]) and pair[group] in held:
-            span = held[pair[group]]
-        elif group == "bare" and not any(c.isdigit() for c in pair[group]):
-            # A word of prose or a name without a literal.
-            held.pop(name, None)
-            continue
-        held[name] = span
-        reached[span] = max(reached.get(span, 0.0), name_weight(name))
+    for names, span, kind in pairs:
+        value = text[slice(*span)]
+        if kind != QUOTED:
+            # What ends a statement is no part of a name.
+            bare = value.rstrip(";,")
+            known = _IDENTIFIER.fullmatch(bare) and held.get(bare)
+            literal = any(c.isdigit() for c in value)
+            if not literal and kind != BARE and not _REFERENCE.fullmatch(value):
+                literal = not _IDENTIFIER.fullmatch(bare) or (kind == SETTING and bare == value)
+                if not literal:
+                    if sections is None:
+                        sections = bool(_SECTION.search(text))
+                    literal = sections
+            if known:
+                span = known
+            elif not literal:
+                # A word of prose or a name without a literal.
+                for name in names:
+                    held.pop(name, None)
+                continue
+        for name in names:
+            held[name] = span
+            reached[span] = max(reached.get(span, 0.0), name_weight(name))
     return [
         (start, 3, end)
         for (start, end), weight in sorted(reached.items())
