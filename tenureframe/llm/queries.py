@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenureframe.llm.common import read_table
+from tenureframe.llm.conversations import damaged, repair_conversations, turn_digests
+from tenureframe.llm.divergence import source_divergence
 from tenureframe.llm.exact_dedup import exact_groups
 from tenureframe.llm.language import held_out, learn_profiles, predict_language
+from tenureframe.llm.oracle import CONVERSATIONS_SQL, DIVERGENCE_SQL
 from tenureframe.llm.packing import packed_pieces
 from tenureframe.llm.pieces import piece_digests
+from tenureframe.llm.private_data import scan_private
 from tenureframe.llm.repeats import remove_repeats
 from tenureframe.llm.secrets import scan_secrets
 from tenureframe.llm.sharding import shard_documents
@@ -100,6 +104,26 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = damaged(read_table(spark, sf_dir, "conversations"))
+    repairs, turns = repair_conversations(rows, copies=F.col("copies"))
+    digests = turn_digests(turns).withColumnRenamed("conv", "digested")
+    nothing = F.sha2(F.lit(""), 256)
+    return repairs.join(digests, F.col("conv").eqNullSafe(F.col("digested")), "left").select(
+        F.col("conv").alias("conv_id"),
+        *("gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit"),
+        F.coalesce("repaired_sha256", nothing).alias("repaired_sha256"),
+    )
+
+
+def op12_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_private(_documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(_documents(spark, sf_dir))
+
+
 LLM_QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -113,6 +137,9 @@ LLM_QUERIES: dict[str, Query] = {
         op8_exact_dedup,
         op9_language,
         op10_sharding,
+        op11_conversations,
+        op12_private_data,
+        op13_source_divergence,
     )
 }
 
@@ -155,4 +182,6 @@ LLM_ORACLE: dict[str, str] = {
                sha256(text) AS text_sha256
         FROM d JOIN g USING (text)
     """,
+    "op11_conversations": CONVERSATIONS_SQL,
+    "op13_source_divergence": DIVERGENCE_SQL,
 }
