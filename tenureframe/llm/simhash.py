@@ -22,6 +22,7 @@ returned each; an empty table gives an empty result; further columns are ignored
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from hashlib import sha256
 from itertools import combinations
 
 import numpy as np
@@ -41,10 +42,10 @@ LIST_SIZE = 2000
 BYTES = 8
 
 
-def shingle_hashes(text: str, words_per_shingle: int = SHINGLE_WORDS) -> np.ndarray:
+def shingle_hashes(text: bytes, words_per_shingle: int = SHINGLE_WORDS) -> np.ndarray:
     """Hashes of a text's word runs; only A to Z are lower-cased, words end at ASCII
     white space."""
-    words = text.encode("utf-8", "replace").lower().split()
+    words = text.lower().split()
     if not words:
         return np.empty(0, "<u8")
     if len(words) < words_per_shingle:
@@ -55,15 +56,6 @@ def shingle_hashes(text: str, words_per_shingle: int = SHINGLE_WORDS) -> np.ndar
     return np.array([digest(shingle, SEED) for shingle in shingles], "<u8")
 
 
-def rehashed(hashes: np.ndarray, nth: int) -> np.ndarray:
-    """Hashes for the ``nth`` fingerprint of a text; the first takes them as they are."""
-    if nth:
-        hashes = (hashes ^ np.uint64(nth)) * np.uint64(0x9E3779B97F4A7C15)
-        hashes = (hashes ^ (hashes >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        hashes ^= hashes >> np.uint64(27)
-    return hashes
-
-
 def fingerprint(hashes: np.ndarray) -> int:
     """Unsigned fingerprint: a bit is set where it is in over half of the hashes."""
     bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, BYTES), axis=1, bitorder="little")
@@ -76,25 +68,23 @@ def fingerprints(
     id_col: str = "doc_id",
     text_col: str = "text",
     words_per_shingle: int = SHINGLE_WORDS,
-    count: int = 1,
 ) -> DataFrame:
-    """One row per document: ``id``, its first fingerprint ``fp`` and all ``fps``, as
-    signed integers."""
+    """One row per document: ``id``, the ``digest`` of its text, and its fingerprint
+    ``fp`` as a signed integer."""
 
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = np.empty((batch.num_rows, count), np.uint64)
-        for row, text in enumerate(batch.column("text").to_pylist()):
-            hashes = shingle_hashes(text, words_per_shingle)
-            found[row] = [fingerprint(rehashed(hashes, nth)) for nth in range(count)]
-        signed = found.view(np.int64)
-        fps = pa.array(signed.tolist(), pa.list_(pa.int64()))
-        first = pa.array(signed[:, 0].copy())
-        return pa.RecordBatch.from_arrays([batch.column("id"), first, fps], ["id", "fp", "fps"])
+        texts = [text.encode("utf-8", "replace") for text in batch.column("text").to_pylist()]
+        found = [fingerprint(shingle_hashes(text, words_per_shingle)) for text in texts]
+        fps = pa.array(np.array(found, np.uint64).view(np.int64))
+        digests = pa.array([sha256(text).digest() for text in texts], pa.binary())
+        return pa.RecordBatch.from_arrays(
+            [batch.column("id"), digests, fps], ["id", "digest", "fp"]
+        )
 
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text")
     )
-    return rows.mapInArrow(per_batch(convert), "id long, fp long, fps array<long>")
+    return rows.mapInArrow(per_batch(convert), "id long, digest binary, fp long")
 
 
 def byte_sets(max_bits: int = MAX_BITS) -> list[tuple[int, ...]]:
@@ -149,14 +139,14 @@ def _link_lists(max_bits: int):
 
     def links(rows: np.ndarray, cuts: np.ndarray) -> pa.RecordBatch:
         found = [
-            linked(part[:, 4].copy().view(np.uint64), part[:, 5], max_bits)
+            linked(part[:, 4].copy().view(np.uint64), part[:, 4], max_bits)
             for part in np.split(rows, cuts)
         ]
         u, v = (np.concatenate([pair[i] for pair in found]) for i in (0, 1))
         return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("positions", "shared", "first", "second", "value", "fp")
+        names = ("positions", "shared", "first", "second", "fp")
         held = np.empty((0, len(names)), np.int64)
         for batch in batches:
             rows = np.stack([batch.column(n).to_numpy().astype(np.int64) for n in names], axis=1)
@@ -172,22 +162,18 @@ def _link_lists(max_bits: int):
 
 
 def near_links(nodes: DataFrame, max_bits: int = MAX_BITS, list_size: int = LIST_SIZE) -> DataFrame:
-    """Links (``u``, ``v``) that connect all nodes ``fp`` of which some of the ``fps``, in
-    the same place, are within ``max_bits``."""
+    """Links (``u``, ``v``) that connect all distinct ``fp`` within ``max_bits``."""
     masks = [F.lit(_mask(s)) for s in byte_sets(max_bits)]
     # A node becomes many entries: small inputs must not be merged into few tasks.
     tasks = 4 * int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = nodes.repartition(tasks, "fp")
-    each = spread.select("fp", F.posexplode("fps").alias("nth", "value"))
-    shared = F.array(*[F.col("value").bitwiseAND(mask) for mask in masks])
-    entries = each.select("fp", "nth", "value", F.posexplode(shared).alias("set", "shared")).select(
-        "fp", "value", (F.col("nth") * len(masks) + F.col("set")).alias("positions"), "shared"
-    )
+    shared = F.array(*[F.col("fp").bitwiseAND(mask) for mask in masks])
+    entries = spread.select("fp", F.posexplode(shared).alias("positions", "shared"))
     key = ["positions", "shared"]
     # Lists of one entry have no pairs; blocks are counted for the long ones.
     sizes = entries.groupBy(*key).agg(row_count().alias("n")).filter("n > 1")
     blocks = F.ceil(F.col("n") / list_size).cast("int")
-    own = F.pmod(F.xxhash64("value", F.lit(SEED)), F.col("blocks")).cast("int")
+    own = F.pmod(F.xxhash64("fp", F.lit(SEED)), F.col("blocks")).cast("int")
 
     def cell(other: Column) -> Column:
         return F.struct(
@@ -198,12 +184,12 @@ def near_links(nodes: DataFrame, max_bits: int = MAX_BITS, list_size: int = LIST
     cells = (
         entries.join(sizes.withColumn("blocks", blocks), key)
         .withColumn("own", own)
-        .select(*key, "value", "fp", F.inline(F.transform(others, cell)))
+        .select(*key, "fp", F.inline(F.transform(others, cell)))
     )
     group = [*key, "first", "second"]
     return (
         cells.repartition(*group)
-        .sortWithinPartitions(*group, "value", "fp")
+        .sortWithinPartitions(*group, "fp")
         .mapInArrow(_link_lists(max_bits), "u long, v long")
         .distinct()
     )
@@ -216,26 +202,17 @@ def near_components(
     words_per_shingle: int = SHINGLE_WORDS,
     max_bits: int = MAX_BITS,
     list_size: int = LIST_SIZE,
-    count: int = 1,
 ) -> DataFrame:
-    """One row per document: ``id``, ``fp`` and ``component_id``, its smallest id.
-
-    With a higher ``count`` of fingerprints from independent hashes, texts are linked if
-    any of theirs are near: texts of a given likeness are then found more surely.
-    """
-    made = fingerprints(docs, id_col, text_col, words_per_shingle, count)
-    rows = staged(made, "fingerprints")
+    """One row per document: ``id``, ``digest`` of its text, ``fp``, ``root`` (a name of its
+    component that does not rest on ids), and ``component_id``, its smallest id."""
+    rows = staged(fingerprints(docs, id_col, text_col, words_per_shingle), "fingerprints")
     nodes = rows.groupBy("fp").agg(F.min("id").alias("least"))
-    # One fingerprint: a node has it itself. Several: each distinct set has an entry.
-    entries = nodes.select("fp", F.array("fp").alias("fps"))
-    if count > 1:
-        entries = rows.select("fp", "fps").distinct()
-    links = near_links(entries, max_bits, list_size)
+    links = near_links(nodes.select("fp"), max_bits, list_size)
     roots = connected_components(links).withColumnRenamed("node", "fp")
     rooted = nodes.join(roots, "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     rooted = staged(rooted, "roots")
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    members = rooted.join(named, "root").select("fp", "component_id")
-    return rows.join(members, "fp").select("id", "fp", "component_id")
+    members = rooted.join(named, "root").select("fp", "root", "component_id")
+    return rows.join(members, "fp").select("id", "digest", "fp", "root", "component_id")
