@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
-from tenureframe.llm import secrets, simhash
+from tenureframe.llm import secrets
 from tenureframe.llm.queries import LLM_ORACLE, LLM_QUERIES
 from tests.llm.test_llm_operators import brute_components, brute_fingerprint, expected_ids
 from tests.oracle_compare import duck, spark_rows, sql_rows
@@ -21,26 +21,15 @@ def test_query_matches_sql(spark, name):
     assert columns == expected_columns and rows and rows == expected
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = entry_points.queries()
     numbers = sorted(int(n[2:].split("_")[0]) for n in names if n[:2] == "op" and n[2].isdigit())
-    assert numbers == list(range(1, 11)) and "pipeline" in names
+    assert numbers == list(range(1, 14)) and "pipeline" in names
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "language_id", "exact_dedup", "near_dedup", "secret_scan", "packing",
     ]
 
 
-def join_groups(groups, ids, several):
-    """Each document's smallest id in any of the components its own smallest id is in."""
-    for fps in several:
-        of = brute_components(ids, fps)
-        least = {}
-        for mine, component in zip(groups, of):
-            least[component] = min(mine, least.get(component, mine))
-        groups = [min(mine, least[component]) for mine, component in zip(groups, of)]
-    return groups
-
-
 def test_stages_by_brute_force(spark, small_dir):
     """Each stage on all that the one before kept."""
     docs = spark.read.parquet(f"{small_dir}/documents.parquet")
@@ -56,16 +45,9 @@ def test_stages_by_brute_force(spark, small_dir):
 
     kept = stages["near_dedup"](spark, kept, small_dir)
     ids = sorted(found)
-    several = [
-        [simhash.fingerprint(simhash.rehashed(simhash.shingle_hashes(found[i]), n)) for i in ids]
-        for n in range(corpus_pipeline.FINGERPRINTS)
-    ]
-    assert several[0] == [brute_fingerprint(found[i]) for i in ids]
-    groups = ids
-    while (joined := join_groups(groups, ids, several)) != groups:
-        groups = joined
+    groups = brute_components(ids, [brute_fingerprint(found[i]) for i in ids])
     found = {r["doc_id"]: r["text"] for r in kept.collect()}
-    assert kept.columns == docs.columns and sorted(found) == sorted(set(groups))
+    assert kept.columns == docs.columns and sorted(found) == sorted(set(groups)) != ids
 
     kept = stages["secret_scan"](spark, kept, small_dir)
     clean = {i: secrets.redact(t, secrets.find_spans(t)[1]) for i, t in found.items()}
@@ -86,6 +68,26 @@ def test_pipeline_runs_whole(spark, small_dir):
     assert result.columns == ["sequence_id", "length", "ids", "doc_ids"] and result.count() > 10
 
 
+def test_near_copies_with_equal_or_missing_ids(spark):
+    """One row of each group stays, however the ids of its rows agree; no name can clash."""
+    words = " ".join(f"w{i}" for i in range(400))
+    rows = [
+        (7, words, "a"), (7, words + " more", "b"), (7, words, "a"),
+        (None, "other " + words[::-1], "c"), (None, words[::-1], "d"),
+        (None, words, "e"), (9, words + " end", "f"), (8, "alone " * 9, "g"),
+    ]
+    names = "doc_id long, text string, source string, lang string, _id_key int, _text_key int, "
+    names += "_kept_id int, row int, id int, digest int, copy int"
+    docs = spark.createDataFrame([(*r, "en", 1, 2, 3, 4, 5, 6, 7) for r in rows], names)
+    kept = corpus_pipeline.near_dedup(spark, docs, "")
+    assert kept.columns == docs.columns
+    found = sorted(((r["doc_id"], r["source"]) for r in kept.collect()), key=str)
+    assert len(found) == 3 and found[0][0] == 7 and found[1] == (8, "g") and found[2][0] is None
+    assert found[2][1] in "cd" and {r["copy"] for r in kept.collect()} == {7}
+    distinct = corpus_pipeline.exact_dedup(spark, docs, "")
+    assert distinct.columns == docs.columns and distinct.count() == 6
+
+
 def test_stages_on_odd_and_empty_tables(spark, odd, none):
     docs, empty = odd, none
     counts = []
