@@ -8,7 +8,7 @@ from tenureframe.operators.changes import (
 from tenureframe.operators.groups import pivot_values, share_within_group
 from tenureframe.operators.intervals import active_at, join_as_of_interval, join_distinct
 from tenureframe.operators.latest import dedupe_by_key, latest_per_key, max_date_rows
-from tenureframe.operators.skew import collapse, range_number
+from tenureframe.operators.skew import collapse, range_of, split_rows
 
 __all__ = [
     "active_at",
@@ -21,7 +21,8 @@ __all__ = [
     "latest_per_key",
     "max_date_rows",
     "pivot_values",
-    "range_number",
+    "range_of",
     "share_within_group",
+    "split_rows",
     "with_neighbour",
 ]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tenureframe.functions import as_date, between_dates
 from tenureframe.functions.dates import DateLike
 from tenureframe.operators.latest import latest_per_key
-from tenureframe.operators.skew import range_number
+from tenureframe.operators.skew import range_of, split_rows
 
 
 def _ascending(columns: Sequence[str]) -> list[Column]:
@@ -35,48 +35,35 @@ def with_neighbour(
     """Add columns from the previous (or next) row of the same key.
 
     ``take`` maps new column to source column. ``order`` must identify a row within
-    its key; its first column is a date.
-
-    A key's rows are cut into buckets by date and by range of the next order column,
-    and each bucket is sorted on its own, so no task needs all rows of a key. Only the
-    row at the edge of a bucket looks beyond it: buckets are reduced to their edge
-    rows by partial aggregation, and one window per key runs over those.
-    ``ranges_from`` is the table to take the ranges from, if ``df`` is costly.
+    its key.
+
+    All rows are cut into ranges by key and order, and each range is sorted on its own, so
+    neither a key nor a day of a key has to lie in one task. Ranges are cut at rows of the
+    table itself: each such row ends its range (or begins it, when looking forward), and so
+    is the one neighbour that the next (former) range has to know. What is carried over a
+    boundary is therefore known before anything is sorted, and rows are shuffled once.
+    ``ranges_from`` is a subset of the rows of ``df`` to choose the cuts from, if ``df`` is
+    costly.
     """
     backwards = {"previous": True, "next": False}[direction]
-    step = F.lag if backwards else F.lead
-    day, finer = order[0], list(order[1:]) or [order[0]]
-    number = range_number(df if ranges_from is None else ranges_from, finer[0])
-    rows = df.withColumn("_range", number if len(order) > 1 else F.lit(0).cast("long"))
-    bucket = [*keys, day, "_range"]
-
-    within = _ascending(finer)
-    outward = within if backwards else [F.col(c).desc_nulls_last() for c in finer]
-    in_bucket = Window.partitionBy(*bucket)
-    linked = rows.withColumns(
-        {
-            **{out: step(F.col(src)).over(in_bucket.orderBy(*within)) for out, src in take.items()},
-            "_edge": F.row_number().over(in_bucket.orderBy(*outward)) == 1,
-        }
-    )
-    pick = F.max_by if backwards else F.min_by
-    nearest = pick(F.struct(*dict.fromkeys(take.values())), F.struct(*order))
-    across = Window.partitionBy(*keys).orderBy(*_ascending([day, "_range"]))
-    carried = (
-        rows.groupBy(*bucket)
-        .agg(nearest.alias("_own"))
-        .withColumn("_carried", step(F.col("_own")).over(across))
-        .drop("_own")
+    place = [*keys, *order]
+    known = list(dict.fromkeys([*keys, *take.values()]))
+    splits = split_rows(df if ranges_from is None else ranges_from, place, known)
+    cut = df.withColumn("_splits", splits).withColumn(
+        "_range", range_of("_splits", place, with_split=not backwards)
     )
-    joined = linked.alias("r").join(carried.alias("c"), _same(bucket), "left")
-    return joined.select(
-        *[F.col(f"r.{c}") for c in df.columns],
-        *[
-            F.when(F.col("r._edge"), F.col(f"c._carried.{src}"))
-            .otherwise(F.col(f"r.{out}"))
-            .alias(out)
-            for out, src in take.items()
-        ],
+    in_range = Window.partitionBy("_range").orderBy(*_ascending(place))
+    step = F.lag if backwards else F.lead
+    edge = F.get(splits, F.col("_range") - 1 if backwards else F.col("_range"))["carried"]
+    near = F.coalesce(step(F.struct(*known)).over(in_range), edge)
+    same_key = reduce(Column.__and__, [F.col(f"_near.{k}").eqNullSafe(F.col(k)) for k in keys])
+    return (
+        cut.drop("_splits")
+        .withColumn("_near", near)
+        .select(
+            *df.columns,
+            *[F.when(same_key, F.col(f"_near.{src}")).alias(out) for out, src in take.items()],
+        )
     )
 
 

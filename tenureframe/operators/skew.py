@@ -10,35 +10,47 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampType
 
 from tenureframe.functions import row_count
 
-# Into how many ranges the rows of one key and day are cut.
-RANGES = 32
+# Ranges for each shuffle partition, so that their sizes even out, and at most.
+RANGES_A_PARTITION = 16
+MOST_RANGES = 4096
 
 
-def range_number(source: DataFrame, column: str, ranges: int = RANGES) -> Column:
-    """In which range of ``column`` a value lies; never falls as the value rises.
+def split_rows(
+    source: DataFrame, order: Sequence[str], take: Sequence[str], ranges: int | None = None
+) -> Column:
+    """Rows of ``source`` that cut it into about even ranges by ``order``: a sorted array
+    of (``at``: the columns of ``order``, ``carried``: those of ``take``).
 
-    Ranges are even steps between the approximate first and last hundredth of
-    ``source``, a part of the query itself, with one more on either side. Results do not
-    depend on them. NULL lies in the first range, and so does everything if the column
-    is neither a number nor a date, or hardly varies.
+    The rows are those with the lowest hashes, a sample in which every row counts alike,
+    whatever the types of its columns. The array is a subquery of the plan: a scan that
+    keeps so many rows in each task, and no shuffle.
     """
-    kind = source.schema[column].dataType
-    if isinstance(kind, DateType):
-        number = F.unix_date(column)
-    elif isinstance(kind, TimestampType):
-        number = F.unix_micros(column)
-    elif isinstance(kind, NumericType):
-        number = F.col(column)
-    else:
-        return F.lit(0).cast("long")
-    number = number.cast("double")
-    ends = source.agg(F.percentile_approx(number, [0.01, 0.99], 1000)).scalar()
-    step = F.width_bucket(number, F.get(ends, F.lit(0)), F.get(ends, F.lit(1)), F.lit(ranges))
-    return F.coalesce(step, F.lit(0).cast("long"))
+    if ranges is None:
+        partitions = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranges = min(MOST_RANGES, RANGES_A_PARTITION * partitions)
+    sample = (
+        source.select(F.struct(*order).alias("at"), F.struct(*take).alias("carried"))
+        .orderBy(F.xxhash64("at"))
+        .limit(max(1, ranges - 1))
+    )
+    return sample.agg(F.array_sort(F.collect_list(F.struct("at", "carried")))).scalar()
+
+
+def range_of(splits: str, order: Sequence[str], with_split: bool) -> Column:
+    """How many rows of the array ``splits`` lie before a row, by binary search; a row
+    that is itself in the array counts as before only if ``with_split``."""
+    array, here = F.col(splits), F.struct(*order)
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(MOST_RANGES.bit_length()))])
+
+    def step(found: Column, by: Column) -> Column:
+        at = F.get(array, found + by - 1)["at"]
+        before = at <= here if with_split else at < here
+        return found + F.when(before, by).otherwise(0)
+
+    return F.aggregate(steps, F.lit(0), step)
 
 
 def collapse(

@@ -1,6 +1,7 @@
 """Generic operators on small fixtures, against plain windows and joins."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import Window
@@ -61,17 +62,66 @@ def test_neighbour_orders_by_text_and_by_one_column(spark):
         }
 
 
-def test_one_day_of_one_key_is_split(spark):
-    """Rows of a key that share a day lie in many buckets, each sorted on its own."""
-    df = spark.range(5000).select(
+@pytest.fixture
+def many_tasks(spark):
+    """As on a cluster: 32 tasks to a shuffle, and none of them merged."""
+    settings = {"spark.sql.shuffle.partitions": "32", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def tasks_of(df, wanted):
+    """Rows of each task among the wanted ones; the neighbour is used, or no scan is made."""
+    counts = df.withColumn("task", F.spark_partition_id()).filter(wanted).groupBy("task")
+    return [r["n"] for r in counts.agg(F.count("*").alias("n"), F.max("p")).collect()]
+
+
+@pytest.mark.parametrize("direction", ["previous", "next"])
+def test_a_hot_day_is_split_where_record_numbers_rise_with_time(spark, many_tasks, direction):
+    """One employee with most rows, 2,000 a day, and record numbers in order of the days."""
+    df = spark.range(60_000).select(
         F.lit(1).cast("long").alias("emp_no"),
-        F.lit("2000-01-01").cast("date").alias("from_date"),
+        F.date_add(F.lit("2000-01-01").cast("date"), F.floor(F.col("id") / 2000).cast("int")).alias("from_date"),
         F.col("id").alias("rec_id"),
     )
-    sizes = df.groupBy(op.range_number(df, "rec_id").alias("r")).count().collect()
-    assert len(sizes) >= 32 and max(r["count"] for r in sizes) < 400
-    linked = op.with_neighbour(df, ["emp_no"], ORDER, {"p": "rec_id"})
-    assert linked.filter("p = rec_id - 1").count() == 4999
+    linked = op.with_neighbour(df, ["emp_no"], ORDER, {"p": "rec_id"}, direction)
+    step = -1 if direction == "previous" else 1
+    assert linked.filter(f"p = rec_id + {step}").count() == 59_999
+    tasks = tasks_of(linked, F.col("from_date") == "2000-01-07")
+    assert len(tasks) >= 8 and max(tasks) < 1000
+    assert max(tasks_of(linked, F.lit(True))) < 8_000
+
+
+def test_a_hot_day_is_split_by_a_text_tie_break(spark, many_tasks):
+    """A third of all rows are of one employee and day; texts and times tell them apart."""
+    hot = F.col("id") % 3 == 0
+    df = spark.range(30_000).select(
+        F.when(hot, 1).otherwise(F.col("id")).alias("emp_no"),
+        F.lit("2000-01-01").cast("date").alias("from_date"),
+        F.concat(F.lit("r"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("mark"),
+    )
+    linked = op.with_neighbour(df, ["emp_no"], ["from_date", "mark"], {"p": "mark"})
+    tasks = tasks_of(linked, F.col("emp_no") == 1)
+    assert len(tasks) >= 8 and sum(tasks) > 9_999 and max(tasks) < 4_000
+    found = linked.filter("emp_no = 1 AND p IS NOT NULL").selectExpr("int(substr(mark, 2)) - int(substr(p, 2)) AS d")
+    # Numbers rise by three; 1 itself is one of the employees that have one row.
+    assert {tuple(r) for r in found.groupBy("d").count().collect()} <= {(3, 9998), (1, 1), (2, 1), (3, 9999)}
+
+
+def test_few_and_no_rows_have_neighbours(spark):
+    df = spark.createDataFrame([(1, D(2000, 1, 1), 5), (1, D(2000, 1, 2), 6)], "emp_no long, from_date date, rec_id long")
+    found = op.with_neighbour(df, ["emp_no"], ORDER, {"p": "rec_id", "q": "from_date"})
+    assert rows(found) == [(1, D(2000, 1, 1), 5, None, None), (1, D(2000, 1, 2), 6, 5, D(2000, 1, 1))]
+    assert op.with_neighbour(df.filter("false"), ["emp_no"], ORDER, {"p": "rec_id"}).count() == 0
+
+
+def test_neighbours_are_found_in_one_shuffle_of_the_rows(stays):
+    plan = op.with_neighbour(stays, ["emp_no"], ORDER, {"p": "dept_no"})._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
 
 
 def test_planning_runs_no_job(spark, stays):
@@ -189,6 +239,61 @@ def test_interval_join_over_times_of_day(spark, facts):
     assert op.join_as_of_interval(pay, _three_each(spark, 10), "emp_no", "day").count() == 3 * facts
 
 
+def test_no_days_in_the_plan_of_an_interval_join(stays):
+    facts = stays.select("emp_no", F.col("from_date").alias("day"))
+    plan = op.join_as_of_interval(facts, stays, "emp_no", "day")._jdf.queryExecution().toString()
+    assert "collect_set" not in plan and "explode" in plan.lower()
+
+
+@pytest.mark.parametrize("days", [1, 5, 70, 1100, 40_000, 3_000_000])
+def test_nodes_of_an_interval_are_its_days(spark, days):
+    """Random intervals of a calendar: each of their days lies in exactly one of their nodes,
+    other days lie in none, and nodes are few."""
+    from tenureframe.operators import intervals
+
+    rng = random.Random(days)
+    spans = [(0, days), (0, 1), (days - 1, days)]
+    spans += [tuple(sorted(rng.sample(range(days + 1), 2))) for _ in range(40)]
+    top = intervals._top(F.lit(days))
+    made = spark.createDataFrame(spans, "a long, b long").select(
+        "a", "b", intervals.interval_nodes(F.col("a"), F.col("b"), top).alias("nodes")
+    ).collect()
+    edges = {d for span in spans for edge in span for d in (edge - 1, edge, edge + 1)}
+    near = sorted(d for d in {*edges, *(rng.randrange(days) for _ in range(60))} if 0 <= d < days)
+    placed = spark.createDataFrame([(d,) for d in near], "d long").select(
+        "d", intervals.day_nodes(F.col("d"), top).alias("nodes")
+    ).collect()
+    for interval in made:
+        nodes = set(interval["nodes"])
+        assert len(nodes) == len(interval["nodes"]) <= 6 * 8 + 2 * 16
+        for r in placed:
+            inside = interval["a"] <= r["d"] < interval["b"]
+            assert len(nodes & set(r["nodes"])) == inside
+    assert max(len(r["nodes"]) for r in placed) <= len(intervals.NODE_DAYS)
+
+
+@pytest.mark.parametrize("closed", ["both", "left"])
+def test_interval_join_with_times_of_day_equals_plain_join(spark, closed):
+    """Ends within a day, intervals of no length and reversed ones, long and open ones."""
+    rng = random.Random(8)
+    base = dt.datetime(1990, 1, 1)
+
+    def moment():
+        return base + dt.timedelta(hours=rng.randrange(24 * 900) if rng.random() < 0.9 else rng.randrange(24 * 4))
+
+    history = [(rng.randrange(3), i, *sorted((moment(), moment()), reverse=rng.random() < 0.1)) for i in range(150)]
+    history += [(0, 900, base, base), (1, 901, None, base), (1, 902, base, None), (2, 903, base, dt.datetime(9999, 1, 1))]
+    facts = [(rng.choice([0, 1, 2, None]), i, moment() if i % 20 else None) for i in range(300)]
+    held = spark.createDataFrame(history, "emp_no long, h long, from_date timestamp, to_date timestamp")
+    seen = spark.createDataFrame(facts, "emp_no long, f long, day timestamp")
+    found = op.join_as_of_interval(seen, held, "emp_no", "day", closed)
+    expected = plain_interval_join(seen, held, closed)
+    assert rows(found.select("f", "h")) == rows(expected.select("f", "h")) and found.count() > 1000
+    wider = seen.unionByName(seen.withColumn("day", F.col("day") + F.make_interval(years=F.lit(1500))))
+    again = op.join_as_of_interval(seen, held, "emp_no", "day", closed, calendar=(wider, "day"))
+    assert rows(again) == rows(found)
+
+
 def test_open_intervals_without_facts_or_with_a_late_one(spark):
     history = _three_each(spark, 2000, last="9999-01-01")
     pay = spark.createDataFrame(
