@@ -468,6 +468,9 @@ ORACLE: dict[str, str] = {
     "dq_suite": _faulty(
         _all([*NULL_RULES, *INTERVAL_RULES, DOMAIN_RULE, BIRTH_RULE, SALARY_RULE])
     ),
+    "dq_suite_while_saving": _faulty(
+        _all([*NULL_RULES, *INTERVAL_RULES, DOMAIN_RULE, BIRTH_RULE, SALARY_RULE])
+    ),
     "dept_rotation": _hr(ROTATION),
     "gender_disparity": DISPARITY,
     "manager_retention_rank": RETENTION,

@@ -8,6 +8,7 @@ from tenureframe.operators.changes import (
 from tenureframe.operators.groups import pivot_values, share_within_group
 from tenureframe.operators.intervals import active_at, join_as_of_interval, join_distinct
 from tenureframe.operators.latest import dedupe_by_key, latest_per_key, max_date_rows
+from tenureframe.operators.selection import values_at
 from tenureframe.operators.skew import collapse, range_of, split_rows
 
 __all__ = [
@@ -24,5 +25,6 @@ __all__ = [
     "range_of",
     "share_within_group",
     "split_rows",
+    "values_at",
     "with_neighbour",
 ]

@@ -15,9 +15,16 @@ from tenureframe.plans.change_reports import (
     value_change_report,
 )
 from tenureframe.plans.cleaning import clean_all_tables
-from tenureframe.plans.quality import check_all_tables
+from tenureframe.plans.quality import checks_of, watch_rules
 from tenureframe.session import scratch_path
-from tenureframe.sinks import period_path, run_stamped_path, save_tables, write_csv_report
+from tenureframe.sinks import (
+    period_path,
+    publish_csv_report,
+    publish_tables,
+    report_folder,
+    run_stamped_path,
+    write_csv_report,
+)
 from tenureframe.sinks.files import CSV_READ
 from tenureframe.sources import read_parquet_tables
 
@@ -31,21 +38,25 @@ def run_etl(
     as_of: DateLike | None = None,
     file_format: str = "parquet",
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Clean and save the tables; return the saved tables and their check results.
+    """Clean the tables and publish them as one version; return the tables of that version
+    and their check results.
 
-    The checks read what was saved, so the sources are read once.
+    The checks are counted as the rows are written: the sources are read once, and what was
+    written is not read for them.
     """
     cleaned = clean_all_tables(raw, as_of)
-    save_tables(cleaned, path, file_format)
+    manifest = publish_tables(cleaned, path, file_format, watch_rules)
+    folder = f"{path.rstrip('/')}/{manifest['folder']}"
     saved = {
-        name: spark.read.format(file_format).schema(df.schema).load(f"{path.rstrip('/')}/{name}")
+        name: spark.read.format(file_format).schema(df.schema).load(f"{folder}/{name}")
         for name, df in cleaned.items()
     }
-    return saved, check_all_tables(saved)
+    return saved, checks_of(spark, manifest)
 
 
 def read_report(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.schema(schema).options(**CSV_READ).csv(path)
+    """A report as it was written: the last published version, if there are versions."""
+    return spark.read.schema(schema).options(**CSV_READ).csv(report_folder(spark, path))
 
 
 def run_change_log(
@@ -88,8 +99,9 @@ def month_before(run_date: dt.date) -> tuple[dt.date, dt.date]:
 def run_monthly_changes(
     tables: Tables, run_date: dt.date, base: str, look_back: str = "full"
 ) -> str:
-    """Write last month's changes; a second run replaces that month only."""
+    """Publish last month's changes; a second run replaces that month only, and its readers
+    have the former version until the new one is whole."""
     start, end = month_before(run_date)
     path = period_path(base, start, end)
-    write_csv_report(value_change_report(tables, start, end, look_back), path)
+    publish_csv_report(value_change_report(tables, start, end, look_back), path)
     return path

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, NumericType
 
 from tenureframe.functions import row_count
 from tenureframe.functions.dates import DateLike, as_date
+from tenureframe.operators import values_at
 from tenureframe.plans.cleaning import GENDERS, SALARY_RANGE
 
 # Fixed value: birth dates outside these are reported.
@@ -102,22 +103,29 @@ def check_range(df: DataFrame, table: str, column: str, low, high) -> DataFrame:
 def profile_out_of_range(df: DataFrame, column: str, low, high) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles of the values outside.
 
-    Quartiles are values that occur. They come from a count per distinct value, kept
-    in the map tasks and merged, so memory grows with distinct values, not with rows.
+    Quartiles are values that occur, found by radix narrowing: memory does not grow with
+    the number of distinct values.
     """
-    value = F.col("value")
-    outside = df.filter(_outside(column, low, high)).select(F.col(column).cast("double").alias("value"))
-    return outside.agg(
+    value = F.col(column).cast("double")
+    kind = df.schema[column].dataType
+    # Text and very long decimals are ranked as the doubles that are shown.
+    ranked = isinstance(kind, NumericType) and getattr(kind, "precision", 0) <= 18
+    outside = df.filter(_outside(column, low, high)).select(
+        (F.col(column) if ranked else value).alias(column)
+    )
+    quartiles = values_at(outside, column, (0.25, 0.5, 0.75)).scalar()
+    profile = outside.agg(
         F.count(value).alias("count"),
         F.avg(value).alias("mean"),
         F.stddev_samp(value).alias("stddev"),
         F.min(value).alias("min"),
-        *[
-            F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY value)").alias(name)
-            for name, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))
-        ],
         F.max(value).alias("max"),
     )
+    return profile.withColumn("quartiles", quartiles).select(
+        *("count", "mean", "stddev", "min"),
+        *[F.get("quartiles", F.lit(i)).cast("double").alias(f"q{p}") for i, p in enumerate((25, 50, 75))],
+        "max",
+    )
 
 
 def check_date_range(
@@ -172,6 +180,33 @@ def check_table(df: DataFrame, table: str) -> DataFrame:
     return _count_violations(df, table, table_rules(df, table))
 
 
+CHECKS = "table_name string, rule string, column_name string, violations bigint"
+
+
+def watch_rules(df: DataFrame, table: str) -> tuple[DataFrame, Callable[[], dict]]:
+    """The table with every rule counted as its rows pass, and a function that gives the
+    counts, and the number of rows, once a write of the table is done."""
+    rules, seen = table_rules(df, table), Observation()
+    counts = [F.count_if(rule[2]).alias(f"r{i}") for i, rule in enumerate(rules)]
+
+    def values() -> dict:
+        found = seen.get
+        violations = [[name, column, found[f"r{i}"]] for i, (name, column, _) in enumerate(rules)]
+        return {"rows": found["rows"], "violations": violations}
+
+    return df.observe(seen, row_count().alias("rows"), *counts), values
+
+
+def checks_of(spark: SparkSession, manifest: Mapping) -> DataFrame:
+    """The checks of a version that was written under ``watch_rules``; no table is read."""
+    rows = [
+        (table, rule, column, violations)
+        for table, facts in manifest["parts"].items()
+        for rule, column, violations in facts["violations"]
+    ]
+    return spark.createDataFrame(rows, CHECKS)
+
+
 def check_all_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Every rule of every table: (table_name, rule, column_name, violations)."""
     return reduce(DataFrame.unionByName, [check_table(df, t) for t, df in tables.items()])

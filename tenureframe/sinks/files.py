@@ -1,14 +1,21 @@
-"""Table and report writers. Each write replaces what the path held before."""
+"""Table and report writers.
+
+``publish_tables`` and ``publish_csv_report`` make a new version visible at once; the other
+writers replace what the path held before.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
+from tenureframe.versions import Versions, Writer
 from tenureframe.sources.schemas import RECORD_ID
 
+Watch = Callable[[DataFrame, str], tuple[DataFrame, Callable[[], Mapping]]]
+
 # The CSV form and the object names of the reports.
 CSV_OPTIONS = {"header": "true", "sep": ",", "dateFormat": "yyyy-MM-dd"}
 
@@ -36,21 +43,48 @@ REPORT_FOLDER = "reports"
 REPORT_STEM = "employee_changes"
 
 
+def by_date(df: DataFrame) -> DataFrame:
+    """Histories are sorted by date across files, so a read of a period skips the others;
+    the further column keeps a day with very many rows divisible. Other tables stay."""
+    if "from_date" not in df.columns:
+        return df
+    finer = [c for c in (RECORD_ID, "emp_no") if c in df.columns][:1]
+    return df.repartitionByRange("from_date", *finer).sortWithinPartitions("from_date", *finer)
+
+
 def save_tables(
     tables: Mapping[str, DataFrame], path: str, file_format: str = "parquet"
 ) -> None:
-    """One folder per table.
+    """One folder per table, replaced in place."""
+    for name, df in tables.items():
+        by_date(df).write.mode("overwrite").format(file_format).save(f"{path.rstrip('/')}/{name}")
+
 
-    Histories are sorted by date across files, so a read of a period skips the others;
-    the further column keeps a day with very many rows divisible.
+def publish_tables(
+    tables: Mapping[str, DataFrame],
+    path: str,
+    file_format: str = "parquet",
+    watch: Watch | None = None,
+) -> dict:
+    """All tables as one version; returns its manifest, with the rows of every table.
+
+    ``watch`` may add metrics to a table as it is written: it takes (table as written,
+    name) and returns the table with its metrics and a function that gives their values
+    when the table is written, for the manifest.
     """
-    for name, df in tables.items():
-        if "from_date" in df.columns:
-            finer = [c for c in (RECORD_ID, "emp_no") if c in df.columns][:1]
-            df = df.repartitionByRange("from_date", *finer).sortWithinPartitions(
-                "from_date", *finer
-            )
-        df.write.mode("overwrite").format(file_format).save(f"{path.rstrip('/')}/{name}")
+
+    def writer(name: str, df: DataFrame) -> Writer:
+        def write(folder: str) -> Mapping:
+            sorted_rows, values = by_date(df), None
+            if watch is not None:
+                sorted_rows, values = watch(sorted_rows, name)
+            sorted_rows.write.format(file_format).save(folder)
+            return values() if values else {}
+
+        return write
+
+    spark = next(iter(tables.values())).sparkSession
+    return Versions(spark, path).publish({name: writer(name, df) for name, df in tables.items()})
 
 
 def write_parquet_report(df: DataFrame, path: str) -> None:
@@ -61,6 +95,19 @@ def write_csv_report(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**CSV_WRITE).csv(path)
 
 
+def publish_csv_report(df: DataFrame, path: str) -> None:
+    """The report as a new version of the path; the former one stays until it is there."""
+    Versions(df.sparkSession, path).publish(
+        {REPORT_STEM: lambda folder: df.write.options(**CSV_WRITE).csv(folder)}
+    )
+
+
+def report_folder(spark: SparkSession, path: str) -> str:
+    """Where the files of a report lie, published or written in place."""
+    folder = Versions(spark, path).folder()
+    return f"{folder}/{REPORT_STEM}" if folder else path
+
+
 def run_stamped_path(base: str, run_time: dt.datetime) -> str:
     """A folder per run."""
     return f"{base.rstrip('/')}/{REPORT_FOLDER}/{REPORT_STEM}_{run_time:%Y%m%d_%H%M%S}"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tenureframe.functions import between_dates
 from tenureframe.functions.dates import DateLike
+from tenureframe.versions import published_folder
 from tenureframe.sources.schemas import HISTORY_TABLES, TABLES, table_schema
 
 
@@ -108,10 +109,12 @@ def read_parquet_tables(
     record_id: bool = False,
     schemas: Mapping[str, object] | None = None,
 ) -> dict[str, DataFrame]:
-    """Tables saved one folder each, read with the declared schemas."""
+    """Tables saved one folder each, read with the declared schemas: all of the last
+    published version, if the path has versions."""
+    folder = published_folder(spark, base_path)
     return {
         table: spark.read.schema((schemas or {}).get(table) or table_schema(table, record_id))
-        .parquet(f"{base_path.rstrip('/')}/{table}")
+        .parquet(f"{folder}/{table}")
         for table in tables
     }
 
