@@ -26,11 +26,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenureframe.llm.common import forget, forget_long, portions, staged, text_or_empty
+from tenureframe.llm.common import LONG_NAME, forget, forget_long, portions, staged, text_or_empty
 
 LENGTH = 2048
 END_ID = 1
@@ -51,6 +52,31 @@ _PIECES = (
 )
 
 
+class Words:
+    """Names with their ids, in Arrow and numpy: few bytes each, looked up many at a time."""
+
+    def __init__(self, dtype: np.dtype):
+        self.names = pa.array([], pa.large_string())
+        self.ids = np.empty(0, dtype)
+        self.sizes = np.empty(0, np.int64)
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+    def places(self, names: pa.Array) -> np.ndarray:
+        """Where each name is; -1 where it is not."""
+        return pc.index_in(names, value_set=self.names).fill_null(-1).to_numpy()
+
+    def add(self, names: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.names = pa.concat_arrays([self.names, names])
+        self.ids = np.concatenate((self.ids, ids))
+        self.sizes = np.concatenate((self.sizes, sizes))
+
+    def keep(self, wanted: np.ndarray) -> None:
+        self.ids = self.ids[np.repeat(wanted, self.sizes)]
+        self.names, self.sizes = self.names.filter(pa.array(wanted)), self.sizes[wanted]
+
+
 class UnitEncoder:
     """Ids of whole texts as little-endian bytes, with a memory of ``remember`` units."""
 
@@ -68,7 +94,7 @@ class UnitEncoder:
         self.id_bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)])
         # By unit, and by word for the usual unit of a blank or line end and a word.
         self.units: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.known = Words(self.dtype)
         self.special: dict[str, bytes] = {}
         for id_, token in self.tokenizer.get_added_tokens_decoder().items():
             if token.lstrip or token.rstrip or token.single_word:
@@ -77,52 +103,82 @@ class UnitEncoder:
         longest_first = sorted(self.special, key=len, reverse=True)
         self.at_special = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")")
 
-    def _fresh(self, units: list[str]) -> Iterator[bytes]:
-        for encoding in self.tokenizer.encode_batch_fast(units, add_special_tokens=False):
-            yield np.array(encoding.ids, self.dtype).tobytes()
+    @property
+    def words(self) -> list[str]:
+        return self.known.names.to_pylist()
 
-    def _fresh_words(self, units: list[str]) -> Iterator[bytes]:
-        """Units that begin with white space and do not end with it, encoded as one text
-        and told apart by the number of their bytes."""
-        if not units:
+    def _learn_units(self, units: set[str]) -> None:
+        new = [unit for unit in units if unit not in self.units]
+        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        self.units.update((n, np.array(e.ids, self.dtype).tobytes()) for n, e in zip(new, found))
+
+    def _learn_each(self, names: pa.Array) -> None:
+        """Words encoded as one text and told apart by the number of their bytes: each begins
+        with white space and does not end with it, but for a blank or line end alone."""
+        alone = pc.is_in(names, value_set=pa.array(["", "\n"], pa.large_string()))
+        for name in names.filter(alone).to_pylist():
+            self._learn_units({_unit_of(name)})
+            ids = np.frombuffer(self.units[_unit_of(name)], self.dtype)
+            self.known.add(pa.array([name], pa.large_string()), ids, np.array([len(ids)]))
+        names = names.filter(pc.invert(alone))
+        if not len(names):
             return
-        (encoding,) = self.tokenizer.encode_batch_fast(["".join(units)], add_special_tokens=False)
+        text = "".join(map(_unit_of, names.to_pylist()))
+        (encoding,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         ids = np.array(encoding.ids, self.dtype)
         ends = np.cumsum(self.id_bytes[ids])
-        wanted = np.cumsum([len(unit.encode()) for unit in units])
+        blank = pc.invert(pc.starts_with(names, "\n")).cast(pa.int64())
+        wanted = np.cumsum(pc.add(pc.binary_length(names), blank).to_numpy())
         cuts = np.searchsorted(ends, wanted)
         if (ends[cuts] != wanted).any():
             raise ValueError("an id crosses two units")
-        data, width, start = ids.tobytes(), self.dtype.itemsize, 0
-        for end in ((cuts + 1) * width).tolist():
-            yield data[start:end]
-            start = end
-
-    def _learn_words(self, names: set[str]) -> None:
-        """A letter and a punctuation mark are never in one id, so a word's last marks
-        go apart, and a word that is known without them is not encoded again."""
-        known = self.words
-        forget(known, self.remember)
-        cut = {}
-        for name in names:
-            if name in known:
-                continue
-            stem = name.rstrip(MARKS)
-            cut[name] = (stem, name[len(stem) :]) if stem[-1:].isalpha() else (name, "")
-        stems = list(dict.fromkeys(stem for stem, _ in cut.values() if stem not in known))
-        usual = [stem for stem in stems if stem not in ("", "\n")]
-        known.update(zip(usual, self._fresh_words([_unit_of(stem) for stem in usual])))
-        rest = [stem for stem in stems if stem in ("", "\n")]
-        known.update(zip(rest, self._fresh([_unit_of(stem) for stem in rest])))
-        self._learn_units({mark for _, mark in cut.values() if mark})
-        for name, (stem, mark) in cut.items():
-            if mark:
-                known[name] = known[stem] + self.units[mark]
-        forget_long(known, (stem for stem, _ in cut.values() if stem not in names))
-
-    def _learn_units(self, units: set[str]) -> None:
-        new = [unit for unit in units if unit not in self.units]
-        self.units.update(zip(new, self._fresh(new)))
+        self.known.add(names, ids, np.diff(cuts, prepend=-1))
+
+    def _places(self, names: pa.Array) -> np.ndarray:
+        """Where each of the distinct names is among the known words, which learn the new
+        ones. A letter and a punctuation mark are never in one id, so a word's last marks go
+        apart, and a word that is known without them is not encoded again."""
+        stems = pc.utf8_rtrim(names, MARKS)
+        letter = pc.utf8_is_alpha(pc.utf8_slice_codeunits(stems, -1))
+        longer = pc.greater(pc.binary_length(names), pc.binary_length(stems))
+        marked = pc.and_(letter, longer).to_numpy(False)
+        stem_at = np.flatnonzero(marked)
+        found = self.known.places(pa.concat_arrays([names, stems.take(stem_at)]))
+        places, stem_places = found[: len(names)].astype(np.int64), np.full(len(names), -1)
+        stem_places[stem_at] = found[len(names) :]
+        new = places < 0
+        whole, cut = np.flatnonzero(new & ~marked), np.flatnonzero(new & marked)
+        fresh = cut[stem_places[cut] < 0]
+        wanted = pa.concat_arrays([names.take(whole), stems.take(fresh)])
+        before = len(self.known)
+        self._learn_each(wanted.unique())
+        learned = pc.index_in(wanted, value_set=self.known.names[before:]).to_numpy(False)
+        places[whole] = before + learned[: len(whole)]
+        stem_places[fresh] = before + learned[len(whole) :]
+        if len(cut):
+            pairs = zip(names.take(cut).to_pylist(), stems.take(cut).to_pylist())
+            marks = [name[len(stem) :] for name, stem in pairs]
+            distinct = {mark: at for at, mark in enumerate(dict.fromkeys(marks))}
+            self._learn_units(set(distinct))
+            parts = np.empty(2 * len(cut), np.int64)
+            parts[::2] = stem_places[cut]
+            parts[1::2] = [len(self.known) + distinct[mark] for mark in marks]
+            ids, sizes = self._gathered([self.units[mark] for mark in distinct], parts)
+            places[cut] = len(self.known) + np.arange(len(cut))
+            self.known.add(names.take(cut), ids, sizes.reshape(-1, 2).sum(axis=1))
+        return places
+
+    def _gathered(self, more: list[bytes], places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids at ``places`` in a row, and their number each; places beyond the known
+        words are those of ``more``."""
+        width = self.dtype.itemsize
+        ids = np.concatenate((self.known.ids, np.frombuffer(b"".join(more), self.dtype)))
+        sizes = np.concatenate((self.known.sizes, [len(x) // width for x in more])).astype(np.int64)
+        begins = (np.cumsum(sizes) - sizes)[places]
+        wanted = sizes[places]
+        ends = np.cumsum(wanted)
+        total = int(ends[-1]) if len(ends) else 0
+        return ids[np.repeat(begins - ends + wanted, wanted) + np.arange(total)], wanted
 
     def encode_whole(self, texts: list[str]) -> list[bytes]:
         """Every text's ids, with those of the special tokens whose strings are in it."""
@@ -136,24 +192,43 @@ class UnitEncoder:
         ]
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Every text's ids as ordinary text; what is new in any of them is encoded first, together."""
+        """Every text's ids as ordinary text; what is new in any of them is encoded first,
+        together. Texts of words with one blank or line end before each are cut in Arrow,
+        and only their distinct words are looked up."""
         forget(self.units, self.remember)
-        cut = []
-        for text in texts:
-            spaced = text.replace("\n", " \n")
-            if "  " in spaced or "\n " in spaced or _OTHER.search(text):
-                cut.append((_UNIT.findall(text), []))
+        if len(self.known) > self.remember:
+            # The oldest stay: what is common comes early.
+            self.known.keep(np.arange(len(self.known)) < self.remember // 2)
+        found: list[bytes] = [b""] * len(texts)
+        plain, spaced, cut = [], [], {}
+        for at, text in enumerate(texts):
+            marked = text.replace("\n", " \n")
+            if "  " in marked or "\n " in marked or _OTHER.search(text):
+                cut[at] = _UNIT.findall(text)
             else:
-                first, *words = spaced.split(" ")
-                cut.append(([first] if first else [], words))
-        words = set().union(*(words for _, words in cut))
-        units = set().union(*(units for units, _ in cut))
-        self._learn_words(words)
-        self._learn_units(units)
-        unit_ids, word_ids = self.units.__getitem__, self.words.__getitem__
-        found = [b"".join(map(unit_ids, a)) + b"".join(map(word_ids, b)) for a, b in cut]
-        forget_long(self.words, words)
-        forget_long(self.units, units)
+                plain.append(at)
+                spaced.append(marked)
+        # The first word of a text has no blank before it: a unit of its own.
+        first = [text.partition(" ")[0] for text in spaced]
+        self._learn_units(set(first).union(*cut.values()))
+        if plain:
+            words = pc.split_pattern(pa.array(spaced, pa.large_string()), " ")
+            starts = words.offsets.to_numpy()
+            coded = words.flatten().dictionary_encode()
+            before = len(self.known)
+            places = self._places(coded.dictionary)[coded.indices.to_numpy()]
+            places[starts[:-1]] = len(self.known) + np.arange(len(first))
+            ids, sizes = self._gathered([self.units[unit] for unit in first], places)
+            ends = np.concatenate(([0], np.cumsum(sizes))) * self.dtype.itemsize
+            data, bounds = ids.tobytes(), ends[starts].tolist()
+            for at, begin, end in zip(plain, bounds, bounds[1:]):
+                found[at] = data[begin:end]
+            short = pc.less_equal(pc.utf8_length(self.known.names[before:]), LONG_NAME).to_numpy(False)
+            if not short.all():
+                self.known.keep(np.concatenate((np.ones(before, bool), short)))
+        for at, units in cut.items():
+            found[at] = b"".join(map(self.units.__getitem__, units))
+        forget_long(self.units, [*first, *(unit for units in cut.values() for unit in units)])
         return found
 
 
