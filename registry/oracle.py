@@ -502,6 +502,7 @@ JOIN (SELECT emp_no, count(*) AS n FROM dept_emp GROUP BY emp_no HAVING count(*)
     "lag_change_report": _clean(_lagged("clean_", "true", PERIOD)),
     "monthly_change_report_period": _hr(_lagged("", f"from_date {MONTH}", MONTH)),
     "monthly_change_report": _hr(_lagged("", "true", MONTH)),
+    "monthly_change_report_from_state": _hr(_lagged("", "true", MONTH)),
     "previous_month_range": _hr(
         f"SELECT emp_no, {_text('hire_date')}, "
         "CAST(CAST(date_trunc('month', employees.hire_date) - INTERVAL 1 MONTH AS DATE) AS VARCHAR)"

@@ -146,6 +146,15 @@ def _csv_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(jobs.read_report(spark, path, schema))
 
 
+def _month_from_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two months in a row: the second one starts from the state that the first one leaves."""
+    tables, base = hr_tables(spark, sf_dir), scratch_path(spark, "states")
+    month = jobs.month_before(RUN_DATE)[0]
+    jobs.run_month_from_state(spark, tables, month, base)
+    path = jobs.run_month_from_state(spark, tables, RUN_DATE, base)
+    return comparable(jobs.read_report(spark, path, change_reports.VALUE_SCHEMA))
+
+
 def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts over the written log."""
     path = scratch_path(spark, "change-log")
@@ -309,6 +318,7 @@ QUERIES: dict[str, Query] = {
     "monthly_change_report": _hr(
         lambda t: change_reports.value_change_report(t, *jobs.month_before(RUN_DATE))
     ),
+    "monthly_change_report_from_state": _month_from_state,
     "previous_month_range": _hr(_month_before_hire),
     # generic operators
     "latest_per_key": _hr(lambda t: op.latest_per_key(t["salaries"], ["emp_no"], _ORDER, n=2)),

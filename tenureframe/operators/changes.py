@@ -77,6 +77,7 @@ def detect_changes(
     only_different: bool = True,
     look_back: str = "full",
     also_previous: Sequence[str] = (),
+    before: DataFrame | None = None,
 ) -> DataFrame:
     """Rows whose previous row of the same key has a value, added as ``prev_<value>``.
 
@@ -88,7 +89,8 @@ def detect_changes(
 
     A look back needs just the last row before the period, and only of keys with a row
     in the period: earlier history is cut to those inside the map tasks, and rows
-    after the period are never read.
+    after the period are never read. ``before`` gives those last rows, at most one per key,
+    in the columns of ``history``; earlier history is then not read at all.
     """
     if look_back not in ("full", "period"):
         raise ValueError(f"look_back must be 'full' or 'period', not {look_back!r}")
@@ -102,10 +104,14 @@ def detect_changes(
 
     needed = in_period(history)
     if bounded and look_back == "full":
-        earlier = history.filter((F.col(date) < as_date(start)) | F.col(date).isNull())
+        earlier = before
+        if before is None:
+            earlier = history.filter((F.col(date) < as_date(start)) | F.col(date).isNull())
         present = needed.select(*keys).distinct()
         wanted = earlier.alias("r").join(present.alias("c"), _same(keys), "left_semi")
-        needed = latest_per_key(wanted, keys, order).unionByName(needed)
+        if before is None:
+            wanted = latest_per_key(wanted, keys, order)
+        needed = wanted.unionByName(needed)
     take = {f"prev_{c}": c for c in (value, *also_previous)}
     linked = with_neighbour(needed, keys, order, take, ranges_from=in_period(history))
     changed = in_period(linked).filter(F.col(previous).isNotNull())

@@ -228,7 +228,7 @@ def latest_change_report(tables: Tables, start: DateLike, end: DateLike) -> Data
     return _with_full_name(changes, tables)
 
 
-def _values_by_kind(tables: Tables) -> DataFrame:
+def values_by_kind(tables: Tables) -> DataFrame:
     """The three histories in one, so that one shuffle serves all of them."""
     tie_break = "to_date" if "to_date" in _order(tables, "dept_emp") else RECORD_ID
     return _union(
@@ -246,7 +246,11 @@ def _values_by_kind(tables: Tables) -> DataFrame:
 
 
 def value_change_report(
-    tables: Tables, start: DateLike, end: DateLike, look_back: str = "full"
+    tables: Tables,
+    start: DateLike,
+    end: DateLike,
+    look_back: str = "full",
+    before: DataFrame | None = None,
 ) -> DataFrame:
     """Previous and new value of every row of the period that has a previous one.
 
@@ -254,9 +258,12 @@ def value_change_report(
     so a previous value from before it is lost. A stay in a department that does not
     exist is left out; as a previous value it is NULL.
 
+    ``before`` is the last row per employee and kind before the period, in the columns of
+    ``values_by_kind``, if it is known: earlier history is then not read.
+
     Values are compared as codes; names are looked up for the rows of the result.
     """
-    history = _values_by_kind(tables)
+    history = values_by_kind(tables)
     changes = detect_changes(
         history,
         ["emp_no", "change_type"],
@@ -266,6 +273,7 @@ def value_change_report(
         end,
         only_different=False,
         look_back=look_back,
+        before=before,
     )
     moves = (
         changes.filter(F.col("change_type") == DEPARTMENT_CHANGE)

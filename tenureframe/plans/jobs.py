@@ -15,6 +15,7 @@ from tenureframe.plans.change_reports import (
     value_change_report,
 )
 from tenureframe.plans.cleaning import clean_all_tables
+from tenureframe.plans.month_state import MonthStates, roll_forward
 from tenureframe.plans.quality import checks_of, watch_rules
 from tenureframe.session import scratch_path
 from tenureframe.sinks import (
@@ -105,3 +106,17 @@ def run_monthly_changes(
     path = period_path(base, start, end)
     publish_csv_report(value_change_report(tables, start, end, look_back), path)
     return path
+
+
+def run_month_from_state(
+    spark: SparkSession, tables: Tables, run_date: dt.date, base: str
+) -> str:
+    """As ``run_monthly_changes``, from the state at the end of the month before and the
+    month's own rows; then the state at the month's end is published for the next run."""
+    start, end = month_before(run_date)
+    states = MonthStates(spark, base)
+    state = states.before(tables, start)
+    path = period_path(base, start, end)
+    publish_csv_report(value_change_report(tables, start, end, before=state), path)
+    states.publish(roll_forward(state, tables, start, end), end)
+    return path
