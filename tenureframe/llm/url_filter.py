@@ -93,7 +93,7 @@ def active_prefixes(
     behind = F.concat("prefix", F.unhex(F.lit("FF")))
 
     def placed(at: str) -> Column:
-        return range_of("splits", [F.col(at).alias("at")], with_split=True)
+        return range_of("splits", [F.col(at).alias("at")], True, ranges)
 
     reached = (
         prefixes.withColumn("behind", behind)

@@ -584,6 +584,69 @@ def test_a_hot_group_is_split(spark):
     assert max(sizes) < 1.05 * min(sizes)
 
 
+def greedy(items, left, turn=0):
+    """The method in plain lists: each item by itself, the largest first."""
+    shards, chosen = len(left), {}
+    for key, vector in sorted(items.items(), key=lambda i: (-max(i[1]), i[0])):
+        gains = [(sum(a * b for a, b in zip(left[s], vector)), s) for s in range(shards)]
+        best = max(range(shards), key=lambda s: (round(gains[s][0], 12), -((s - turn) % shards)))
+        left[best] = [a - b for a, b in zip(left[best], vector)]
+        chosen[key] = best
+    return chosen
+
+
+def test_placing_is_the_plain_greedy():
+    rng = random.Random(12)
+    for shards, n in ((8, 120), (3, 40), (5, 1)):
+        vectors = np.array([[rng.randrange(1, 900), rng.randrange(90), rng.randrange(1, 4)] for _ in range(n)])
+        shares = vectors / vectors.sum(axis=0) * shards
+        expected = greedy(dict(enumerate(shares.tolist())), [[1.0] * 3 for _ in range(shards)])
+        assert sharding.place(vectors, shards).tolist() == [expected[i] for i in range(n)]
+
+
+def test_groups_are_placed_by_their_own_vectors(spark):
+    """The heavy ones first, the others in parts of what is left, each against plain lists."""
+    rng = random.Random(13)
+    docs = [(i, " ".join(rng.choices(["a", "bb", "ccc"], k=rng.choice([1, 2, 3, 4, 60, 400])))) for i in range(900)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = {r["doc_id"]: r for r in sharding.shard_documents(df, shards=4, heavy=60, per_part=40).collect()}
+    check_shards(list(found.values()), docs, 4)
+    groups = {}
+    for doc_id, text in docs:
+        groups.setdefault(text, []).append(doc_id)
+    sums = {t: [len(ids) * (len(t) + 1), len(ids) * len(t.split()), len(ids)] for t, ids in groups.items()}
+    unit = [sum(v[m] for v in sums.values()) / 4 for m in range(3)]
+    shares = {t: [a / b for a, b in zip(v, unit)] for t, v in sums.items()}
+    assert all(len({found[i]["shard"] for i in ids}) == 1 for ids in groups.values())
+    hashes = {r["text"]: r for r in df.selectExpr("text", "xxhash64(sha2(text, 256)) AS h").distinct().collect()}
+    heavy = {hashes[t]["h"]: v for t, v in shares.items() if max(v) > 1 / 60}
+    left = [[1.0] * 3 for _ in range(4)]
+    expected = greedy(heavy, left)
+    small = [t for t, v in shares.items() if max(v) <= 1 / 60]
+    parts = -(-len(small) // 40)
+    dealt = spark.createDataFrame([(hashes[t]["h"],) for t in small], "h long")
+    of = {r["h"]: r["p"] for r in dealt.selectExpr("h", f"pmod(xxhash64(h, {parts}), {parts}) AS p").collect()}
+    for part in range(parts):
+        own = {hashes[t]["h"]: shares[t] for t in small if of[hashes[t]["h"]] == part}
+        expected |= greedy(own, [[x / parts for x in row] for row in left], part)
+    assert parts > 2 and len(heavy) > 3
+    got = {hashes[t]["h"]: found[ids[0]]["shard"] for t, ids in groups.items()}
+    assert got == expected
+    for measure in ("size", "tokens"):
+        totals = [sum(r[measure] for r in found.values() if r["shard"] == s) for s in range(4)]
+        assert max(totals) < 1.1 * min(totals)
+
+
+def test_a_group_below_a_shard_stays_whole(spark):
+    docs = [(i, "the same text" if i % 10 == 0 else f"the text {i % 997}") for i in range(3000)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = sharding.shard_documents(df).collect()
+    check_shards(found, docs)
+    assert len({r["shard"] for r in found if r["doc_id"] % 10 == 0}) == 1
+    sizes = [sum(r["size"] for r in found if r["shard"] == s) for s in range(8)]
+    assert max(sizes) < 1.05 * min(sizes), sizes
+
+
 def test_sharding_odd_rows(odd, none):
     check_shards(sharding.shard_documents(odd).collect(), TEXTS)
     assert sharding.shard_documents(none).count() == 0
