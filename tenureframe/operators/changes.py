@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tenureframe.functions import as_date, between_dates
 from tenureframe.functions.dates import DateLike
 from tenureframe.operators.latest import latest_per_key
-from tenureframe.operators.skew import range_of, split_rows
+from tenureframe.operators.skew import range_count, range_of, split_rows
 
 
 def _ascending(columns: Sequence[str]) -> list[Column]:
@@ -48,9 +48,10 @@ def with_neighbour(
     backwards = {"previous": True, "next": False}[direction]
     place = [*keys, *order]
     known = list(dict.fromkeys([*keys, *take.values()]))
-    splits = split_rows(df if ranges_from is None else ranges_from, place, known)
+    ranges = range_count(df)
+    splits = split_rows(df if ranges_from is None else ranges_from, place, known, ranges)
     cut = df.withColumn("_splits", splits).withColumn(
-        "_range", range_of("_splits", place, with_split=not backwards)
+        "_range", range_of("_splits", place, not backwards, ranges)
     )
     in_range = Window.partitionBy("_range").orderBy(*_ascending(place))
     step = F.lag if backwards else F.lead

@@ -30,58 +30,28 @@ def _check_types(facts: DataFrame, history: DataFrame, key: str, *dates: tuple)
             raise TypeError(f"{column} must be a date or timestamp, not {kind.simpleString()}")
 
 
-# Days of a node on each level. Steps of four keep the rows of both sides few: a fact has
-# a row for each level, an interval at most three nodes on either side of each; the coarse
-# levels above are for calendars of many centuries.
-NODE_DAYS = (1, 4, 16, 64, 256, 4096, 65_536, 1_048_576)
-# The top level is the lowest one that cuts the calendar into so few nodes.
-TOP_NODES = 16
-_LEVEL = 1 << 24
-
-
-def _top(days: Column) -> Column:
-    """The top level for a calendar of so many days."""
-    top = F.lit(len(NODE_DAYS) - 1)
-    for level in reversed(range(len(NODE_DAYS) - 1)):
-        top = F.when(days <= TOP_NODES * NODE_DAYS[level], level).otherwise(top)
-    return top
-
-
-def day_nodes(day: Column, top: Column) -> Column:
-    """The nodes, one on each level up to ``top``, that a day (from 0) lies in."""
-    nodes = [F.floor(day / size) + level * _LEVEL for level, size in enumerate(NODE_DAYS)]
-    return F.slice(F.array(*nodes), F.lit(1), top + 1)
-
-
-def interval_nodes(first: Column, behind: Column, top: Column) -> Column:
-    """The fewest nodes up to level ``top`` that together are the days from ``first`` up to,
-    not with, ``behind``. Every day lies in exactly one of them."""
-
-    def span(level: int) -> tuple[Column, Column]:
-        """The nodes of a level that lie inside: from, and up to."""
-        size = NODE_DAYS[level]
-        return F.ceil(first / size), F.floor(behind / size)
-
-    def some(level: int, low: Column, high: Column) -> Column:
-        base = level * _LEVEL
-        return F.when(low < high, F.sequence(low + base, high - 1 + base)).otherwise(
-            F.array().cast("array<bigint>")
-        )
+# Days of a node on each level; an interval lies in one or two nodes of the lowest level
+# whose nodes are no shorter than it is.
+NODE_DAYS = (2, 8, 32, 128, 512, 4096, 65_536, 4_194_304)
+
+
+def _day(column: str) -> Column:
+    return F.unix_date(F.to_date(F.col(column)))
+
+
+def _of_fact(day: Column) -> Column:
+    """The nodes that a day lies in, one on each level."""
+    return F.array(*[
+        F.struct(F.lit(days).alias("_days"), F.floor(day / days).alias("_node")) for days in NODE_DAYS
+    ])
+
 
-    parts = []
-    for level in range(len(NODE_DAYS)):
-        low, high = span(level)
-        whole = some(level, low, high)
-        if level + 1 < len(NODE_DAYS):
-            # What larger nodes cover is left out; they cover one run or nothing.
-            times = NODE_DAYS[level + 1] // NODE_DAYS[level]
-            above_low, above_high = (edge * times for edge in span(level + 1))
-            left = F.least(high, above_low)
-            right = F.greatest(above_high, left, low)
-            edges = F.concat(some(level, low, left), some(level, right, high))
-            whole = F.when(top > level, edges).otherwise(whole)
-        parts.append(F.when(top >= level, whole).otherwise(F.array().cast("array<bigint>")))
-    return F.concat(*parts)
+def _level_of(length: Column) -> Column:
+    """Days of the nodes on the level of intervals of so many days."""
+    level = F.lit(NODE_DAYS[-1])
+    for days in reversed(NODE_DAYS[:-1]):
+        level = F.when(length <= days, days).otherwise(level)
+    return level
 
 
 def join_as_of_interval(
@@ -92,7 +62,6 @@ def join_as_of_interval(
     closed: str = "both",
     start: str = "from_date",
     end: str = "to_date",
-    calendar: tuple[DataFrame, str] | None = None,
 ) -> DataFrame:
     """Join each fact to the history rows of its key that cover the fact's date.
 
@@ -101,40 +70,37 @@ def join_as_of_interval(
     two sides must not share column names. The result has a row per matching pair;
     where only counts or sums are needed, ``join_distinct`` is far smaller.
 
-    Days are cut into nodes of 1, 4, 16, ... days. An interval becomes the fewest nodes that
-    it is made of, a fact the nodes that its day lies in, and rows meet on key and node. An
-    interval's nodes do not overlap, so each pair is formed once, and at most those pairs in
-    excess that differ in the time of day. Rows of both sides grow with the logarithm of
-    the days, and a key spreads over its nodes.
-
-    Intervals are first cut to the calendar, from the first fact's day to the last one's, a
-    subquery. ``calendar`` names another table and column with at least these days, where
-    the facts are costly.
+    Days are cut into nodes of 2, 8, 32, ... days. An interval goes to the one or two nodes
+    it lies in on the level of its length, a fact to its node on every level, and rows meet
+    on key and node: neither side grows with the days that intervals or keys cover. Nodes
+    are at most a few times as long as the intervals in them, so most pairs that meet are in
+    the result, and the dates decide on the others. A key spreads over its nodes, and
+    adaptive execution divides the rows of a crowded one.
     """
     if closed not in ("both", "left"):
         raise ValueError(f"closed must be 'both' or 'left', not {closed!r}")
     _check_types(facts, history, key, (facts, date), (history, start), (history, end))
-
-    def number(column: Column) -> Column:
-        return F.unix_date(F.to_date(column))
-
-    source, day = calendar or (facts, date)
-    ends = source.agg(
-        F.struct(
-            F.min(number(F.col(day))).alias("first"), F.max(number(F.col(day))).alias("last")
+    pieces = (
+        history.withColumns({"_first": _day(start), "_last": _day(end)})
+        .filter("_first <= _last")
+        .withColumn("_days", _level_of(F.col("_last") - F.col("_first") + 1))
+        .withColumn(
+            "_node",
+            F.explode(
+                F.sequence(
+                    F.floor(F.col("_first") / F.col("_days")), F.floor(F.col("_last") / F.col("_days"))
+                )
+            ),
         )
-    ).scalar()
-    origin, last = ends["first"], ends["last"]
-    top = _top(last - origin + 1)
-    first = F.greatest(number(F.col(start)), origin) - origin
-    behind = F.least(number(F.col(end)), last) - origin + 1
-    within = F.col(start).isNotNull() & F.col(end).isNotNull() & (first < behind)
-    pieces = history.filter(within).withColumn("_node", F.explode(interval_nodes(first, behind, top)))
-    placed = facts.withColumn("_node", F.explode(day_nodes(number(F.col(date)) - origin, top)))
+    )
+    placed = facts.filter(F.col(date).isNotNull()).select(
+        *facts.columns, F.inline(_of_fact(_day(date)))
+    )
     before_end = F.col(date) <= F.col(end) if closed == "both" else F.col(date) < F.col(end)
     joined = placed.alias("l").join(
         pieces.alias("r"),
         (F.col(f"l.{key}") == F.col(f"r.{key}"))
+        & (F.col("l._days") == F.col("r._days"))
         & (F.col("l._node") == F.col("r._node"))
         & (F.col(date) >= F.col(start))
         & before_end,

@@ -18,8 +18,13 @@ RANGES_A_PARTITION = 16
 MOST_RANGES = 4096
 
 
+def range_count(df: DataFrame) -> int:
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(MOST_RANGES, RANGES_A_PARTITION * partitions)
+
+
 def split_rows(
-    source: DataFrame, order: Sequence[str], take: Sequence[str], ranges: int | None = None
+    source: DataFrame, order: Sequence[str], take: Sequence[str], ranges: int
 ) -> Column:
     """Rows of ``source`` that cut it into about even ranges by ``order``: a sorted array
     of (``at``: the columns of ``order``, ``carried``: those of ``take``).
@@ -28,9 +33,6 @@ def split_rows(
     whatever the types of its columns. The array is a subquery of the plan: a scan that
     keeps so many rows in each task, and no shuffle.
     """
-    if ranges is None:
-        partitions = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        ranges = min(MOST_RANGES, RANGES_A_PARTITION * partitions)
     sample = (
         source.select(F.struct(*order).alias("at"), F.struct(*take).alias("carried"))
         .orderBy(F.xxhash64("at"))
@@ -39,11 +41,11 @@ def split_rows(
     return sample.agg(F.array_sort(F.collect_list(F.struct("at", "carried")))).scalar()
 
 
-def range_of(splits: str, order: Sequence[str], with_split: bool) -> Column:
-    """How many rows of the array ``splits`` lie before a row, by binary search; a row
-    that is itself in the array counts as before only if ``with_split``."""
+def range_of(splits: str, order: Sequence[str], with_split: bool, ranges: int) -> Column:
+    """How many rows of the array ``splits``, which cuts into at most ``ranges``, lie before a
+    row, by binary search; a row that is itself in the array counts only if ``with_split``."""
     array, here = F.col(splits), F.struct(*order)
-    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(MOST_RANGES.bit_length()))])
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(ranges.bit_length()))])
 
     def step(found: Column, by: Column) -> Column:
         at = F.get(array, found + by - 1)["at"]

@@ -17,7 +17,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
         # Short runs: skip the slow compiler tier of the JVM.
-        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")
+        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1 -XX:ReservedCodeCacheSize=256m")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -245,33 +245,6 @@ def test_no_days_in_the_plan_of_an_interval_join(stays):
     assert "collect_set" not in plan and "explode" in plan.lower()
 
 
-@pytest.mark.parametrize("days", [1, 5, 70, 1100, 40_000, 3_000_000])
-def test_nodes_of_an_interval_are_its_days(spark, days):
-    """Random intervals of a calendar: each of their days lies in exactly one of their nodes,
-    other days lie in none, and nodes are few."""
-    from tenureframe.operators import intervals
-
-    rng = random.Random(days)
-    spans = [(0, days), (0, 1), (days - 1, days)]
-    spans += [tuple(sorted(rng.sample(range(days + 1), 2))) for _ in range(40)]
-    top = intervals._top(F.lit(days))
-    made = spark.createDataFrame(spans, "a long, b long").select(
-        "a", "b", intervals.interval_nodes(F.col("a"), F.col("b"), top).alias("nodes")
-    ).collect()
-    edges = {d for span in spans for edge in span for d in (edge - 1, edge, edge + 1)}
-    near = sorted(d for d in {*edges, *(rng.randrange(days) for _ in range(60))} if 0 <= d < days)
-    placed = spark.createDataFrame([(d,) for d in near], "d long").select(
-        "d", intervals.day_nodes(F.col("d"), top).alias("nodes")
-    ).collect()
-    for interval in made:
-        nodes = set(interval["nodes"])
-        assert len(nodes) == len(interval["nodes"]) <= 6 * 8 + 2 * 16
-        for r in placed:
-            inside = interval["a"] <= r["d"] < interval["b"]
-            assert len(nodes & set(r["nodes"])) == inside
-    assert max(len(r["nodes"]) for r in placed) <= len(intervals.NODE_DAYS)
-
-
 @pytest.mark.parametrize("closed", ["both", "left"])
 def test_interval_join_with_times_of_day_equals_plain_join(spark, closed):
     """Ends within a day, intervals of no length and reversed ones, long and open ones."""
@@ -289,9 +262,6 @@ def test_interval_join_with_times_of_day_equals_plain_join(spark, closed):
     found = op.join_as_of_interval(seen, held, "emp_no", "day", closed)
     expected = plain_interval_join(seen, held, closed)
     assert rows(found.select("f", "h")) == rows(expected.select("f", "h")) and found.count() > 1000
-    wider = seen.unionByName(seen.withColumn("day", F.col("day") + F.make_interval(years=F.lit(1500))))
-    again = op.join_as_of_interval(seen, held, "emp_no", "day", closed, calendar=(wider, "day"))
-    assert rows(again) == rows(found)
 
 
 def test_open_intervals_without_facts_or_with_a_late_one(spark):
