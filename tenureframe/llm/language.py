@@ -1,6 +1,8 @@
 """Language identification by rank-order profiles.
 
-A profile is the list of the most frequent letter n-grams, most frequent first.
+A profile is the list of the most frequent letter n-grams, most frequent first. N-grams
+are taken over a word and the gaps on its sides; one that begins with a gap is counted
+with the shorter one behind the gap.
 Each language's profile is learned from a bounded number of labelled documents
 (``sample_docs`` per language, those with the lowest hashes of their ids, whole texts). A document
 gets the language whose profile has the smallest out-of-place distance to its own:

@@ -185,7 +185,13 @@ def compare_with_next(
     rows_per_range: int = 1000,
     max_ranges: int = 10_000,
 ) -> DataFrame:
-    """Fingerprints of each text and its edited text, and their likenesses."""
+    """Fingerprints of each text and its edited text, and their likenesses.
+
+    Ranges are cut at approximate quantiles of the ids, ``rows_per_range`` rows each up to
+    ``max_ranges`` ranges; beyond ten million rows at the given values ranges grow with the
+    table. That changes how rows are dealt, not the result: a range is a stream, of which a
+    task holds one text and its successor.
+    """
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID))
     ranges = min(max_ranges, bucket_count(docs.count(), rows_per_range))
     shares = [i / ranges for i in range(1, ranges)]
