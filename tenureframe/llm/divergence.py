@@ -44,8 +44,11 @@ SCALE = 1_000_000_000
 PRIOR = 5
 LEAST_DOCUMENTS = 30
 TOP_TERMS = 50
-# Sources in a block of the distance matrix; distinct terms that a task holds at once.
+# Sources in a block of the distance matrix, and parts over which a cell's terms are dealt:
+# each part gives one row for every pair of the cell.
 BLOCK = 256
+PARTS = 32
+# Distinct terms that a task holds at once.
 HELD_TERMS = 400_000
 DIGEST_BITS = 64
 
@@ -253,7 +256,9 @@ def _distances(block: int):
 _ENTRY = ("lang", "first", "second", "salt", "digest", "split", "number", "p")
 
 
-def pair_distances(shares: DataFrame, sources: DataFrame, block: int = BLOCK) -> DataFrame:
+def pair_distances(
+    shares: DataFrame, sources: DataFrame, block: int = BLOCK, parts: int = PARTS
+) -> DataFrame:
     """Per language and pair of source numbers (``u`` < ``v``) the distance over the
     terms that occur, beyond that of as many terms which neither source has.
 
@@ -261,8 +266,6 @@ def pair_distances(shares: DataFrame, sources: DataFrame, block: int = BLOCK) ->
     number, and the share of a term that the source does not have (NULL: no terms).
     ``shares`` has (lang, digest, split, number, last, p) of terms that occur.
     """
-    tasks = 2 * int(shares.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
     def block_of(number: str) -> Column:
         return F.floor((F.col(number) - 1) / block).cast("int")
 
@@ -284,8 +287,8 @@ def pair_distances(shares: DataFrame, sources: DataFrame, block: int = BLOCK) ->
         "lang", "number", "last", F.coalesce("none", F.lit(0).cast("long")).alias("p"),
         F.lit(None).cast("long").alias("digest"), F.lit("").alias("split"),
     )
-    every = F.explode(F.sequence(F.lit(0), F.lit(tasks - 1)))
-    entries = cells(shares, F.pmod(F.xxhash64("digest", "split"), F.lit(tasks)).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    entries = cells(shares, F.pmod(F.xxhash64("digest", "split"), F.lit(parts)).cast("int"))
     group = ["lang", "first", "second", "salt"]
     return (
         entries.unionByName(cells(heads, every))
