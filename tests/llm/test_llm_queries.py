@@ -33,6 +33,15 @@ def test_all_operators_and_the_pipeline_are_registered():
 def test_stages_by_brute_force(spark, small_dir):
     """Each stage on all that the one before kept."""
     docs = spark.read.parquet(f"{small_dir}/documents.parquet")
+    # Near copies of long texts: a word more at the end.
+    copies = docs.filter("n_chars > 3000").withColumns(
+        {
+            "doc_id": F.col("doc_id") + 1_000_000,
+            "text": F.concat("text", F.lit(" more")),
+            "n_chars": F.col("n_chars") + 5,
+        }
+    )
+    docs = docs.unionByName(copies)
     given = {r["doc_id"]: r["text"] for r in docs.collect()}
     stages = dict(corpus_pipeline.STAGES)
 
