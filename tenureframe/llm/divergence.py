@@ -51,6 +51,9 @@ PARTS = 32
 # Distinct terms that a task holds at once.
 HELD_TERMS = 400_000
 DIGEST_BITS = 64
+# Kept digests travel to the texts up to this number (about 30 bytes each), beyond it both
+# are shuffled.
+BROADCAST_ROWS = 1_000_000
 
 _PORTION = "lang string, source string, term string, n long, docs long, first boolean"
 
@@ -137,6 +140,9 @@ def kept_counts(
     )
     enough = F.sum("docs") >= least_documents
     frequent = totals.groupBy("lang", "digest").agg(enough.alias("kept")).filter("kept").drop("kept")
+    frequent = staged(frequent, "frequent")
+    if frequent.count() <= BROADCAST_ROWS:
+        frequent = F.broadcast(frequent)
     edges = staged(
         terms.filter("first")
         .select("lang", "digest", "term")
