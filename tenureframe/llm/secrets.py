@@ -8,11 +8,17 @@ literals may have a prefix, or three quotes and then several lines. A value with
 quotes ends at white space or a comma, bracket or quote; where it is all that a line
 assigns, at white space only. Without a digit it is a literal only if it is no name of
 source code: on lines ``KEY=VALUE`` without blanks, if it has other signs than a name,
-or in a text with ``[section]`` lines. Literals assigned to a name are remembered in the
-text and propagated when the name is assigned on, through any number of steps. Each
-literal is scored by how sensitive the names are that it reaches and by how much it
-looks like a secret; literals at or above ``threshold`` become spans of the kind
-``literal``.
+or in a text with ``[section]`` lines. Several targets take their values by position, a
+literal may be put together from quoted parts and names, and a block value is the
+lines indented below its name. Names and literals also meet in attributes of one tag, in calls that
+set something, in ``Authorization`` headers and in addresses with a password.
+
+Literals assigned to a name are remembered in the text and propagated when the name is
+assigned on, through any number of steps; a name that is assigned on before it has a
+literal passes on the first one that it gets later. Each literal is scored by how
+sensitive the names are that it reaches and by how much it looks like a secret; names
+that end in a measure or a place (``token_count``, ``key_path``) count little. Literals
+at or above ``threshold`` become spans of the kind ``literal``, one for each part.
 
 Spans are in code points, the end exclusive. Whole texts are read; rows are
 independent of each other, so nothing is shuffled.
@@ -70,20 +76,31 @@ SENSITIVE = {
 }
 THRESHOLD = 1.4
 
+# Last parts of names that tell of a secret but do not hold it.
+ABOUT = frozenset(
+    "at budget bytes count counts date expires expiry file id ids index len length limit max min"
+    " name names num number offset path size timeout total ttl type uri url usage version".split()
+)
+ABOUT_SHARE = 0.3
+
 _WORD = r"[A-Za-z_][A-Za-z0-9_]*(?:(?:\.|::)[A-Za-z_][A-Za-z0-9_]*){0,9}"
 _TYPE = (
     r"[&*]{0,2}(?:'[a-z_]+[ \t]+)?(?:(?:mut|const|dyn)[ \t]+)?[&*]?"
     rf"(?P<type>{_WORD})(?:[<\[][A-Za-z0-9_ .,:|&<>\[\]]{{0,80}}[>\]])?(?:\[\])?"
     rf"(?:[ \t]*\|[ \t]*{_WORD}){{0,9}}[*?!]?"
 )
+_QUOTED = (
+    r"""(?:"(?P<double>(?:[^"\\\n]|\\.)*)"|'(?P<single>(?:[^'\\\n]|\\.)*)'|`(?P<tick>[^`\n]*)`)"""
+)
 _PAIR = re.compile(
-    r"""(?P<open>["'])?(?P<name>[A-Za-z_][A-Za-z0-9_.-]*)(?(open)(?P=open))"""
-    r"""(?:\]|\[[0-9]{0,9}\])?"""
+    # A name begins where its word begins, so a long word is read once.
+    r"""(?:(?P<open>["'])|(?<![A-Za-z0-9_])[0-9]*+)"""
+    r"""(?P<name>[A-Za-z_][A-Za-z0-9_.-]*)(?(open)(?P=open))(?:\]|\[[0-9]{0,9}\])?"""
     # A type is followed by an assignment, a plain name by a colon as well.
     rf"""(?:(?:[?!]?[ \t]*:[ \t]*|[ \t]+){_TYPE}[ \t]*(?::=|=(?![=>]))[ \t]*"""
     r"""|[ \t]*(?::=|=>|=|:)[ \t]*)"""
     r"""(?:(?:[bBfFrRuU]{1,2}(?=["']))?"""
-    r"""(?:(?P<three>\"\"\"|''')|"(?P<double>(?:[^"\\\n]|\\.)*)"|'(?P<single>(?:[^'\\\n]|\\.)*)')"""
+    rf"""(?:(?P<three>\"\"\"|''')|{_QUOTED})"""
     r"""|(?P<bare>[A-Za-z0-9_$][A-Za-z0-9_.$/+=!@#%^~?*-]*))"""
 )
 # A line that is a whole assignment of a value without quotes.
@@ -92,6 +109,38 @@ _SETTING = re.compile(
     r"""(?(open)(?P=open))(?P<operator>=|[ \t]*(?:=|:)[ \t]+|[ \t]+=|:)"""
     r"""(?P<bare>[^\s"'`=:(\[{<][^\s]*)[ \t\r]*(?:[ \t](?:[#;]|//)[^\n]*)?(?=\n|\Z)"""
 )
+# The next part of a literal that is put together.
+_PLUS = re.compile(rf"[ \t]*+(?:\+|\.{{1,2}}|&)?[ \t]*+{_QUOTED}|[ \t]*+\+[ \t]*+(?P<name>{_WORD})(?![\w(\[])")
+# Several targets, and one value of several.
+_TARGETS = re.compile(
+    rf"[ \t]*+(?:(?:const|final|let|local|my|val|var)[ \t]++)?[\[({{]?(?P<names>{_WORD}"
+    rf"(?:[ \t]*+,[ \t]*+{_WORD})++)[ \t]*+[\])}}]?[ \t]*+(?::=|=(?![=>]))[ \t]*+[\[({{]?"
+)
+_VALUE = re.compile(
+    rf"""[ \t]*+(?:[bBfFrRuU]{{1,2}}(?=["']))?(?:{_QUOTED}|(?P<bare>[^\s,;"'`()\[\]{{}}]++))[ \t]*+(?P<more>,)?"""
+)
+# A block of lines below its name.
+_BLOCK = re.compile(
+    r"""(?P<indent>[ \t]*+)(?:-[ \t]++)?(?P<open>["'])?(?P<name>[A-Za-z_][A-Za-z0-9_.-]*+)"""
+    r"""(?(open)(?P=open))[ \t]*+:[ \t]*+[|>][+-]?[0-9]?[+-]?[ \t\r]*+\n"""
+)
+# Forms without an operator between name and literal.
+_TAG = re.compile("<[A-Za-z][^<>]*+>")
+_ATTRIBUTE = re.compile(
+    r"""(?<![A-Za-z0-9_:.-])(?P<what>key|name|id|value)[ \t]*+=[ \t]*+(?:"(?P<double>[^"\n]*+)"|'(?P<single>[^'\n]*+)')""",
+    re.A | re.I,
+)
+_CALL = re.compile(
+    r"""(?<![A-Za-z0-9_])(?P<name>(?:set|with|use|put|add|change|update)[A-Za-z0-9_]*+)\("""
+    r"""(?:[ \t]*+["'](?P<key>[A-Za-z_][A-Za-z0-9_.-]*+)["'][ \t]*+,)?[ \t]*+"""
+    rf"""(?:(?:[bBfFrRuU]{{1,2}}(?=["']))?{_QUOTED}|(?P<bare>{_WORD}))[ \t]*+[,)]"""
+)
+_HEADER = re.compile(
+    r"""authorization["']?[ \t]*+[:=,][ \t]*+[bfru]?["'`]?(?:Bearer|Basic|Token|ApiKey)[ \t]++"""
+    r"""(?P<bare>[A-Za-z0-9._~+/=-]++)""",
+    re.A | re.I,
+)
+_ADDRESS = re.compile(r"""://[^\s:/?#@"'`<>]*+:(?P<bare>[^\s/@"'`<>]++)@""")
 _SECTION = re.compile(r"^[ \t]*\[[A-Za-z][^\]\n]*\][ \t\r]*$", re.M)
 # Values that are expressions: with a literal in quotes, or a call or an item.
 _EXPRESSION = re.compile(
@@ -101,9 +150,11 @@ _EXPRESSION = re.compile(
 _REFERENCE = re.compile(r"\$\{?[A-Za-z_][A-Za-z0-9_]*\}?|%[A-Za-z_][A-Za-z0-9_]*%")
 _PART = re.compile("[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 _IDENTIFIER = re.compile("[A-Za-z_][A-Za-z0-9_.]*")
-_LINE = re.compile("[^\n]*[:=][^\n]*")
+_LINE = re.compile("^[^\n:=]*+[:=][^\n]*+", re.M)
 
 Span = tuple[int, int, int]
+# The places of the parts of a literal; names stand in for parts that are not known yet.
+Literal = tuple[tuple[int, int], ...]
 
 
 def base_spans(text: str) -> list[Span]:
@@ -126,7 +177,8 @@ def name_weight(name: str) -> float:
     """How sensitive a target is, from the parts of its name."""
     parts = [p.lower() for p in _PART.findall(name)]
     joined = [a + b for a, b in zip(parts, parts[1:])]
-    return min(1.0, sum(SENSITIVE.get(p, 0.0) for p in {*parts, *joined}))
+    weight = min(1.0, sum(SENSITIVE.get(p, 0.0) for p in {*parts, *joined}))
+    return weight * ABOUT_SHARE if parts and parts[-1] in ABOUT else weight
 
 
 def literal_weight(value: str) -> float:
@@ -146,80 +198,217 @@ def literal_weight(value: str) -> float:
 # blanks beside the operator or without.
 QUOTED, BARE, SPACED, SETTING = range(4)
 
-
-def _assignments(text: str) -> Iterator[tuple[list[str], tuple[int, int], int]]:
-    """Names, place of the value and how it stands, of every assignment in the text."""
+# Names, the places of the value's parts, and how it stands. A part that is a name of
+# another literal is a text.
+Assignment = tuple[list[str], list, int]
+
+
+def _quoted(match: re.Match) -> tuple[int, int] | None:
+    """The place of the literal in quotes, without them."""
+    group = next((g for g in ("double", "single", "tick") if match[g] is not None), None)
+    return group and match.span(group)
+
+
+def _parts(text: str, at: int, end: int) -> tuple[list, int]:
+    """What follows a literal and is put together with it, and where that ends."""
+    parts = []
+    while more := _PLUS.match(text, at, end):
+        parts.append(more["name"] or _quoted(more))
+        at = more.end()
+    return parts, at
+
+
+def _block(text: str, head: re.Match) -> tuple[list, int]:
+    """The lines below a name that are indented deeper, and where they end."""
+    parts, at, least = [], head.end(), len(head["indent"])
+    while at < len(text):
+        end = text.find("\n", at)
+        end = len(text) if end < 0 else end
+        line = text[at:end]
+        inside = line.strip()
+        if inside:
+            indent = len(line) - len(line.lstrip())
+            if indent <= least:
+                break
+            parts.append((at + indent, at + indent + len(inside)))
+        at = end + 1
+    return parts, min(at, len(text))
+
+
+def _several(text: str, targets: re.Match, end: int) -> tuple[list[Assignment], int]:
+    """Targets and values by position, as far as the values are literals or words."""
+    found, at = [], targets.end()
+    for name in re.split(r"[ \t]*,[ \t]*", targets["names"]):
+        value = _VALUE.match(text, at, end)
+        if value is None:
+            break
+        at = value.end()
+        bare = value["bare"] is not None
+        found.append(([name], [value.span("bare") if bare else _quoted(value)], BARE if bare else QUOTED))
+        if not value["more"]:
+            break
+    return found, at
+
+
+def _on_lines(text: str) -> Iterator[Assignment]:
+    """Assignments with an operator."""
     done = 0
     for line in _LINE.finditer(text):
         if line.start() < done:
             continue
-        setting = _SETTING.match(text, line.start(), line.end())
-        at = line.start()
+        at, end = line.span()
+        if head := _BLOCK.match(text, at):
+            parts, done = _block(text, head)
+            yield [head["name"]], parts, QUOTED
+            continue
+        setting = _SETTING.match(text, at, end)
         if setting and not _EXPRESSION.fullmatch(setting["bare"]):
             kind = SETTING if setting["operator"] == "=" else SPACED
-            yield [setting["name"]], setting.span("bare"), kind
+            yield [setting["name"]], [setting.span("bare")], kind
             # A value may hold assignments of its own, as addresses do.
             at = setting.start("bare")
-        while pair := _PAIR.search(text, at, line.end()):
+        elif targets := _TARGETS.match(text, at, end):
+            found, at = _several(text, targets, end)
+            yield from found
+        while pair := _PAIR.search(text, at, end):
             at = pair.end()
             names = [pair["name"], *filter(None, [pair["type"]])]
             if pair["three"]:
-                end = text.find(pair["three"], at)
-                end = line.end() if end < 0 else end
-                inside = text[at:end]
+                close = text.find(pair["three"], at)
+                close = end if close < 0 else close
+                inside = text[at:close]
                 start = at + len(inside) - len(inside.lstrip())
-                yield names, (start, max(start, at + len(inside.rstrip()))), QUOTED
-                at = done = max(at, end + 3)
-                if at > line.end():
+                yield names, [(start, max(start, at + len(inside.rstrip())))], QUOTED
+                at = done = max(at, close + 3)
+                if at > end:
                     break
                 continue
-            group = next(g for g in ("double", "single", "bare") if pair[g] is not None)
-            yield names, pair.span(group), BARE if group == "bare" else QUOTED
+            first = _quoted(pair)
+            if first is None:
+                first = pair.span("bare")
+                word = text[slice(*first)].removesuffix("+")
+                joins = text[at - 1] == "+" or text[at : at + 3].lstrip(" \t")[:1] == "+"
+                if joins and _IDENTIFIER.fullmatch(word):
+                    parts, after = _parts(text, first[0] + len(word), end)
+                    if parts:
+                        at = after
+                        yield names, [word, *parts], QUOTED
+                        continue
+                yield names, [first], BARE
+                continue
+            parts, at = _parts(text, at, end)
+            yield names, [first, *parts], QUOTED
+
+
+def _elsewhere(text: str) -> Iterator[Assignment]:
+    """Names and literals that meet without an operator."""
+    if "<" in text and "=" in text:
+        for tag in _TAG.finditer(text):
+            given = {}
+            for match in _ATTRIBUTE.finditer(text, *tag.span()):
+                group = "double" if match["double"] is not None else "single"
+                given.setdefault(match["what"].lower(), match.span(group))
+            value = given.pop("value", None)
+            if value and given:
+                yield [text[slice(*span)] for span in given.values()], [value], QUOTED
+    if "(" in text:
+        for call in _CALL.finditer(text):
+            names = [call["name"], *filter(None, [call["key"]])]
+            yield names, [call["bare"] or _quoted(call)], QUOTED
+    if "://" in text:
+        for match in _ADDRESS.finditer(text):
+            yield ["password"], [match.span("bare")], QUOTED
+    if "uthorization" in text.lower():
+        for match in _HEADER.finditer(text):
+            yield ["bearer_token"], [match.span("bare")], QUOTED
+
+
+def _assignments(text: str) -> list[Assignment]:
+    """All assignments in the order of their values."""
+    found, last = [], 0
+    for assignment in _on_lines(text):
+        last = next((part[0] for part in assignment[1] if not isinstance(part, str)), last)
+        found.append((last, assignment))
+    others = list(_elsewhere(text))
+    if others:
+        last = 0
+        for assignment in others:
+            last = next((part[0] for part in assignment[1] if not isinstance(part, str)), last)
+            found.append((last, assignment))
+        found.sort(key=lambda pair: pair[0])
+    return [assignment for _, assignment in found]
+
+
+class _Names:
+    """What literal every name holds, and how sensitive the names are it has reached."""
+
+    def __init__(self):
+        self.held: dict[str, Literal] = {}
+        self.reached: dict[Literal, float] = {}
+        # Names that were assigned from one that had no literal yet.
+        self.waiting: dict[str, list[str]] = {}
+
+    def assign(self, names: list[str], literal: Literal) -> None:
+        todo = list(names)
+        while todo:
+            name = todo.pop()
+            self.held[name] = literal
+            self.reached[literal] = max(self.reached.get(literal, 0.0), name_weight(name))
+            todo += [n for n in self.waiting.pop(name, ()) if n not in self.held]
+
+    def clear(self, names: list[str], source: str | None) -> None:
+        """The names have no literal; they get that of ``source`` once it has one."""
+        for name in names:
+            self.held.pop(name, None)
+            if source and source != name:
+                self.waiting.setdefault(source, []).append(name)
 
 
 def literal_spans(text: str, threshold: float = THRESHOLD) -> list[Span]:
     """Literals whose own score plus that of the most sensitive name they reach is high."""
-    pairs = list(_assignments(text))
-    if not pairs:
-        return []
     sections: bool | None = None
-    # Each name's literal: where it stands, and the highest weight of names it reached.
-    held: dict[str, tuple[int, int]] = {}
-    reached: dict[tuple[int, int], float] = {}
-    for names, span, kind in pairs:
+    known = _Names()
+    for names, parts, kind in _assignments(text):
+        if kind == QUOTED:
+            literal: list[tuple[int, int]] = []
+            for part in parts:
+                literal += known.held.get(part, ()) if isinstance(part, str) else (part,)
+            if literal:
+                known.assign(names, tuple(literal))
+            else:
+                known.clear(names, next((p for p in parts if isinstance(p, str)), None))
+            continue
+        (span,) = parts
         value = text[slice(*span)]
-        if kind != QUOTED:
-            # What ends a statement is no part of a name.
-            bare = value.rstrip(";,")
-            known = _IDENTIFIER.fullmatch(bare) and held.get(bare)
-            literal = any(c.isdigit() for c in value)
-            if not literal and kind != BARE and not _REFERENCE.fullmatch(value):
-                literal = not _IDENTIFIER.fullmatch(bare) or (kind == SETTING and bare == value)
-                if not literal:
-                    if sections is None:
-                        sections = bool(_SECTION.search(text))
-                    literal = sections
-            if known:
-                span = known
-            elif not literal:
-                # A word of prose or a name without a literal.
-                for name in names:
-                    held.pop(name, None)
-                continue
-        for name in names:
-            held[name] = span
-            reached[span] = max(reached.get(span, 0.0), name_weight(name))
-    return [
-        (start, 3, end)
-        for (start, end), weight in sorted(reached.items())
-        if weight and weight + literal_weight(text[start:end]) >= threshold
-    ]
+        # What ends a statement is no part of a name.
+        bare = value.rstrip(";,")
+        identifier = bool(_IDENTIFIER.fullmatch(bare))
+        if identifier and bare in known.held:
+            known.assign(names, known.held[bare])
+            continue
+        literal = any(c.isdigit() for c in value)
+        if not literal and kind != BARE and not _REFERENCE.fullmatch(value):
+            literal = not identifier or (kind == SETTING and bare == value)
+            if not literal:
+                if sections is None:
+                    sections = bool(_SECTION.search(text))
+                literal = sections
+        if literal:
+            known.assign(names, (span,))
+        else:
+            # A word of prose, or a name without a literal so far.
+            known.clear(names, bare if identifier else None)
+    spans = set()
+    for literal, weight in known.reached.items():
+        if weight and weight + literal_weight("".join(text[a:b] for a, b in literal)) >= threshold:
+            spans.update((start, 3, end) for start, end in literal if end > start)
+    return sorted(spans)
 
 
 def find_spans(text: str, threshold: float = THRESHOLD) -> tuple[list[Span], list[Span]]:
     """Base spans, and all spans: a literal is added where no base span covers it."""
     base = base_spans(text)
-    if not (":" in text or "=" in text):
+    if not (":" in text or "=" in text or "(" in text):
         return base, base
     added = [
         span
