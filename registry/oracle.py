@@ -425,6 +425,7 @@ ORACLE: dict[str, str] = {
     ),
     "clean_dept_manager": _clean(f"SELECT {STAY_COLUMNS} FROM clean_dept_manager"),
     "clean_salaries": _clean(f"SELECT {SALARY_COLUMNS} FROM clean_salaries"),
+    "clean_salaries_where_changed": _clean(f"SELECT {SALARY_COLUMNS} FROM clean_salaries"),
     "clean_titles": _clean(f"SELECT {TITLE_COLUMNS} FROM clean_titles"),
     "clean_all_tables": _clean(_counts("clean_")),
     "close_open_intervals": _hr(
@@ -481,8 +482,10 @@ ORACLE: dict[str, str] = {
     "title_tenure": TITLE_TENURE,
     "annual_cost": _hr(_cost()),
     "annual_cost_cleaned": _clean(_cost("clean_")),
+    "annual_cost_bucketed": _clean(_cost("clean_")),
     "employee_report": _hr(_report()),
     "employee_report_cleaned": _clean(_report("clean_")),
+    "employee_report_bucketed": _clean(_report("clean_")),
     "dept_changers": CHANGERS,
     "dept_moves": _hr("""
 SELECT s.emp_no, s.dept_no, CAST(s.from_date AS VARCHAR) AS from_date, n AS total_cambios,

@@ -21,6 +21,7 @@ from tenureframe.functions import (
     row_count,
 )
 from tenureframe.plans import analytics, change_reports, cleaning, jobs, quality
+from tenureframe.plans.recleaning import CleanedZone
 from tenureframe.session import scratch_path
 from tenureframe.sinks import (
     publish_tables,
@@ -99,6 +100,39 @@ def _cleaned(plan) -> Query:
     return _over(_cleaned_tables, plan)
 
 
+def _bucketed_tables(spark: SparkSession, sf_dir: str):
+    """The cleaned zone in buckets of employee numbers."""
+    where = (spark.sparkContext.applicationId, f"buckets of {sf_dir}")
+    if where not in _saved:
+        path = scratch_path(spark, "buckets")
+        cleaned = cleaning.clean_all_tables(faulty_hr_tables(spark, sf_dir), AS_OF)
+        publish_tables(cleaned, path, buckets=8)
+        _saved[where] = path
+    return read_parquet_tables(spark, _saved[where], record_id=True)
+
+
+def _bucketed(plan) -> Query:
+    return _over(_bucketed_tables, plan)
+
+
+def _recleaned(table: str) -> Query:
+    """A zone of older sources, whose employees of some numbers came later, brought up to
+    date with the present ones."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = faulty_hr_tables(spark, sf_dir)
+        older = {
+            name: df.filter(F.col("emp_no") % 50 != 7) if "emp_no" in df.columns else df
+            for name, df in tables.items()
+        }
+        zone = CleanedZone(spark, scratch_path(spark, "recleaned"), buckets=64)
+        zone.update(older)
+        zone.update(tables)
+        return comparable(zone.read(AS_OF)[table])
+
+    return run
+
+
 def _row_counts(tables) -> DataFrame:
     out = None
     for name, df in tables.items():
@@ -263,6 +297,7 @@ QUERIES: dict[str, Query] = {
     "clean_salaries": _faulty(lambda t: cleaning.clean_salaries(t["salaries"], AS_OF)),
     "clean_titles": _faulty(lambda t: cleaning.clean_titles(t["titles"], AS_OF)),
     "clean_all_tables": _cleaned(_row_counts),
+    "clean_salaries_where_changed": _recleaned("salaries"),
     "close_open_intervals": _hr(lambda t: cleaning.close_open_intervals(t["titles"], AS_OF)),
     "dedupe_by_key": _hr(lambda t: op.dedupe_by_key(t["dept_emp"], ["emp_no", "dept_no"])),
     # data quality
@@ -301,6 +336,8 @@ QUERIES: dict[str, Query] = {
     "annual_cost_cleaned": _cleaned(lambda t: analytics.annual_cost(t, AS_OF)),
     "employee_report": _hr(lambda t: analytics.employee_report(t, AS_OF)),
     "employee_report_cleaned": _cleaned(lambda t: analytics.employee_report(t, AS_OF)),
+    "annual_cost_bucketed": _bucketed(lambda t: analytics.annual_cost(t, AS_OF)),
+    "employee_report_bucketed": _bucketed(lambda t: analytics.employee_report(t, AS_OF)),
     "dept_changers": _cleaned(analytics.department_changers),
     "dept_moves": _hr(analytics.department_moves),
     # changes

@@ -28,6 +28,7 @@ from tenureframe.sinks import (
 )
 from tenureframe.sinks.files import CSV_READ
 from tenureframe.sources import read_parquet_tables
+from tenureframe.sources.buckets import BUCKET_KEY, read_buckets
 
 Tables = Mapping[str, DataFrame]
 
@@ -38,20 +39,24 @@ def run_etl(
     path: str,
     as_of: DateLike | None = None,
     file_format: str = "parquet",
+    buckets: int | None = None,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Clean the tables and publish them as one version; return the tables of that version
     and their check results.
 
     The checks are counted as the rows are written: the sources are read once, and what was
-    written is not read for them.
+    written is not read for them. With ``buckets``, the zone is arranged by employee.
     """
     cleaned = clean_all_tables(raw, as_of)
-    manifest = publish_tables(cleaned, path, file_format, watch_rules)
+    manifest = publish_tables(cleaned, path, file_format, watch_rules, buckets)
     folder = f"{path.rstrip('/')}/{manifest['folder']}"
-    saved = {
-        name: spark.read.format(file_format).schema(df.schema).load(f"{folder}/{name}")
-        for name, df in cleaned.items()
-    }
+
+    def read(name: str, df: DataFrame) -> DataFrame:
+        if buckets and BUCKET_KEY in df.columns:
+            return read_buckets(spark, f"{folder}/{name}", df.schema, buckets, file_format)
+        return spark.read.format(file_format).schema(df.schema).load(f"{folder}/{name}")
+
+    saved = {name: read(name, df) for name, df in cleaned.items()}
     return saved, checks_of(spark, manifest)
 
 

@@ -11,8 +11,9 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tenureframe.versions import Versions, Writer
+from tenureframe.sources.buckets import BUCKET_KEY, write_buckets
 from tenureframe.sources.schemas import RECORD_ID
+from tenureframe.versions import Versions, Writer
 
 Watch = Callable[[DataFrame, str], tuple[DataFrame, Callable[[], Mapping]]]
 
@@ -65,9 +66,13 @@ def publish_tables(
     path: str,
     file_format: str = "parquet",
     watch: Watch | None = None,
+    buckets: int | None = None,
 ) -> dict:
     """All tables as one version; returns its manifest, with the rows of every table.
 
+    With ``buckets``, tables with employee numbers are written in so many buckets of them
+    instead of by date, for reports that bring an employee's rows together.
+
     ``watch`` may add metrics to a table as it is written: it takes (table as written,
     name) and returns the table with its metrics and a function that gives their values
     when the table is written, for the manifest.
@@ -75,16 +80,21 @@ def publish_tables(
 
     def writer(name: str, df: DataFrame) -> Writer:
         def write(folder: str) -> Mapping:
-            sorted_rows, values = by_date(df), None
+            in_buckets = buckets and BUCKET_KEY in df.columns
+            rows, values = df if in_buckets else by_date(df), None
             if watch is not None:
-                sorted_rows, values = watch(sorted_rows, name)
-            sorted_rows.write.format(file_format).save(folder)
+                rows, values = watch(rows, name)
+            if in_buckets:
+                write_buckets(rows, folder, buckets, file_format)
+            else:
+                rows.write.format(file_format).save(folder)
             return values() if values else {}
 
         return write
 
     spark = next(iter(tables.values())).sparkSession
-    return Versions(spark, path).publish({name: writer(name, df) for name, df in tables.items()})
+    writers = {name: writer(name, df) for name, df in tables.items()}
+    return Versions(spark, path).publish(writers, **({"buckets": buckets} if buckets else {}))
 
 
 def write_parquet_report(df: DataFrame, path: str) -> None:

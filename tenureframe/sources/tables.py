@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from tenureframe.functions import between_dates
 from tenureframe.functions.dates import DateLike
-from tenureframe.versions import published_folder
+from tenureframe.sources.buckets import BUCKET_KEY, read_buckets
 from tenureframe.sources.schemas import HISTORY_TABLES, TABLES, table_schema
+from tenureframe.versions import Versions
 
 
 @dataclass(frozen=True)
@@ -110,13 +111,19 @@ def read_parquet_tables(
     schemas: Mapping[str, object] | None = None,
 ) -> dict[str, DataFrame]:
     """Tables saved one folder each, read with the declared schemas: all of the last
-    published version, if the path has versions."""
-    folder = published_folder(spark, base_path)
-    return {
-        table: spark.read.schema((schemas or {}).get(table) or table_schema(table, record_id))
-        .parquet(f"{folder}/{table}")
-        for table in tables
-    }
+    published version, if the path has versions, in its buckets, if it has them."""
+    base = base_path.rstrip("/")
+    manifest = Versions(spark, base).read() or {}
+    folder = f"{base}/{manifest['folder']}" if manifest else base
+    buckets = manifest.get("buckets")
+
+    def read(table: str) -> DataFrame:
+        schema = (schemas or {}).get(table) or table_schema(table, record_id)
+        if buckets and BUCKET_KEY in schema.names:
+            return read_buckets(spark, f"{folder}/{table}", schema, buckets)
+        return spark.read.schema(schema).parquet(f"{folder}/{table}")
+
+    return {table: read(table) for table in tables}
 
 
 def period_rows(

@@ -65,14 +65,16 @@ class Versions:
         manifest = self.read(number)
         return manifest and f"{self.path}/{manifest['folder']}"
 
-    def publish(self, writers: Mapping[str, Writer]) -> dict:
+    def publish(self, writers: Mapping[str, Writer], **more) -> dict:
         """Let every writer write its part, then make all parts visible at once.
 
-        What a writer returns is kept in the manifest under the name of its part.
+        What a writer returns is kept in the manifest under the name of its part, ``more``
+        beside the parts. ``uses`` in it lists folders of earlier versions that this one
+        reads from.
         """
         folder = f"{VERSIONS}/{uuid.uuid4().hex}"
         parts = {name: write(f"{self.path}/{folder}/{name}") or {} for name, write in writers.items()}
-        return self._commit({"folder": folder, "parts": parts})
+        return self._commit({"folder": folder, "parts": parts} | more)
 
     def _commit(self, manifest: dict) -> dict:
         numbers = self.numbers()
@@ -91,14 +93,23 @@ class Versions:
 
     def remove_old(self, keep: int = 2) -> list[int]:
         """Remove all but the last ``keep`` versions; the manifest goes before the files, so
-        no reader finds a version in part. Files of failed runs are not touched."""
+        no reader finds a version in part. Folders that a version left uses stay until that
+        one goes. Files of failed runs are not touched."""
         if keep < 1:
             raise ValueError("the last version stays")
-        old = self.numbers()[:-keep]
+
+        def folders(number: int) -> set[str]:
+            manifest = self.read(number)
+            return {manifest["folder"], *manifest.get("uses", ())}
+
+        numbers = self.numbers()
+        old = numbers[:-keep]
+        used = set().union(*map(folders, numbers[-keep:]))
         for number in old:
-            folder = self.folder(number)
+            unused = folders(number) - used
             self._files.delete(self._manifest(number), False)
-            self._files.delete(self._at(folder), True)
+            for folder in unused:
+                self._files.delete(self._at(f"{self.path}/{folder}"), True)
         return old
 
 
