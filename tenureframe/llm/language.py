@@ -34,6 +34,8 @@ UNDETERMINED = "und"
 LONGEST = 3
 PROFILE_SIZE = 400
 SAMPLE_DOCS = 1000
+# The highest bits of a row's place by which rows are counted before any are ranked.
+PLACE_BITS = 16
 # Letters travel as numbers of so many bits, three to an n-gram.
 BITS = 21
 
@@ -81,6 +83,45 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(remainder == 2, F.lit(False))
 
 
+def last_places(labelled: DataFrame, sample_docs: int) -> dict[str, int]:
+    """The place of each label's last row among its ``sample_docs`` lowest ones.
+
+    Rows are counted by label and the highest bits of their places first. Only those
+    of the one step in which the last row lies are ranked, so a label with very many
+    rows sends counts, and a 65,536th part of its rows.
+    """
+    step = F.shiftright("place", 64 - PLACE_BITS)
+    upto = Window.partitionBy("label").orderBy("step")
+    steps = (
+        labelled.groupBy("label", step.alias("step"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("before", F.sum("n").over(upto) - F.col("n"))
+        .filter(F.col("before") < sample_docs)
+        .groupBy("label")
+        .agg(F.max(F.struct("step", "before")).alias("last"))
+        .select("label", "last.step", "last.before")
+        .collect()
+    )
+    if not steps:
+        return {}
+
+    def given(name: str) -> Column:
+        pairs = [F.lit(x) for row in steps for x in (row["label"], row[name])]
+        return F.create_map(*pairs)[F.col("label")]
+
+    order = Window.partitionBy("label").orderBy("place")
+    found = (
+        labelled.filter(step == given("step"))
+        .select("label", "place", F.row_number().over(order).alias("nth"))
+        .filter(F.col("nth") <= sample_docs)
+        .filter(F.col("nth") <= sample_docs - given("before"))
+        .groupBy("label")
+        .agg(F.max("place").alias("last"))
+        .collect()
+    )
+    return {row["label"]: row["last"] for row in found}
+
+
 def learn_profiles(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -96,17 +137,10 @@ def learn_profiles(
         F.col(label_col).cast("string").alias("label"),
     ).filter(F.col(id_col).isNotNull() & F.col("text").isNotNull() & F.col("label").isNotNull())
     # The last place taken, found without the texts; then texts are read where they are.
-    order = Window.partitionBy("label").orderBy("place")
-    last_places = (
-        labelled.select("label", "place", F.row_number().over(order).alias("nth"))
-        .filter(F.col("nth") <= sample_docs)
-        .groupBy("label")
-        .agg(F.max("place").alias("last"))
-        .collect()
-    )
-    if not last_places:
+    places = last_places(labelled.select("label", "place"), sample_docs)
+    if not places:
         return {}
-    last = F.create_map(*[F.lit(x) for row in last_places for x in (row["label"], row["last"])])
+    last = F.create_map(*[F.lit(x) for pair in places.items() for x in pair])
     sample = labelled.filter(F.col("place") <= last[F.col("label")]).select("label", "text")
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
