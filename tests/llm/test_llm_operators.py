@@ -162,6 +162,27 @@ def test_pieces_equal_the_library():
             assert back == encoder.library.decode(expected)
 
 
+def test_pieces_by_list_and_by_heap_and_what_is_remembered():
+    encoder = pieces.PieceEncoder(PIECES)
+    library = encoder.library
+    for length in (1, 2, pieces.SHORT - 1, pieces.SHORT, pieces.SHORT + 1, 300):
+        for text in ("thenation" * 40, "ñé\u4e00🙂sch" * 60, "a" * 300, "." * 300, "🙂" * 300):
+            unit = (pieces.BLANK + text)[:length]
+            symbols = [encoder._symbol(c) for c in unit]
+            assert encoder._merge_short(symbols[:]) == encoder._merge_long(symbols[:])
+            if length > 1:
+                assert encoder.merge(unit) == library.encode(unit[1:])
+    texts = [f"some {w}\n{w}*** 🙂 \u2581{w}  x " for w in ("words", "Straße", "z" * 90)]
+    _, back = encoder.encode_batch(texts)
+    assert back == [library.decode(library.encode(t)) for t in texts]
+    # Units that decode to themselves are remembered once; others keep their decoded text.
+    some = pieces.BLANK + "some"
+    assert not encoder.shown and some in encoder.known
+    assert not any(len(unit) > pieces.LONG_NAME for unit in encoder.known)
+    encoder.shown[some] = " other"
+    assert encoder.encode_batch(texts)[1] == [t.replace("some", "other") for t in back]
+
+
 def test_piece_digests(spark, small_dir, small_docs, odd, none):
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
 
