@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tenureframe.functions import as_date, between_dates
 from tenureframe.functions.dates import DateLike
 from tenureframe.operators.latest import latest_per_key
-from tenureframe.operators.skew import range_count, range_of, split_rows
+from tenureframe.operators.skew import range_count, split_rows, with_range
 
 
 def _ascending(columns: Sequence[str]) -> list[Column]:
@@ -50,17 +50,15 @@ def with_neighbour(
     known = list(dict.fromkeys([*keys, *take.values()]))
     ranges = range_count(df)
     splits = split_rows(df if ranges_from is None else ranges_from, place, known, ranges)
-    cut = df.withColumn("_splits", splits).withColumn(
-        "_range", range_of("_splits", place, not backwards, ranges)
-    )
+    given = df.withColumn("_splits", splits)
+    cut = with_range(given, "_range", "_splits", place, not backwards, ranges).drop("_splits")
     in_range = Window.partitionBy("_range").orderBy(*_ascending(place))
     step = F.lag if backwards else F.lead
     edge = F.get(splits, F.col("_range") - 1 if backwards else F.col("_range"))["carried"]
     near = F.coalesce(step(F.struct(*known)).over(in_range), edge)
     same_key = reduce(Column.__and__, [F.col(f"_near.{k}").eqNullSafe(F.col(k)) for k in keys])
     return (
-        cut.drop("_splits")
-        .withColumn("_near", near)
+        cut.withColumn("_near", near)
         .select(
             *df.columns,
             *[F.when(same_key, F.col(f"_near.{src}")).alias(out) for out, src in take.items()],

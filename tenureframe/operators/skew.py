@@ -42,7 +42,7 @@ def split_rows(
 
 
 def range_of(splits: str, order: Sequence[str], with_split: bool, ranges: int) -> Column:
-    """How many rows of the array ``splits``, which cuts into at most ``ranges``, lie before a
+    """The expression of ``with_range`` on its own, for arrays and their elements. How many rows of the array ``splits``, which cuts into at most ``ranges``, lie before a
     row, by binary search; a row that is itself in the array counts only if ``with_split``."""
     array, here = F.col(splits), F.struct(*order)
     steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(ranges.bit_length()))])
@@ -55,6 +55,25 @@ def range_of(splits: str, order: Sequence[str], with_split: bool, ranges: int) -
     return F.aggregate(steps, F.lit(0), step)
 
 
+def with_range(
+    df: DataFrame, name: str, splits: str, order: Sequence[str], with_split: bool, ranges: int
+) -> DataFrame:
+    """Add how many rows of the array ``splits``, a column of ``df`` which cuts into at most
+    ``ranges``, lie before a row; a row that is itself in the array counts only if ``with_split``.
+
+    A binary search with a projection for each step, so that all of it is compiled: a
+    function over the steps would be interpreted, struct by struct, for every row.
+    """
+    here = F.struct(*order)
+    found = df.withColumn(name, F.lit(0))
+    for bit in reversed(range(ranges.bit_length())):
+        step = 1 << bit
+        at = F.get(F.col(splits), F.col(name) + (step - 1))["at"]
+        before = at <= here if with_split else at < here
+        found = found.withColumn(name, F.col(name) + F.when(before, step).otherwise(0))
+    return found
+
+
 def collapse(
     df: DataFrame, by: Sequence[str], sums: Sequence[str] = (), count: str = "n"
 ) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tenureframe import operators as op
+from tenureframe.operators.skew import range_of, split_rows, with_range
 
 D = dt.date
 STAYS = "emp_no long, dept_no string, from_date date, to_date date, rec_id long"
@@ -124,6 +125,22 @@ def test_neighbours_are_found_in_one_shuffle_of_the_rows(stays):
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
 
 
+def test_ranges_are_searched_by_compiled_steps(stays):
+    plan = op.with_neighbour(stays, ["emp_no"], ORDER, {"p": "dept_no"})._jdf.queryExecution().executedPlan().toString()
+    assert " aggregate(" not in plan and "(aggregate(" not in plan
+
+
+@pytest.mark.parametrize("with_split", [True, False])
+@pytest.mark.parametrize("ranges", [1, 2, 7, 64])
+def test_ranges_of_rows_by_both_searches(stays, with_split, ranges):
+    cuts = split_rows(stays, ["emp_no", *ORDER], ["emp_no"], ranges)
+    cut = stays.withColumn("_splits", cuts)
+    found = with_range(cut, "r", "_splits", ["emp_no", *ORDER], with_split, ranges)
+    expected = cut.withColumn("r", range_of("_splits", ["emp_no", *ORDER], with_split, ranges))
+    assert rows(found.select("rec_id", "r")) == rows(expected.select("rec_id", "r"))
+    assert found.select("r").distinct().count() >= min(ranges, 2) / (1 if with_split else 2)
+
+
 def test_planning_runs_no_job(spark, stays):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("planning", "no job may run here")
