@@ -223,8 +223,12 @@ def salary_trend(tables: Tables, closed: str = "both") -> DataFrame:
         .agg(F.sum("salary").alias("salary"), F.count("salary").alias("n_pay"))
     )
 
-    def intervals(table: str, value: str, name: str) -> DataFrame:
-        rows = tables[table].select(
+    # Names come first: departments that share one are then one group per employee, and
+    # one aggregate does for both.
+    stays = tables["dept_emp"].join(tables["departments"].select("dept_no", "dept_name"), "dept_no")
+
+    def intervals(history: DataFrame, value: str, name: str) -> DataFrame:
+        rows = history.select(
             "emp_no",
             value,
             F.col("from_date").alias(f"{name}_from"),
@@ -233,31 +237,29 @@ def salary_trend(tables: Tables, closed: str = "both") -> DataFrame:
         return collapse(rows, rows.columns, count=f"n_{name}")
 
     joined = salaries
-    for table, value, name in (("titles", "title", "title"), ("dept_emp", "dept_no", "stay")):
+    for table, history, value, name in (
+        ("titles", tables["titles"], "title", "title"),
+        ("dept_emp", stays, "dept_name", "stay"),
+    ):
         joined = join_as_of_interval(
             joined,
-            intervals(table, value, name),
+            intervals(history, value, name),
             "emp_no",
             "pay_date",
             closed,
             f"{name}_from",
             f"{name}_to",
+            sizes_from=tables[table],
         )
     pairs = F.col("n_title") * F.col("n_stay")
-    per_employee = (
+    group = ["dept_name", "title", "year_report"]
+    return (
         joined.withColumn("year_report", F.year("pay_date").cast("bigint"))
-        .groupBy("emp_no", "dept_no", "title", "year_report")
+        .groupBy("emp_no", *group)
         .agg(
             F.sum(F.col("salary") * pairs.cast("decimal(18,0)")).alias("pay"),
             F.sum(F.col("n_pay") * pairs).alias("salaries"),
         )
-    )
-    # Names come last; departments that share one are put together per employee.
-    group = ["dept_name", "title", "year_report"]
-    return (
-        per_employee.join(tables["departments"], "dept_no")
-        .groupBy("emp_no", *group)
-        .agg(F.sum("pay").alias("pay"), F.sum("salaries").alias("salaries"))
         .groupBy(*group)
         .agg(
             round_half_up(ratio(F.sum("pay"), F.sum("salaries"))).alias("avg_salary"),

@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tenureframe import operators as op
+from tenureframe.operators import intervals
 from tenureframe.operators.skew import range_of, split_rows, with_range
 
 D = dt.date
@@ -201,6 +202,41 @@ def test_interval_join_equals_plain_join(stays, closed):
     assert found.count() > 0
 
 
+@pytest.mark.parametrize("closed", ["both", "left"])
+@pytest.mark.parametrize("crowded", [0, 2, 3, 10_000])
+def test_interval_join_of_keys_in_nodes_and_whole_ones(stays, closed, crowded):
+    """Keys with 200, 3 and 2 intervals, some of them cut into nodes."""
+    facts = stays.select("emp_no", F.col("from_date").alias("day"), F.col("rec_id").alias("fact"))
+    facts = facts.unionByName(facts.withColumn("emp_no", F.lit(None).cast("long")).limit(3))
+    found = op.join_as_of_interval(
+        facts, stays, "emp_no", "day", closed, sizes_from=stays.select("emp_no"), crowded=crowded
+    )
+    assert rows(found) == rows(plain_interval_join(facts, stays, closed))
+
+
+def test_facts_of_keys_with_few_intervals_are_not_multiplied(monkeypatch, stays):
+    """Without nodes for facts, only the key with 200 intervals loses its pairs."""
+    facts = stays.select("emp_no", F.col("from_date").alias("day"), F.col("rec_id").alias("fact"))
+    none = F.array(F.struct(F.lit(-1).alias("_days"), F.lit(-1).cast("long").alias("_node")))
+    monkeypatch.setattr(intervals, "_of_fact", lambda day: none)
+    found = op.join_as_of_interval(facts, stays, "emp_no", "day")
+    expected = plain_interval_join(facts, stays, "both")
+    assert rows(found) == rows(expected.filter("emp_no <> 1")) and found.count() > 0
+
+
+@pytest.mark.parametrize("crowded", [0, 1])
+@pytest.mark.parametrize("kinds", [("int", "double"), ("double", "double"), ("decimal(9,2)", "long"), ("float", "float")])
+def test_equal_keys_of_other_types_are_cut_alike(spark, kinds, crowded):
+    held = spark.sql(
+        "SELECT * FROM VALUES (-0D, 'a'), (0D, 'b'), (7D, 'c') AS v(emp_no, title)"
+    ).selectExpr(f"CAST(emp_no AS {kinds[1]}) AS emp_no", "title", "DATE'1990-01-01' AS from_date", "DATE'1999-01-01' AS to_date")
+    seen = spark.sql("SELECT * FROM VALUES (0D, 1), (-0D, 2), (7D, 3) AS v(emp_no, f)").selectExpr(
+        f"CAST(emp_no AS {kinds[0]}) AS emp_no", "f", "DATE'1995-01-01' AS day"
+    )
+    found = op.join_as_of_interval(seen, held, "emp_no", "day", crowded=crowded)
+    assert rows(found.select("f", "title")) == [(1, "a"), (1, "b"), (2, "a"), (2, "b"), (3, "c")]
+
+
 def test_interval_boundary_matches_both_or_one(spark):
     titles = spark.createDataFrame(
         [
