@@ -7,8 +7,11 @@ Equal strings are brought together first. Every window of ``length`` bytes has a
 anchor, its smallest ``GRAM``-byte hash (the rightmost of equals), so equal windows
 have equal anchors. Neighbouring windows with the same anchor form a stretch, and
 every window lies in exactly one stretch. Stretches are dealt by their anchor's
-hash; a copy of a whole stretch (128-bit digest) is a repeat of the first one, and
-where different stretches share an anchor, their bytes are fetched and sorted.
+hash; a copy of a whole stretch (128-bit digest) is a repeat of the first one. Where
+different stretches share an anchor, a window has half of its further bytes on the
+anchor's left, or more than half on its right: a stretch whose left and right half (hashed)
+no other one of the anchor has holds no repeat, and of all others the bytes are fetched
+and sorted.
 
 The suffix arrays of a task's stretches are built in two stages: suffixes smaller
 than their successors are sorted directly, to the depth of a window; all others are
@@ -19,9 +22,10 @@ those are repeats.
 Copies within a portion of a task's texts are found before the shuffle, so that a
 stretch found in very many documents leaves one row per portion. Rows of one anchor
 stream through one task sorted; a suffix array takes stretches of whole anchors up
-to about ``CHUNK`` bytes. An anchor with more than ``CROWD`` different stretches is
-split further: its windows travel singly, dealt by their whole content, and a group
-of equal windows larger than a suffix array is taken in runs that keep the earliest.
+to about ``CHUNK`` bytes. Stretches of an anchor with more than ``CROWD`` different ones
+are cut into pieces of up to ``SLICE`` windows whose anchor lies about as deep in the
+window, and pieces are dealt by the bytes that all their windows share. Pieces of one
+such key that are larger than a suffix array are taken in runs that keep the earliest.
 
 Defined results: a NULL text is empty; nothing goes from a text shorter than
 ``length``; a NULL id comes first; rows that share an id are ordered by a checksum
@@ -52,14 +56,18 @@ PORTION = 8_000_000
 CHUNK = 4_000_000
 # Different stretches up to which an anchor's are compared together.
 CROWD = 10_000
+# Windows of a piece of a stretch of a crowded anchor.
+SLICE = 8
+# Different stretches of one anchor that wait for its last one; beyond, all go on.
+HELD = 250_000
 # Ends a stretch inside a suffix array; UTF-8 does not use this byte.
 STOP = 0xFF
 
 _STRETCHES = (
     "anchor long, digest1 long, digest2 long, doc long, tag long, start long, n long, "
-    "repeated boolean"
+    "place long, sides long, repeated boolean"
 )
-_FOUND = "anchor long, doc long, tag long, start long, n long, repeated boolean"
+_FOUND = "anchor long, doc long, tag long, start long, n long, place long, repeated boolean"
 _BYTES = "anchor long, doc long, tag long, start long, bytes binary"
 _RANGES = "doc long, tag long, start long, n long"
 _REMOVED = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -101,8 +109,24 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     return hashes ^ (hashes >> np.uint64(32))
 
 
+def _side_keys(
+    hashes: np.ndarray, at: np.ndarray, places: np.ndarray, counts: np.ndarray, length: int
+) -> np.ndarray:
+    """Hashes of the bytes left (upper half) and right of each anchor, zero where no window
+    of the stretch has so many on that side."""
+    half = (length - GRAM + 1) // 2
+    steps = np.arange(half, 0, -GRAM)
+    factors = np.uint64(BASE) * np.arange(1, 2 * len(steps) + 1, 2, dtype=np.uint64)
+    around = hashes.take(at[:, None] + np.concatenate((-steps, steps)), mode="clip")
+    keys = (around.reshape(len(at), 2, len(steps)) * factors).sum(axis=2) >> np.uint64(32)
+    left = (keys[:, 0] | np.uint64(1)) * (places >= half)
+    right = (keys[:, 1] | np.uint64(1)) * (places - counts + 1 < half)
+    return ((left << np.uint64(32)) | right).view(np.int64)
+
+
 def stretches(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """Anchor hash, first window and number of windows of every stretch of a text."""
+    """Anchor hash, first window, number of windows, the anchor's place in the first window
+    and the keys of its sides, of every stretch of a text."""
     hashes = gram_hashes(data)
     last = np.uint64(0xFFFFFFFF)
     least = (hashes & ~last) | (last - np.arange(len(hashes), dtype=np.uint64))
@@ -115,7 +139,9 @@ def stretches(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
     at = (last - (least & last)).astype(np.int64)
     starts = np.concatenate(([0], np.flatnonzero(at[1:] != at[:-1]) + 1))
     counts = np.diff(np.append(starts, len(at)))
-    return hashes[at[starts]].view(np.int64), starts, counts
+    at = at[starts]
+    sides = _side_keys(hashes, at, at - starts, counts, length)
+    return hashes[at].view(np.int64), starts, counts, at - starts, sides
 
 
 def _anywhere(docs: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -130,7 +156,7 @@ def _portion_rows(docs: list[tuple[int, int, bytes]], length: int) -> pa.RecordB
     for doc, tag, text in sorted(set(docs)):
         if len(text) < length:
             continue
-        anchors, starts, counts = stretches(np.frombuffer(text, np.uint8), length)
+        anchors, starts, counts, places, sides = stretches(np.frombuffer(text, np.uint8), length)
         ends = starts + counts + (length - 1)
         digest = [
             xxhash.xxh3_128_digest(text[i:j]) for i, j in zip(starts.tolist(), ends.tolist())
@@ -138,7 +164,8 @@ def _portion_rows(docs: list[tuple[int, int, bytes]], length: int) -> pa.RecordB
         repeated += [d in seen or seen.add(d) is not None for d in digest]
         digests += digest
         same = np.ones(len(starts), np.int64)
-        parts.append(np.stack((anchors, same * doc, same * tag, starts, counts), axis=1))
+        columns = (anchors, same * doc, same * tag, starts, counts, places, sides)
+        parts.append(np.stack(columns, axis=1))
     if not parts:
         return None
     rows = np.concatenate(parts)
@@ -154,6 +181,8 @@ def _portion_rows(docs: list[tuple[int, int, bytes]], length: int) -> pa.RecordB
             "tag": rows[:, 2],
             "start": rows[:, 3],
             "n": rows[:, 4],
+            "place": rows[:, 5],
+            "sides": rows[:, 6],
             "repeated": marks,
         }
     )
@@ -177,41 +206,69 @@ def _find_stretches(length: int):
     return run
 
 
+def _shared(groups: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Rows whose key, if not zero, another row of their group has as well."""
+    order = np.lexsort((keys, groups))
+    pairs = np.stack((groups[order], keys[order]), axis=1)
+    new = _differs(pairs)
+    shared = np.zeros(len(groups), bool)
+    shared[order] = (~new | ~np.append(new[1:], True)) & (pairs[:, 1] != 0)
+    return shared
+
+
+def _comparable(rows: np.ndarray) -> np.ndarray:
+    """Those of the different stretches of whole anchors that may share a window."""
+    anchor = np.cumsum(_differs(rows[:, :1])) - 1
+    several = np.bincount(anchor)[anchor] > 1
+    rows, anchor, sides = rows[several], anchor[several], rows[several, -1]
+    return rows[_shared(anchor, sides >> 32) | _shared(anchor, sides & 0xFFFFFFFF)]
+
+
 def _meet_stretches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Repeated stretches, and first ones of each digest where an anchor has several.
+    """Repeated stretches, and first ones of each digest that may share a window with others.
 
-    Rows come sorted by anchor, digest, document and place. Only the last first
-    stretch is carried to the next batch.
+    Rows come sorted by anchor, digest, document and place. The first stretches of the last
+    anchor are carried to the next batch; beyond ``HELD``, they go on and only the last one is.
     """
-    names = ("anchor", "digest1", "digest2", "doc", "tag", "start", "n")
-    carried, done = np.empty((0, len(names)), np.int64), False
+    names = ("anchor", "digest1", "digest2", "doc", "tag", "start", "n", "place", "sides")
+
+    def shown(firsts: np.ndarray, copies: np.ndarray) -> pa.RecordBatch:
+        found = np.concatenate((firsts, copies))
+        return _batch(
+            {
+                "anchor": found[:, 0],
+                **{n: found[:, i] for i, n in enumerate(names[3:8], 3)},
+                "repeated": np.arange(len(found)) >= len(firsts),
+            }
+        )
+
+    none = np.empty((0, len(names)), np.int64)
+    held, gone = none, False
     for batch in batches:
         marks = batch.column("repeated").to_numpy(zero_copy_only=False)
         rows = _columns(batch, names)
-        marked, rows = rows[marks], np.concatenate((carried, rows[~marks]))
-        rows = _distinct(rows)
-        firsts = copies = np.empty((0, len(names)), np.int64)
+        marked, rows = rows[marks], _distinct(np.concatenate((held, rows[~marks])))
+        firsts = copies = none
         if len(rows):
-            new_anchor = np.ones(len(rows), bool)
-            new_anchor[1:] = rows[1:, 0] != rows[:-1, 0]
-            new_digest = new_anchor.copy()
-            new_digest[1:] |= (rows[1:, 1:3] != rows[:-1, 1:3]).any(axis=1)
-            anchor = np.cumsum(new_anchor) - 1
-            several = np.bincount(anchor[new_digest]) > 1
-            several[0] |= done
-            shown = new_digest & several[anchor]
-            shown[0] &= not done
-            firsts, copies = rows[shown], rows[~new_digest]
-            carried, done = rows[np.flatnonzero(new_digest)[-1] :][:1], bool(several[-1])
-        found = np.concatenate((firsts, copies, marked))
-        if len(found):
-            yield _batch(
-                {
-                    "anchor": found[:, 0],
-                    **{n: found[:, i] for i, n in enumerate(names[3:], 3)},
-                    "repeated": np.arange(len(found)) >= len(firsts),
-                }
-            )
+            new = _differs(rows[:, :3])
+            firsts, copies = rows[new], rows[~new]
+            begin = int(np.flatnonzero(_differs(firsts[:, :1]))[-1])
+            firsts, last = firsts[:begin], firsts[begin:]
+            if gone and begin:
+                # The anchor that went on has ended.
+                end = int(np.argmax(firsts[:, 0] != firsts[0, 0])) or len(firsts)
+                ended, firsts, gone = firsts[1:end], firsts[end:], False
+            else:
+                ended = none
+            firsts = np.concatenate((ended, _comparable(firsts)))
+            if gone or len(last) > HELD:
+                firsts = np.concatenate((firsts, last[int(gone) :]))
+                last, gone = last[-1:], True
+            held = last
+        if len(firsts) + len(copies) + len(marked):
+            yield shown(firsts, np.concatenate((copies, marked)))
+    if not gone and len(held):
+        yield shown(_comparable(held), none)
 
 
 # Suffix arrays
@@ -317,6 +374,9 @@ def repeated_windows(
 
     Earlier is by the order of the strings, then by place.
     """
+    empty = np.empty(0, np.int64)
+    if not strings:
+        return empty, empty, empty
     stop = bytes([STOP])
     data = stop.join(strings) + stop
     sizes = np.fromiter(map(len, strings), np.int64, len(strings))
@@ -329,7 +389,6 @@ def repeated_windows(
     array = suffix_array(data, length)
     array = array[whole[array]]
     if not len(array):
-        empty = np.empty(0, np.int64)
         return empty, empty, empty
     new = np.flatnonzero(common_prefixes(data, array, length) < length)
     earliest = np.minimum.reduceat(array, new)
@@ -347,9 +406,14 @@ def _sort_stretches(length: int):
     """Repeats among the stretches of whole anchors, taken in chunks."""
     names = ("anchor", "doc", "tag", "start")
 
-    def chunk(rows: np.ndarray, strings: list[bytes]) -> tuple[pa.RecordBatch, np.ndarray]:
-        """Repeated windows, and the places of strings that also have others."""
+    def chunk(
+        rows: np.ndarray, strings: list[bytes], whole: bool = True
+    ) -> tuple[pa.RecordBatch, np.ndarray]:
+        """Repeated windows, and the places of strings that also have others. A string that is
+        alone under a whole anchor, or the key of a piece, shares no window."""
         places = np.flatnonzero(_differs(rows))
+        if whole:
+            places = places[_shared(rows[places, 0], np.ones(len(places), np.int64))]
         rows, strings = rows[places], [strings[i] for i in places]
         string, first, n = repeated_windows(strings, length)
         found = {
@@ -378,7 +442,7 @@ def _sort_stretches(length: int):
                 rows, strings = rows[cut:], strings[cut:]
             else:
                 # One anchor fills the array: what stays has a window not seen earlier.
-                found, stay = chunk(rows, strings)
+                found, stay = chunk(rows, strings, whole=False)
                 yield found
                 rows, strings = rows[stay], [strings[i] for i in stay]
             size = sum(map(len, strings))
@@ -391,9 +455,22 @@ def _sort_stretches(length: int):
 # Documents
 
 
+def _pieces(data: bytes, start: int, n: int, place: int, length: int) -> Iterator[tuple]:
+    """Key, first window and bytes of the pieces of a stretch: the windows in which the
+    anchor's place is the same but for its last digit to the base ``SLICE``, under a hash of
+    the bytes that all such windows share."""
+    anchor, end = start + place, start + n
+    while start < end:
+        low = (anchor - start) // SLICE * SLICE
+        next_ = min(anchor - low + 1, end)
+        shared = data[anchor - low : anchor - low + length - SLICE + 1]
+        key = xxhash.xxh3_64_intdigest(shared, low) - 2**63
+        yield key, start, data[start : next_ + length - 1]
+        start = next_
+
+
 def _cut_stretches(length: int):
-    """The bytes of the wanted stretches of each document; of crowded anchors, each
-    window by itself under a hash of its bytes."""
+    """The bytes of the wanted stretches of each document, of crowded anchors in pieces."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("doc", "tag", "text", "wanted")
@@ -404,10 +481,8 @@ def _cut_stretches(length: int):
                 for w in wanted:
                     start, end = w["start"], w["start"] + w["n"]
                     if w["crowded"]:
-                        for at in range(start, end):
-                            window = data[at : at + length]
-                            key = xxhash.xxh3_64_intdigest(window) - 2**63
-                            rows.append((key, doc, tag, at, window))
+                        pieces = _pieces(data, start, w["n"], w["place"], length)
+                        rows += [(key, doc, tag, at, piece) for key, at, piece in pieces]
                     else:
                         rows.append((w["anchor"], doc, tag, start, data[start : end + length - 1]))
             if rows:
@@ -487,7 +562,7 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, crowd: int = CROWD)
         different.join(crowded, "anchor", "left")
         .withColumn("crowded", F.col("rows").isNotNull())
         .groupBy("doc", "tag")
-        .agg(F.collect_list(F.struct("anchor", "start", "n", "crowded")).alias("wanted"))
+        .agg(F.collect_list(F.struct("anchor", "start", "n", "place", "crowded")).alias("wanted"))
     )
     by_suffix = (
         texts.join(wanted, ["doc", "tag"])
