@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenureframe.functions import row_count
-from tenureframe.llm.common import staged, text_or_empty
+from tenureframe.llm.common import shuffles_dropped, staged, text_or_empty
 
 LENGTH = 100
 GRAM = 16
@@ -64,10 +64,10 @@ HELD = 250_000
 STOP = 0xFF
 
 _STRETCHES = (
-    "anchor long, digest1 long, digest2 long, doc long, tag long, start long, n long, "
-    "place long, sides long, repeated boolean"
+    "anchor long, digest1 long, digest2 long, doc long, tag long, start long, shape long, "
+    "sides long, repeated boolean"
 )
-_FOUND = "anchor long, doc long, tag long, start long, n long, place long, repeated boolean"
+_FOUND = "anchor long, doc long, tag long, start long, shape long, repeated boolean"
 _BYTES = "anchor long, doc long, tag long, start long, bytes binary"
 _RANGES = "doc long, tag long, start long, n long"
 _REMOVED = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -125,8 +125,9 @@ def _side_keys(
 
 
 def stretches(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """Anchor hash, first window, number of windows, the anchor's place in the first window
-    and the keys of its sides, of every stretch of a text."""
+    """Anchor hash, first window, shape and keys of the anchor's sides of every stretch of a
+    text. The shape is the anchor's place in the first window times ``length``, plus the
+    number of windows: one number, as it is shuffled with each stretch."""
     hashes = gram_hashes(data)
     last = np.uint64(0xFFFFFFFF)
     least = (hashes & ~last) | (last - np.arange(len(hashes), dtype=np.uint64))
@@ -141,7 +142,7 @@ def stretches(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
     counts = np.diff(np.append(starts, len(at)))
     at = at[starts]
     sides = _side_keys(hashes, at, at - starts, counts, length)
-    return hashes[at].view(np.int64), starts, counts, at - starts, sides
+    return hashes[at].view(np.int64), starts, (at - starts) * length + counts, sides
 
 
 def _anywhere(docs: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -156,15 +157,15 @@ def _portion_rows(docs: list[tuple[int, int, bytes]], length: int) -> pa.RecordB
     for doc, tag, text in sorted(set(docs)):
         if len(text) < length:
             continue
-        anchors, starts, counts, places, sides = stretches(np.frombuffer(text, np.uint8), length)
-        ends = starts + counts + (length - 1)
+        anchors, starts, shapes, sides = stretches(np.frombuffer(text, np.uint8), length)
+        ends = starts + shapes % length + (length - 1)
         digest = [
             xxhash.xxh3_128_digest(text[i:j]) for i, j in zip(starts.tolist(), ends.tolist())
         ]
         repeated += [d in seen or seen.add(d) is not None for d in digest]
         digests += digest
         same = np.ones(len(starts), np.int64)
-        columns = (anchors, same * doc, same * tag, starts, counts, places, sides)
+        columns = (anchors, same * doc, same * tag, starts, shapes, sides)
         parts.append(np.stack(columns, axis=1))
     if not parts:
         return None
@@ -180,9 +181,8 @@ def _portion_rows(docs: list[tuple[int, int, bytes]], length: int) -> pa.RecordB
             "doc": rows[:, 1],
             "tag": rows[:, 2],
             "start": rows[:, 3],
-            "n": rows[:, 4],
-            "place": rows[:, 5],
-            "sides": rows[:, 6],
+            "shape": rows[:, 4],
+            "sides": rows[:, 5],
             "repeated": marks,
         }
     )
@@ -230,14 +230,14 @@ def _meet_stretches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     Rows come sorted by anchor, digest, document and place. The first stretches of the last
     anchor are carried to the next batch; beyond ``HELD``, they go on and only the last one is.
     """
-    names = ("anchor", "digest1", "digest2", "doc", "tag", "start", "n", "place", "sides")
+    names = ("anchor", "digest1", "digest2", "doc", "tag", "start", "shape", "sides")
 
     def shown(firsts: np.ndarray, copies: np.ndarray) -> pa.RecordBatch:
         found = np.concatenate((firsts, copies))
         return _batch(
             {
                 "anchor": found[:, 0],
-                **{n: found[:, i] for i, n in enumerate(names[3:8], 3)},
+                **{n: found[:, i] for i, n in enumerate(names[3:7], 3)},
                 "repeated": np.arange(len(found)) >= len(firsts),
             }
         )
@@ -283,26 +283,25 @@ def _words(data: np.ndarray) -> np.ndarray:
 
 
 def _sorted_directly(at: np.ndarray, words: np.ndarray, depth: int) -> np.ndarray:
-    """Suffix positions in order of their first ``depth`` bytes.
+    """Suffix positions in order of their first ``depth`` bytes at least.
 
-    Eight bytes at a time; only suffixes that are still tied go on.
+    Only suffixes that are still tied go on, each time with as many of their next bytes as
+    go into one number with the number of their group.
     """
-    order = at[np.argsort(words[at], kind="stable")]
-    group = np.concatenate(([0], np.cumsum(words[order[1:]] != words[order[:-1]])))
-    tied = np.arange(len(order))
-    for offset in range(8, depth, 8):
-        size = np.bincount(group)
-        tied = tied[size[group] > 1]
+    order = at[np.argsort(words[at])]
+    new, tied, offset = _differs(words[order][:, None]), np.arange(len(order)), 8
+    while offset < depth:
+        open_ = ~new
+        open_[:-1] |= open_[1:]
+        tied, group = tied[open_], np.cumsum(new[open_], dtype=np.uint64)
         if not len(tied):
             break
-        group = group[size[group] > 1]
-        word = words[order[tied] + offset]
-        by = np.lexsort((word, group))
+        size = (64 - int(group[-1]).bit_length()) // 8
+        following = words[order[tied] + offset] >> np.uint64(64 - 8 * size)
+        key = (group << np.uint64(8 * size)) | following
+        by = np.argsort(key)
         order[tied] = order[tied][by]
-        word = word[by]
-        # Groups are in order already, so only ties between words break them up.
-        breaks = (group[1:] != group[:-1]) | (word[1:] != word[:-1])
-        group = np.concatenate(([0], np.cumsum(breaks)))
+        new, offset = _differs(key[by][:, None]), offset + size
     return order
 
 
@@ -479,12 +478,13 @@ def _cut_stretches(length: int):
             for doc, tag, text, wanted in zip(*(batch.column(c).to_pylist() for c in names)):
                 data = text.encode("utf-8", "surrogatepass")
                 for w in wanted:
-                    start, end = w["start"], w["start"] + w["n"]
+                    start, (place, n) = w["start"], divmod(w["shape"], length)
                     if w["crowded"]:
-                        pieces = _pieces(data, start, w["n"], w["place"], length)
+                        pieces = _pieces(data, start, n, place, length)
                         rows += [(key, doc, tag, at, piece) for key, at, piece in pieces]
                     else:
-                        rows.append((w["anchor"], doc, tag, start, data[start : end + length - 1]))
+                        end = start + n + length - 1
+                        rows.append((w["anchor"], doc, tag, start, data[start:end]))
             if rows:
                 columns = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays(
@@ -547,13 +547,14 @@ def _summarise(length: int):
 def repeated_ranges(texts: DataFrame, length: int = LENGTH, crowd: int = CROWD) -> DataFrame:
     """Runs of repeated windows of ``texts`` (``doc``, ``tag``, ``text``)."""
     order = ["anchor", "digest1", "digest2", "doc", "tag", "start"]
-    found = staged(
-        texts.mapInArrow(_find_stretches(length), _STRETCHES)
-        .repartition("anchor")
-        .sortWithinPartitions(*order)
-        .mapInArrow(_meet_stretches, _FOUND),
-        "stretches",
-    )
+    with shuffles_dropped(texts.sparkSession):
+        found = staged(
+            texts.mapInArrow(_find_stretches(length), _STRETCHES)
+            .repartition("anchor")
+            .sortWithinPartitions(*order)
+            .mapInArrow(_meet_stretches, _FOUND),
+            "stretches",
+        )
     different = found.filter("NOT repeated")
     crowded = (
         different.groupBy("anchor").agg(row_count().alias("rows")).filter(F.col("rows") > crowd)
@@ -562,7 +563,7 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, crowd: int = CROWD)
         different.join(crowded, "anchor", "left")
         .withColumn("crowded", F.col("rows").isNotNull())
         .groupBy("doc", "tag")
-        .agg(F.collect_list(F.struct("anchor", "start", "n", "place", "crowded")).alias("wanted"))
+        .agg(F.collect_list(F.struct("anchor", "start", "shape", "crowded")).alias("wanted"))
     )
     by_suffix = (
         texts.join(wanted, ["doc", "tag"])
@@ -572,7 +573,8 @@ def repeated_ranges(texts: DataFrame, length: int = LENGTH, crowd: int = CROWD)
         .sortWithinPartitions("anchor", "doc", "tag", "start")
         .mapInArrow(_sort_stretches(length), _RANGES)
     )
-    return found.filter("repeated").select("doc", "tag", "start", "n").unionByName(by_suffix)
+    copies = found.filter("repeated").withColumn("n", F.col("shape") % length)
+    return copies.select("doc", "tag", "start", "n").unionByName(by_suffix)
 
 
 def remove_repeats(

@@ -1,6 +1,7 @@
 """What the repeats operator sends on to its suffix arrays, and that nothing is lost by it."""
 
 import random
+import time
 from collections import Counter
 
 import pyarrow as pa
@@ -63,7 +64,7 @@ def test_a_short_common_phrase_sends_nothing_on():
 
 def test_pieces_of_crowded_anchors_are_much_smaller_than_their_windows():
     text = "".join(random.Random(4).choices(LETTERS, k=5000)).encode()
-    names = ("anchor", "start", "n", "place")
+    names = ("anchor", "start", "n", "shape")
     wanted = [
         {**{name: r[name] for name in names if name in r}, "crowded": True}
         for r in repeats._portion_rows([(1, 0, text)], 100).to_pylist()
@@ -78,6 +79,23 @@ def test_pieces_of_crowded_anchors_are_much_smaller_than_their_windows():
     assert sum(len(b) for b in cut.column("bytes").to_pylist()) < 25 * len(text)
 
 
+def test_staged_stretches_leave_no_shuffle_files(spark, small_dir):
+    """Otherwise they stay on disk until the driver collects its garbage."""
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
+
+    def files():
+        names = [f.split("/")[-1] for f in manager.diskBlockManager().getAllFiles().mkString("\n").split("\n")]
+        return {name for name in names if name.startswith("shuffle_")}
+
+    docs = spark.read.parquet(f"{small_dir}/documents.parquet").repartition(3)
+    before = files()
+    repeats.remove_repeats(docs)
+    end = time.time() + 20
+    while (left := files() - before) and time.time() < end:
+        time.sleep(0.2)
+    assert not left
+
+
 @pytest.mark.parametrize("seed", range(30))
 def test_no_repeat_is_lost_where_anchors_go_over_batches(seed, monkeypatch):
     rng = random.Random(seed)
@@ -99,7 +117,7 @@ def test_no_repeat_is_lost_where_anchors_go_over_batches(seed, monkeypatch):
     for r in different:
         crowded = per_anchor[r["anchor"]] > crowd
         wanted.setdefault(r["doc"], []).append(r | {"crowded": crowded})
-    ranges = [r for r in rows if r["repeated"]]
+    ranges = [r | {"n": r["shape"] % length} for r in rows if r["repeated"]]
     ranges += cut_and_sorted(docs, wanted, length, size) if wanted else []
     found = {(r["doc"], r["start"] + i) for r in ranges for i in range(r["n"])}
     assert found == brute_windows(docs, length)
